@@ -79,12 +79,15 @@ def delivery_progress(log: DataFrame, report_s: int = REPORT_S) -> DataFrame:
         .orderBy("report_ts")
         .rowsBetween(Window.unboundedPreceding, 0)
     )
+    same_month = F.col("month") == F.col("of_month")
     messages = F.sum("attempts").over(in_month) + F.col("before")
     return (
-        intervals.join(months, "month")
+        # Asked the same of both times it is used, the grouping into intervals is
+        # done once: a left join adds no filter, and the start needs ``first``.
+        intervals.join(months.withColumnRenamed("month", "of_month"), same_month, "left")
         .select(
             "report_ts",
-            elapsed_seconds(F.col("started"), F.col("report_ts")).alias("elapsed_s"),
+            elapsed_seconds(F.least("started", "first"), F.col("report_ts")).alias("elapsed_s"),
             messages.alias("messages"),
         )
         .withColumn("rate", ratio(F.col("messages"), F.col("elapsed_s")))

@@ -23,8 +23,9 @@ def decode(
     """Read the JSON message in ``value`` of each record against the fixed schema.
 
     The result has one row per record: the message's fields, ``metric_value``,
-    the record's position where the input has it, the ``payload`` as received,
-    and ``reason``, which is null for a good reading and otherwise the first of
+    the record's position where the input has it, and ``reason``, which is null for
+    a good reading. For others ``payload`` is the message as received and reason
+    the first of
 
     ``empty``         no payload, or blank
     ``bad_encoding``  not UTF-8
@@ -70,7 +71,7 @@ def decode(
         *wanted,
         F.col("value").cast("double").alias("metric_value"),
         *position,
-        "payload",
+        F.when(reason.isNotNull(), F.col("payload")).alias("payload"),
         reason.alias("reason"),
     )
 

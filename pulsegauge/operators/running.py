@@ -27,8 +27,9 @@ ROWS_PER_SLICE = 2_000_000
 # Cut points are held in memory, so their number is bounded. Beyond
 # MAX_SLICES * ROWS_PER_SLICE readings the slices grow, and sort by spilling.
 MAX_SLICES = 50_000
-# Sampled readings per slice when looking for the cut points.
-SAMPLED_PER_SLICE = 100
+# Sampled readings per slice when looking for the cut points. A slice borrows about
+# HISTORY / SAMPLED_PER_SLICE of its own size.
+SAMPLED_PER_SLICE = 200
 
 
 def running_stats(
@@ -43,7 +44,8 @@ def running_stats(
     """Average, minimum and maximum at each reading, over the last few.
 
     ``order_by`` must tell any two readings of a type apart, as a timestamp with a
-    sequence number does. Readings without a value are left out first. With
+    sequence number does: equal ones cannot be cut apart, nor have they an order of
+    their own. For landed readings that is timestamp, partition and offset. Readings without a value are left out first. With
     ``slices=None`` their number follows from that of the readings; this and the
     cut points take a job each before the result is returned.
     """
@@ -96,51 +98,72 @@ def _over_recent(readings, key, order_by, history, min_rows, slices, measures) -
 def _sliced(
     rows: DataFrame, total: int, key: str, order_by: list[str], history: int, slices: int
 ) -> DataFrame:
-    """Rows with their slice, and before each slice the rows borrowed for it."""
+    """Rows with their slice, and again with the next one where that borrows them.
+
+    Borrowed rows come right before their slice and are ``history`` at least, more
+    if so many lie between two sampled rows; the frame takes what it needs.
+    """
     share = min(1.0, SAMPLED_PER_SLICE * slices / total)
-    cuts = _cut_points(rows, key, order_by, slices, share)
-    placed = _placed(rows, cuts, key, order_by)
-    borrowed = _borrowed(placed.filter(F.col("cuts").isNotNull()), key, order_by, history)
-    return (
-        placed.drop("cuts")
-        .withColumn("borrowed", F.lit(False))
-        .unionByName(borrowed.withColumn("borrowed", F.lit(True)))
+    step = max(history + 1, round(share * total / slices))
+    placed = _placed(rows, _cut_points(rows, key, order_by, history, share, step), key, order_by)
+    here = F.struct(*order_by)
+    own = F.struct("slice", F.lit(False).alias("borrowed"))
+    next_too = F.struct((F.col("slice") + 1).alias("slice"), F.lit(True).alias("borrowed"))
+    lent = F.get("since", F.col("slice")) <= here
+    return placed.select(
+        key,
+        *order_by,
+        "value",
+        F.inline(F.when(lent, F.array(own, next_too)).otherwise(F.array(own))),
     )
 
 
 def _cut_points(
-    rows: DataFrame, key: str, order_by: list[str], slices: int, share: float
+    rows: DataFrame, key: str, order_by: list[str], history: int, share: float, step: int
 ) -> DataFrame:
-    """Per key the sorted places where its slices begin, ``slices`` at most in all.
+    """Per key where its slices begin and since where each borrows, both in order.
+
+    Of a sample, every ``step``-th row of a key is a cut point, and the slice there
+    borrows since the sampled row ``history`` before. So at least that many rows
+    are borrowed, and, as ``step`` is larger, from one slice only.
 
-    Spark's range partitioning of a sample finds them. They decide only how even
-    the slices are. They are fetched once, so that a task that runs again places
-    its rows as before.
+    The points are fetched once, so that a task that runs again places its rows as
+    before. There are about as many as slices.
     """
-    ordered = rows.select(key, *order_by)
+    sampled = rows.select(key, *order_by)
     if share < 1.0:
-        ordered = ordered.sample(share, seed=0)
-    begins = (
-        ordered.repartitionByRange(slices, key, *order_by)
-        .groupBy(F.spark_partition_id().alias("range"))
-        .agg(F.min(F.struct(key, F.struct(*order_by).alias("cut"))).alias("first"))
-        .groupBy(F.col(f"first.{key}").alias(key))
-        .agg(F.array_sort(F.collect_list("first.cut")).alias("cuts"))
+        sampled = sampled.sample(share, seed=0)
+    sampled = sampled.distinct()
+    along = Window.partitionBy(key).orderBy(*order_by)
+    point = F.struct(*order_by)
+    points = (
+        sampled.select(
+            key,
+            point.alias("cut"),
+            F.lag(point, history).over(along).alias("since"),
+            F.row_number().over(along).alias("place"),
+        )
+        .filter(F.col("place") % step == 0)
+        .groupBy(key)
+        .agg(
+            F.array_sort(F.collect_list("cut")).alias("cuts"),
+            F.array_sort(F.collect_list("since")).alias("since"),
+        )
     )
-    return rows.sparkSession.createDataFrame(begins.toArrow())
+    return rows.sparkSession.createDataFrame(points.toArrow(), points.schema)
 
 
-def _placed(rows: DataFrame, cuts: DataFrame, key: str, order_by: list[str]) -> DataFrame:
-    """Each row with its key's cut points and the number of them not after it.
+def _placed(rows: DataFrame, points: DataFrame, key: str, order_by: list[str]) -> DataFrame:
+    """Each row with its key's points and ``slice``, the number of cuts not after it.
 
     A binary search, one step per column: ``slice`` moves on by a power of two
-    whenever the cut point reached that way is not after the row.
+    whenever the cut reached that way is not after the row.
     """
-    longest = cuts.agg(F.max(F.size("cuts"))).first()[0] or 0
+    longest = points.agg(F.max(F.size("cuts"))).first()[0] or 0
     here = F.struct(*order_by)
-    # eqNullSafe, so that rows without a type are cut up like any other. The cut
-    # points are few: MAX_SLICES bounds them.
-    known = F.broadcast(cuts.withColumnRenamed(key, "_key"))
+    # eqNullSafe, so that rows without a type are cut up like any other. The points
+    # are few: MAX_SLICES bounds them.
+    known = F.broadcast(points.withColumnRenamed(key, "_key"))
     placed = rows.join(known, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
     placed = placed.withColumn("slice", F.lit(0))
     for power in reversed(range(longest.bit_length())):
@@ -152,29 +175,6 @@ def _placed(rows: DataFrame, cuts: DataFrame, key: str, order_by: list[str]) ->
     return placed
 
 
-def _borrowed(placed: DataFrame, key: str, order_by: list[str], history: int) -> DataFrame:
-    """For each slice but a key's first, the ``history`` rows right before it.
-
-    Those are among the last ``history`` rows of the slices before, which are few
-    enough to look through per key: ``history`` for each slice.
-    """
-    from_end = Window.partitionBy(key, "slice").orderBy(*(F.desc(name) for name in order_by))
-    ends = (
-        placed.drop("cuts")
-        .withColumn("_back", F.row_number().over(from_end))
-        .filter(F.col("_back") <= history)
-        .drop("_back")
-    )
-    along = Window.partitionBy(key).orderBy(*order_by)
-    before = F.collect_list(F.struct(*order_by, "value")).over(along.rowsBetween(-history, -1))
-    starts_slice = F.lag("slice").over(along) != F.col("slice")
-    return (
-        ends.select(key, "slice", before.alias("before"), starts_slice.alias("starts"))
-        .filter("starts")
-        .select(key, "slice", F.inline("before"))
-    )
-
-
 def last_rows(rows: DataFrame, key: str, order_by: Sequence[str], count: int) -> DataFrame:
     """The last ``count`` rows of each key."""
     from_end = Window.partitionBy(key).orderBy(*(F.desc(name) for name in order_by))

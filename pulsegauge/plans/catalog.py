@@ -193,18 +193,22 @@ def fleet_snapshot(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot.fleet_snapshot(_readings(spark, folder))
 
 
+def _stored_partials(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    return tables.stored(snapshot.partials(rows), working_folder(spark, "partials"))
+
+
 @registered
 def snapshot_json(spark: SparkSession, folder: str) -> DataFrame:
     rows = _readings(spark, folder)
-    return snapshot.metrics_document(
-        snapshot.partials(rows), alerting.newest(alerting.alerts(rows))
-    )
+    newest = alerting.newest(alerting.alerts(rows))
+    return snapshot.metrics_document(_stored_partials(spark, rows), newest)
 
 
 @registered
 def page_json(spark: SparkSession, folder: str) -> DataFrame:
     rows = _readings(spark, folder)
-    return snapshot.page_document(snapshot.partials(rows), alerting.newest(alerting.alerts(rows)))
+    newest = alerting.newest(alerting.alerts(rows))
+    return snapshot.page_document(_stored_partials(spark, rows), newest)
 
 
 @registered

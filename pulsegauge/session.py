@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import functools
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -55,8 +56,10 @@ def working_folder(spark: SparkSession, name: str) -> str:
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``.
     Only where that is unset, as in tests, is a local folder made.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", shared)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@functools.cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")

@@ -23,6 +23,16 @@ def stream_parquet(
     return reader.parquet(folder)
 
 
+def stored(rows: DataFrame, path: str) -> DataFrame:
+    """Rows written to a new folder and read back from there.
+
+    For a small result several others are made from: what it took to get it is
+    done once, and not again if an executor is lost.
+    """
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def landed_readings(spark: SparkSession, root: str) -> DataFrame:
     """All readings landed under ``root``. Filter on event_date to read fewer."""
     return spark.read.schema(LANDED_SCHEMA).parquet(f"{root}/readings")

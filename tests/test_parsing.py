@@ -1,0 +1,116 @@
+"""Decoding: what is a reading, what is not, and why."""
+
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from pulsegauge.functions.clock import WIRE_PATTERN
+from pulsegauge.operators.encoding import encode
+from pulsegauge.operators.parsing import bad_records, decode, readings
+from pulsegauge.schema import ENVELOPE_SCHEMA, WIRE_FIELDS
+
+GOOD = (
+    b'{"sensor_id":"sensor_4","sensor_type":"temperature","location":"building_b","value":21.37,'
+    b'"unit":"celsius","timestamp":"2024-01-01T00:00:01.123456","quality":"good"}'
+)
+TIME = b',"timestamp":"2024-01-01T00:00:01.123456"}'
+
+# payload, then the reason, or None for a reading
+CASES = [
+    (GOOD, None),
+    (b"{bad json", "bad_json"),
+    (b"[]", "bad_json"),
+    (b"null", "bad_json"),
+    (b"12", "bad_json"),
+    (b"", "empty"),
+    (b"  ", "empty"),
+    (None, "empty"),
+    (b'{"sensor_id":"b","value":"12.5"' + TIME, "bad_json"),
+    (b'{"sensor_id":"c","value":NaN' + TIME, "bad_value"),
+    (b'\xff{"sensor_id":"d"', "bad_encoding"),
+    (b'{"sensor_id":"e","value":1.5,"timestamp":"junk"}', "bad_timestamp"),
+    (b'{"sensor_id":"f","value":1.5}', "bad_timestamp"),
+    (b'{"sensor_id":"g","value":1.5,"extra":{"a":[1]}' + TIME, None),
+    (b'{"sensor_id":"h","value":1,"timestamp":"2024-01-01T00:00:01"}', None),
+    (b'{"sensor_id":"i"' + TIME, None),
+    (b"{" + TIME[1:], None),
+]
+
+
+@pytest.fixture(scope="module")
+def records(spark):
+    rows = [
+        (None, payload, "iot-sensors", i % 3, i, datetime(2024, 1, 1), 0)
+        for i, (payload, _) in enumerate(CASES)
+    ]
+    return spark.createDataFrame(rows, ENVELOPE_SCHEMA)
+
+
+def test_each_record_is_a_reading_or_has_a_reason(records):
+    decoded = {row["offset"]: row for row in decode(records).collect()}
+    assert {i: decoded[i]["reason"] for i in decoded} == {
+        i: reason for i, (_, reason) in enumerate(CASES)
+    }
+
+
+def test_nothing_is_lost_between_the_two_sides(records):
+    decoded = decode(records)
+    bad = bad_records(decoded).collect()
+    good = readings(decoded).collect()
+    assert {r["offset"] for r in bad} | {r["offset"] for r in good} == set(range(len(CASES)))
+    assert len(bad) + len(good) == len(CASES)
+    for row in bad:
+        payload = CASES[row["offset"]][0]
+        assert (None if row["payload"] is None else bytes(row["payload"])) == payload
+        assert row["partition"] == row["offset"] % 3
+
+
+def test_fields_of_a_reading(records):
+    good = {row["offset"]: row for row in readings(decode(records)).collect()}
+    first = good[0]
+    assert first["sensor_id"] == "sensor_4"
+    assert first["value"] == first["metric_value"] == 21.37
+    assert first["timestamp"] == datetime(2024, 1, 1, 0, 0, 1, 123456)
+    assert good[14]["value"] == 1.0
+    assert good[14]["timestamp"] == datetime(2024, 1, 1, 0, 0, 1)
+    assert good[15]["value"] is None and good[15]["sensor_type"] is None
+
+
+def test_pattern_refuses_times_without_a_fraction(records):
+    by_pattern = decode(records, time_pattern=WIRE_PATTERN)
+    reason = by_pattern.filter("offset = 14").first()["reason"]
+    assert reason == "bad_timestamp"
+    assert by_pattern.filter("offset = 0").first()["reason"] is None
+
+
+def test_narrowed_fields_keep_the_reasons(records):
+    narrow = decode(records, fields=["sensor_type"])
+    assert "sensor_id" not in narrow.columns and "unit" not in narrow.columns
+    assert {r["offset"]: r["reason"] for r in narrow.collect()} == {
+        i: reason for i, (_, reason) in enumerate(CASES)
+    }
+
+
+def test_text_payloads_and_missing_position(spark):
+    decoded = decode(spark.createDataFrame([(GOOD.decode(),)], "value string"))
+    assert decoded.columns == [*WIRE_FIELDS, "metric_value", "payload", "reason"]
+    assert decoded.first()["reason"] is None
+
+
+def test_json_is_parsed_once_per_record(records):
+    for side in (readings, bad_records):
+        plan = side(decode(records))._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("from_json(") == 1
+
+
+def test_encoding_keys_and_round_trip(spark, records):
+    good = readings(decode(records))
+    sent = encode(good)
+    assert sent.dtypes == [("key", "binary"), ("value", "binary")]
+    row = sent.filter(F.col("key").cast("string") == "sensor_4").first()
+    assert bytes(row["value"]) == GOOD
+    assert encode(good, keyed=False).filter("key is not null").count() == 0
+    again = readings(decode(sent)).select(WIRE_FIELDS)
+    assert again.exceptAll(good.select(WIRE_FIELDS)).count() == 0
+    assert good.select(WIRE_FIELDS).exceptAll(again).count() == 0
