@@ -230,3 +230,8 @@ def _document(
         *(F.any_value(name, ignoreNulls=F.lit(True)).alias(name) for name in stacked.columns)
     )
     return row.select(F.to_json(F.struct(*fields)).alias("document"))
+
+
+def write_document(document: DataFrame, path: str) -> None:
+    """Put a document in place of the one a folder holds. It is one row, one file."""
+    document.select(F.col("document").alias("value")).write.mode("overwrite").text(path)
