@@ -65,9 +65,9 @@ def _zoneless(rows: DataFrame) -> DataFrame:
     )
 
 
-def _rounded(rows: DataFrame, *names: str) -> DataFrame:
-    """Averages to four digits: the last ones depend on the order of addition."""
-    return rows.withColumns({name: F.round(name, 4) for name in names})
+def _rounded(rows: DataFrame, *names: str, digits: int = 8) -> DataFrame:
+    """Figures without their last digits, which depend on the order of addition."""
+    return rows.withColumns({name: F.round(name, digits) for name in names})
 
 
 def _run(writer: DataStreamWriter) -> None:
@@ -228,9 +228,8 @@ def running_stats(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def recent_values(spark: SparkSession, folder: str) -> DataFrame:
     recent = running.recent_values(_readings(spark, folder), slices=SLICES)
-    return recent.select(
-        "event_id", "sensor_type", F.array_join(F.col("recent").cast("array<string>"), ",").alias("recent")
-    )
+    text = F.array_join(F.col("recent").cast("array<string>"), ",")
+    return recent.select("event_id", "sensor_type", text.alias("recent"))
 
 
 # Delivery and lag
@@ -246,6 +245,7 @@ def delivery_summary(spark: SparkSession, folder: str) -> DataFrame:
         "per_second",
         "per_minute",
         "per_hour",
+        digits=4,
     )
 
 
@@ -256,7 +256,8 @@ def delivery_errors(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def delivery_progress(spark: SparkSession, folder: str) -> DataFrame:
-    return _rounded(delivery.delivery_progress(_log(spark, folder)), "elapsed_s", "rate")
+    report = delivery.delivery_progress(_log(spark, folder))
+    return _rounded(report, "elapsed_s", "rate", digits=6)
 
 
 @registered

@@ -51,7 +51,7 @@ SENT = f"""{R}, texts as (
     from sent where kind > 8
 )"""
 
-STATS = """count(*) as message_count, round(avg(value), 4) as avg_value,
+STATS = """count(*) as message_count, round(avg(value), 8) as avg_value,
            max(value) as max_value, min(value) as min_value"""
 
 
@@ -100,7 +100,7 @@ NEWEST = f"""newest as (
 
 RUNNING = f"""{R}, w as (
     select event_id, sensor_type, timestamp, value, count(*) over w as reading_count,
-           round(avg(value) over w, 4) as avg_value, min(value) over w as min_value,
+           round(avg(value) over w, 8) as avg_value, min(value) over w as min_value,
            max(value) over w as max_value,
            row_number() over (partition by sensor_type order by timestamp, event_id) as rn
     from r window w as (partition by sensor_type order by timestamp, event_id
@@ -249,8 +249,8 @@ ORACLE = {
         select report_ts, cast(sum(n) over (order by report_ts) as bigint) as messages,
                (epoch_us(report_ts) - (select epoch_us(min(start_ts)) from log)) / 1e6 as elapsed
         from b)
-        select report_ts, round(elapsed::double, 4) as elapsed_s, messages,
-               round(messages::double / elapsed, 4) as rate from c""",
+        select report_ts, round(elapsed::double, 6) as elapsed_s, messages,
+               round(messages::double / elapsed, 6) as rate from c""",
     "consumer_lag": f"""{OFFSETS} select topic, partition, committed, position,
         position - committed as lag, position - committed as total_lag,
         position - committed > 100 as high from offsets""",

@@ -87,8 +87,7 @@ def as_records(rows: DataFrame) -> DataFrame:
     array, 3 a JSON null, 4 blank, 5 the value as text, 6 NaN, 7 not UTF-8, 8 no
     time. Two are good: 9 has a time without a fraction, 10 a field nobody knows.
     """
-    text = record_text()
-    kind = F.pmod("event_id", F.lit(50))
+    kind, text = F.pmod("event_id", F.lit(50)), F.col("text")
     sent = (
         F.when(kind == 0, "{bad json")
         .when(kind == 1, F.lit(None))
@@ -101,17 +100,24 @@ def as_records(rows: DataFrame) -> DataFrame:
         .when(kind == 9, F.regexp_replace(text, r"\.[0-9]{6}\"", '"'))
         .when(kind == 10, F.concat(F.lit('{"extra":1,'), F.substr(text, F.lit(2))))
         .otherwise(text)
-        .cast("binary")
     )
-    broken = F.concat(F.unhex(F.lit("FF")), sent)
-    return as_readings(rows).select(
-        record_key().alias("key"),
-        F.when(kind == 7, broken).otherwise(sent).alias("value"),
-        F.lit(TOPIC).alias("topic"),
-        F.pmod(_user_number(), F.lit(PARTITIONS)).cast("int").alias("partition"),
-        F.col("event_id").alias("offset"),
-        F.col("timestamp").cast("timestamp").alias("timestamp"),
-        F.lit(0).alias("timestampType"),
+    mark = F.when(kind == 7, F.unhex(F.lit("FF"))).otherwise(F.lit("").cast("binary"))
+    # explode() keeps the text, and then the payload, a value that is there rather
+    # than an expression the reader of the records repeats for each use of it.
+    return (
+        as_readings(rows)
+        .select(
+            "event_id", "sensor_id", "timestamp", F.explode(F.array(record_text())).alias("text")
+        )
+        .select(
+            record_key().alias("key"),
+            F.explode(F.array(F.concat(mark, sent.cast("binary")))).alias("value"),
+            F.lit(TOPIC).alias("topic"),
+            F.pmod(_user_number(), F.lit(PARTITIONS)).cast("int").alias("partition"),
+            F.col("event_id").alias("offset"),
+            F.col("timestamp").cast("timestamp").alias("timestamp"),
+            F.lit(0).alias("timestampType"),
+        )
     )
 
 

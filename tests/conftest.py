@@ -1,3 +1,4 @@
+import os
 import sys
 from pathlib import Path
 
@@ -26,4 +27,4 @@ def spark():
 
 @pytest.fixture(scope="session")
 def tables():
-    return "/root/testdata/sf0.01"
+    return os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")

@@ -60,4 +60,5 @@ def test_query_matches_its_sql(spark, tables, database, name):
     assert len(found_rows) == len(wanted_rows)
     differing = [pair for pair in zip(found_rows, wanted_rows) if pair[0] != pair[1]]
     assert not differing, differing[:5]
-    assert found_rows
+    # The smallest tables have no partition with a high lag.
+    assert found_rows or (name == "consumer_lag_high" and tables.endswith("sf0.001"))
