@@ -305,8 +305,13 @@ def land_bad_records(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def fleet_snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
-    parts = landing.landed_partials(spark, _landed(spark, folder))
-    return snapshot.totals(snapshot.merge_partials(parts))
+    return snapshot.totals(landing.fleet(spark, _landed(spark, folder)))
+
+
+@registered
+def recent_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
+    newest = landing.newest_alerts(spark, _landed(spark, folder))
+    return alerting.alert_lines(newest)
 
 
 @registered

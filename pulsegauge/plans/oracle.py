@@ -270,6 +270,10 @@ ORACLE = {
                topic, partition, count(*) as records
         from sent where kind <= 8 group by 1, 2, 3""",
     "fleet_snapshot_stream": SENT + ", " + SNAPSHOT.format(table="good"),
+    "recent_alerts_stream": f"""{SENT}
+        select sensor_id, 'HIGH_' || upper(sensor_type) as type, location,
+               {_shown("timestamp")} as timestamp
+        from good where {UPPER} order by good.timestamp desc, partition, "offset" limit 10""",
     "window_stats_stream_update": _tumbling("30 seconds"),
     "window_stats_stream_append": _tumbling("30 seconds", CLOSED),
     "window_stats_stream_sliding": SLIDING,

@@ -67,6 +67,20 @@ BAD_RECORD_SCHEMA = T.StructType(
     ]
 )
 
+# Figures of the readings of one sensor and type, which add up.
+PARTIAL_SCHEMA = T.StructType(
+    [
+        T.StructField("sensor_id", T.StringType()),
+        T.StructField("sensor_type", T.StringType()),
+        T.StructField("messages", T.LongType()),
+        T.StructField("alerts", T.LongType()),
+        T.StructField("values", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+        T.StructField("top", T.DoubleType()),
+        T.StructField("bottom", T.DoubleType()),
+    ]
+)
+
 # A null bound leaves that side open.
 RULE_SCHEMA = T.StructType(
     [

@@ -2,12 +2,9 @@
 
 from __future__ import annotations
 
-import contextlib
 import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
-
 from pyspark.sql import SparkSession
 
 # Writers emit local time without a zone, so readers and writers must agree on one.
@@ -34,22 +31,6 @@ def pin_zone(spark: SparkSession) -> SparkSession:
     return spark
 
 
-@contextlib.contextmanager
-def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[SparkSession]:
-    """Hold session settings for the length of a block, then put them back."""
-    before = {name: spark.conf.get(name, None) for name in values}
-    try:
-        for name, value in values.items():
-            spark.conf.set(name, value)
-        yield spark
-    finally:
-        for name, value in before.items():
-            if value is None:
-                spark.conf.unset(name)
-            else:
-                spark.conf.set(name, value)
-
-
 def working_folder(spark: SparkSession, name: str) -> str:
     """A new, unused folder for tables and stream checkpoints.
 

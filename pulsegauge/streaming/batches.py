@@ -6,8 +6,9 @@ again after a failure writes the same folder again, so nothing is lost or double
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def write_batch(rows: DataFrame, table: str, batch_id: int, by: str | None = None) -> None:
@@ -30,3 +31,30 @@ def spread(rows: DataFrame, by: str) -> DataFrame:
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         return rows
     return rows.hint("rebalance", F.col(by))
+
+
+# What a stream carries from batch to batch is kept in two folders in turn. A batch
+# writes one and leaves the other, which holds what the batch before it left, so
+# that a batch that runs again finds it.
+AS_OF = "as_of"
+
+
+def write_turn(rows: DataFrame, table: str, batch_id: int) -> None:
+    """Keep rows for the next batch."""
+    marked = rows.withColumn(AS_OF, F.lit(batch_id).cast("bigint"))
+    marked.write.mode("overwrite").parquet(f"{table}/turn={batch_id % 2}")
+
+
+def read_turn(spark: SparkSession, table: str, batch_id: int, schema: T.StructType) -> DataFrame:
+    """What was kept by a batch; nothing before the first one."""
+    if batch_id < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{table}/turn={batch_id % 2}")
+
+
+def latest_turn(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """What was kept last."""
+    marked = T.StructType([*schema.fields, T.StructField(AS_OF, T.LongType())])
+    both = spark.read.schema(marked).parquet(table)
+    latest = both.agg(F.max(AS_OF)).first()[0]
+    return both.filter(F.col(AS_OF) == latest).select(schema.fieldNames())

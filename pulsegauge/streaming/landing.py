@@ -1,4 +1,4 @@
-"""Landing a stream of records: one reading of each batch, several tables."""
+"""Landing a stream of records: each batch read once, several tables written."""
 
 from __future__ import annotations
 
@@ -10,63 +10,77 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.rules import UPPER, Rule
-from ..operators.alerts import alerts
+from ..operators import snapshot
+from ..operators.alerts import alerts, newest
 from ..operators.parsing import bad_records, decode, readings
-from ..operators.snapshot import merge_partials, partials
-from .batches import write_batch
+from ..schema import LANDED_SCHEMA, PARTIAL_SCHEMA, POSITION_FIELDS
+from .batches import latest_turn, read_turn, write_batch, write_turn
 
-PARTIAL_SCHEMA = (
-    "sensor_id string, sensor_type string, messages bigint, alerts bigint, `values` bigint, "
-    "total double, top double, bottom double, batch_id bigint"
-)
+# Alerts listed on the dashboard.
+LISTED = 10
+LISTED_SCHEMA = LANDED_SCHEMA[:-2]
 
 
 def land(
-    records: DataFrame, root: str, checkpoint: str, rules: Sequence[Rule] = UPPER
+    records: DataFrame,
+    root: str,
+    checkpoint: str,
+    rules: Sequence[Rule] = UPPER,
+    documents: str | None = None,
 ) -> DataStreamWriter:
     """A stream of records on its way to the tables under ``root``, not yet started.
 
-    ``readings`` and ``alerts`` by date, ``bad_records``, and ``partials`` from
-    which the fleet's state follows without reading the readings again.
+    ``readings`` and ``alerts`` by date, and ``bad_records``. Beside these the state
+    of the fleet is kept up to date: the partials of all readings in ``fleet`` and
+    the newest alerts in ``newest_alerts``. A batch adds to what the one before left
+    and never reads the landed tables, however long the stream has run.
+
+    With ``documents`` the dashboard's documents are written there after each batch.
     """
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         decoded = decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = readings(decoded).withColumn("event_date", F.to_date("timestamp"))
+            good = readings(decoded)
+            found = alerts(good, rules)
             write_batch(bad_records(decoded), f"{root}/bad_records", batch_id)
-            write_batch(good, f"{root}/readings", batch_id, by="event_date")
-            write_batch(alerts(good, rules), f"{root}/alerts", batch_id, by="event_date")
-            write_batch(partials(good, rules), f"{root}/partials", batch_id)
+            write_batch(_dated(good), f"{root}/readings", batch_id, by="event_date")
+            write_batch(_dated(found), f"{root}/alerts", batch_id, by="event_date")
+
+            before = read_turn(spark, f"{root}/fleet", batch_id - 1, PARTIAL_SCHEMA)
+            parts = before.unionByName(snapshot.partials(good, rules))
+            write_turn(snapshot.merge_partials(parts), f"{root}/fleet", batch_id)
+
+            listed = read_turn(spark, f"{root}/newest_alerts", batch_id - 1, LISTED_SCHEMA)
+            listed = newest(listed.unionByName(found), LISTED, POSITION_FIELDS)
+            write_turn(listed, f"{root}/newest_alerts", batch_id)
         finally:
             decoded.unpersist()
+        if documents is not None:
+            publish(spark, root, documents)
 
     return records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
 
 
-def landed_partials(spark: SparkSession, root: str, base: str | None = None) -> DataFrame:
-    """The partials of all batches, one or more rows per sensor and type.
+def _dated(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("event_date", F.to_date("timestamp"))
 
-    ``base`` is a folder ``fold_partials`` wrote: batches up to the one it reaches
-    are then read from there, and their own folders are not.
-    """
-    parts = spark.read.schema(PARTIAL_SCHEMA).parquet(f"{root}/partials")
-    if base is None:
-        return parts
-    folded = spark.read.schema(PARTIAL_SCHEMA).parquet(base)
-    reached = folded.agg(F.max("batch_id")).first()[0]
-    if reached is None:
-        return parts
-    return folded.unionByName(parts.filter(F.col("batch_id") > reached))
-
-
-def fold_partials(spark: SparkSession, root: str, target: str, base: str | None = None) -> None:
-    """Add up the partials so far into a new folder ``target``, to be a ``base``."""
-    parts = landed_partials(spark, root, base).persist()
-    try:
-        reached = parts.agg(F.max("batch_id")).first()[0]
-        merge_partials(parts).withColumn("batch_id", F.lit(reached).cast("bigint")).write.parquet(
-            target
-        )
-    finally:
-        parts.unpersist()
+
+def fleet(spark: SparkSession, root: str) -> DataFrame:
+    """The partials of all readings landed so far."""
+    return latest_turn(spark, f"{root}/fleet", PARTIAL_SCHEMA)
+
+
+def newest_alerts(spark: SparkSession, root: str) -> DataFrame:
+    """The newest alerts landed so far, newest first."""
+    kept = latest_turn(spark, f"{root}/newest_alerts", LISTED_SCHEMA)
+    return newest(kept, LISTED, POSITION_FIELDS)
+
+
+def publish(spark: SparkSession, root: str, documents: str) -> None:
+    """Write the dashboard's documents from the state of the fleet."""
+    parts, listed = fleet(spark, root), newest_alerts(spark, root)
+    snapshot.write_document(snapshot.metrics_document(parts, listed), f"{documents}/metrics")
+    snapshot.write_document(snapshot.page_document(parts, listed), f"{documents}/page")
+    snapshot.write_document(snapshot.alerts_document(listed), f"{documents}/alerts")

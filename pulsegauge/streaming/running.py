@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.running import HISTORY, MIN_ROWS, last_rows, running_stats
-from .batches import write_batch
+from .batches import read_turn, write_batch, write_turn
 
 
 def keep_running_stats(
@@ -35,8 +35,7 @@ def keep_running_stats(
     before it, so a late reading counts when it arrives. On input in order the
     result is that of ``running_stats`` on the whole.
 
-    ``root/recent`` has two folders in turn, so that a batch that runs again finds
-    what the one before it left.
+    The last readings are in ``root/recent``.
     """
     arrival = ["arrived", *order_by]
 
@@ -47,12 +46,8 @@ def keep_running_stats(
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         try:
-            known = fresh
-            if batch_id > 0:
-                kept = batch.sparkSession.read.schema(fresh.schema).parquet(
-                    f"{root}/recent/turn={(batch_id - 1) % 2}"
-                )
-                known = kept.unionByName(fresh)
+            kept = read_turn(batch.sparkSession, f"{root}/recent", batch_id - 1, fresh.schema)
+            known = kept.unionByName(fresh)
             stats = running_stats(
                 known,
                 key=key,
@@ -66,9 +61,7 @@ def keep_running_stats(
                 f"{root}/stats",
                 batch_id,
             )
-            last_rows(known, key, arrival, history).write.mode("overwrite").parquet(
-                f"{root}/recent/turn={batch_id % 2}"
-            )
+            write_turn(last_rows(known, key, arrival, history), f"{root}/recent", batch_id)
         finally:
             fresh.unpersist()
 

@@ -9,11 +9,11 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from pulsegauge.operators import snapshot
-from pulsegauge.operators.alerts import alerts, hot_readings, violations
+from pulsegauge.operators.alerts import alerts, hot_readings, newest, violations
 from pulsegauge.functions.rules import RANGE, rule_table
 from pulsegauge.operators.running import running_stats
 from pulsegauge.operators.window_stats import WATERMARK, window_stats
-from pulsegauge.session import settings, working_folder
+from pulsegauge.session import working_folder
 from pulsegauge.sources import kafka, tables
 from pulsegauge.streaming import landing, queries, updates
 from pulsegauge.streaming.running import keep_running_stats
@@ -174,21 +174,19 @@ def record(i):
 
 def test_landing_over_batches_restart_and_replay(spark, tmp_path):
     feed = Feed(spark, tmp_path, RECORDS)
-    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "c")
+    root, checkpoint, documents = (str(tmp_path / n) for n in ("root", "c", "documents"))
     everything = [record(i) for i in range(40)]
 
     feed.add(everything[:15])
     feed.add(everything[15:25])
-    run(landing.land(feed.stream(), root, checkpoint))
-    run(landing.land(feed.stream(), root, checkpoint))  # nothing new: nothing changes
+    run(landing.land(feed.stream(), root, checkpoint, documents=documents))
+    run(landing.land(feed.stream(), root, checkpoint, documents=documents))  # nothing new: nothing changes
     assert tables.landed_readings(spark, root).count() + tables.landed_bad_records(spark, root).count() == 25
-    landing.fold_partials(spark, root, str(tmp_path / "base"))
-
     # A batch whose end was not recorded runs again after a restart.
     (tmp_path / "c" / "commits" / "1").unlink()
     (tmp_path / "c" / "commits" / ".1.crc").unlink(missing_ok=True)
     feed.add(everything[25:])
-    run(landing.land(feed.stream(), root, checkpoint))
+    run(landing.land(feed.stream(), root, checkpoint, documents=documents))
 
     landed = tables.landed_readings(spark, root)
     bad = tables.landed_bad_records(spark, root)
@@ -201,12 +199,16 @@ def test_landing_over_batches_restart_and_replay(spark, tmp_path):
         r["offset"] for r in alerts(landed).collect()
     )
 
-    whole = snapshot.fleet_snapshot(landed).first()
-    for base in (None, str(tmp_path / "base")):
-        parts = landing.landed_partials(spark, root, base)
-        assert snapshot.totals(parts).first() == whole
-    landing.fold_partials(spark, root, str(tmp_path / "base2"), str(tmp_path / "base"))
-    assert snapshot.totals(landing.landed_partials(spark, root, str(tmp_path / "base2"))).first() == whole
+    assert snapshot.totals(landing.fleet(spark, root)).first() == snapshot.fleet_snapshot(landed).first()
+    assert [r["offset"] for r in landing.newest_alerts(spark, root).collect()] == [
+        r["offset"] for r in newest(alerts(landed), 10, ["offset"]).collect()
+    ]
+    shown = {
+        name: json.loads(spark.read.text(f"{documents}/{name}").first()["value"])
+        for name in ("metrics", "page", "alerts")
+    }
+    assert shown["metrics"]["total_messages"] == shown["page"]["total_messages"] == 36
+    assert len(shown["alerts"]) == 10 and shown["alerts"] == shown["page"]["alerts"]
 
     tables.register_views(spark, root)
     assert spark.sql("select count(*) from live_sensors").first()[0] == 36
@@ -337,13 +339,5 @@ def test_kafka_options(spark):
     assert sending["kafka.compression.type"] == "gzip" and sending["topic"] == "t"
 
 
-def test_settings_are_put_back(spark):
-    name = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(name)
-    with settings(spark, {name: "3", "pulsegauge.test": "x"}):
-        assert spark.conf.get(name) == "3" and spark.conf.get("pulsegauge.test") == "x"
-    assert spark.conf.get(name) == before and spark.conf.get("pulsegauge.test", None) is None
-
-
 def test_working_folders_are_new_each_time(spark):
     assert working_folder(spark, "x") != working_folder(spark, "x")
