@@ -34,3 +34,23 @@ def or_missing(number: Column) -> Column:
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole, 0 when the whole is 0 or missing."""
     return F.coalesce(F.try_divide(part.cast("double"), whole.cast("double")), F.lit(0.0))
+
+
+def numbered_sensor(number: Column) -> Column:
+    """A sensor's name from its number, as in SENSOR-007."""
+    return F.format_string("SENSOR-%03d", number)
+
+
+def status_key(label: Column) -> Column:
+    """The form of a health label that style sheets use."""
+    return F.lower(label)
+
+
+def fixed(number: Column, digits: int = 2) -> Column:
+    """A number as text with so many decimals."""
+    return F.format_string(f"%.{digits}f", number)
+
+
+def grouped(count: Column) -> Column:
+    """A whole number as text with its thousands set apart, as in 99,990."""
+    return F.format_number(count, 0)

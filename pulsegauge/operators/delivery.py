@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import elapsed_seconds, event_window
-from ..functions.labels import ratio
+from ..functions.labels import fixed, grouped, ratio
 
 REPORT_S = 10
 
@@ -41,6 +41,21 @@ def delivery_summary(log: DataFrame) -> DataFrame:
     )
 
 
+def delivery_report(summary: DataFrame) -> DataFrame:
+    """A summary as text for people."""
+    return summary.select(
+        grouped(F.col("messages_sent")).alias("messages_sent"),
+        grouped(F.col("messages_failed")).alias("messages_failed"),
+        F.concat(fixed(F.col("success_rate")), F.lit("%")).alias("success_rate"),
+        F.concat(fixed(F.col("duration_s")), F.lit(" seconds")).alias("duration"),
+        F.concat(fixed(F.col("avg_latency_ms")), F.lit(" ms")).alias("latency"),
+        F.concat(fixed(F.col("per_second")), F.lit(" messages/second")).alias("throughput"),
+        F.concat(fixed(F.col("per_second"), 0), F.lit(" msg/s")).alias("per_second"),
+        F.concat(fixed(F.col("per_minute"), 0), F.lit(" msg/min")).alias("per_minute"),
+        F.concat(fixed(F.col("per_hour"), 0), F.lit(" msg/hr")).alias("per_hour"),
+    )
+
+
 def first_errors(log: DataFrame, count: int = 3) -> DataFrame:
     """The first failed attempts."""
     return log.filter(~F.col("ok")).orderBy("seq").limit(count).select("seq", "error")

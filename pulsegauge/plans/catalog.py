@@ -249,6 +249,11 @@ def delivery_summary(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@registered
+def delivery_report(spark: SparkSession, folder: str) -> DataFrame:
+    return delivery.delivery_report(delivery.delivery_summary(_log(spark, folder)))
+
+
 @registered
 def delivery_errors(spark: SparkSession, folder: str) -> DataFrame:
     return delivery.first_errors(_log(spark, folder))

@@ -241,6 +241,20 @@ ORACLE = {
                round(coalesce(sent::double / nullif(seconds, 0), 0) * 3600, 4) as per_hour,
                failed as error_count
         from c""",
+    "delivery_report": f"""{LOG}, c as (
+        select count_if(ok) as sent, count_if(not ok) as failed, avg(latency_ms) as latency,
+               (epoch_us(max(end_ts)) - epoch_us(min(start_ts))) / 1e6 as seconds
+        from log)
+        select format('{{:,}}', cast(sent as bigint)) as messages_sent,
+               format('{{:,}}', cast(failed as bigint)) as messages_failed,
+               printf('%.2f%%', 100.0::double * sent / (sent + failed)) as success_rate,
+               printf('%.2f seconds', seconds::double) as duration,
+               printf('%.2f ms', latency) as latency,
+               printf('%.2f messages/second', sent::double / seconds) as throughput,
+               printf('%.0f msg/s', sent::double / seconds) as per_second,
+               printf('%.0f msg/min', 60 * sent::double / seconds) as per_minute,
+               printf('%.0f msg/hr', 3600 * sent::double / seconds) as per_hour
+        from c""",
     "delivery_errors": f"{LOG} select seq, error from log where not ok order by seq limit 3",
     "delivery_progress": f"""{LOG}, b as (
         select time_bucket(interval '10 seconds', start_ts) + interval '10 seconds' as report_ts,

@@ -4,7 +4,15 @@ from datetime import datetime, timedelta
 
 import pytest
 
-from pulsegauge.operators.delivery import delivery_progress, delivery_summary, first_errors
+from pyspark.sql import functions as F
+
+from pulsegauge.functions import labels
+from pulsegauge.operators.delivery import (
+    delivery_progress,
+    delivery_report,
+    delivery_summary,
+    first_errors,
+)
 from pulsegauge.operators.lag import consumer_lag, high_lag, offsets_from_progress, positions
 from pulsegauge.schema import DELIVERY_SCHEMA, ENVELOPE_SCHEMA, OFFSETS_SCHEMA
 
@@ -52,6 +60,25 @@ def test_summary_without_duration(spark):
     assert found["duration_s"] == 0.0 and found["per_second"] == 0.0
 
 
+def test_report_is_text_for_people(spark):
+    log = spark.createDataFrame([attempt(i, i % 3 != 0) for i in range(3000)], DELIVERY_SCHEMA)
+    report = delivery_report(delivery_summary(log)).first().asDict()
+    assert report["messages_sent"] == "2,000" and report["messages_failed"] == "1,000"
+    assert report["success_rate"] == "66.67%" and report["latency"] == "2.00 ms"
+    assert report["duration"] == "2999.00 seconds" and report["per_hour"] == "2401 msg/hr"
+
+
+def test_labels(spark):
+    row = spark.range(1).select(
+        labels.numbered_sensor(F.lit(7)).alias("a"),
+        labels.status_key(F.lit("Critical")).alias("b"),
+        labels.or_missing(F.lit(None).cast("double")).alias("c"),
+        labels.or_missing(F.lit(0.0)).alias("d"),
+        labels.ratio(F.lit(1), F.lit(0)).alias("e"),
+    ).first()
+    assert tuple(row) == ("SENSOR-007", "critical", "N/A", "0.0", 0.0)
+
+
 def test_first_errors(spark):
     log = spark.createDataFrame([attempt(i, i % 2 == 0) for i in range(20)], DELIVERY_SCHEMA)
     assert [tuple(r) for r in first_errors(log).collect()] == [
