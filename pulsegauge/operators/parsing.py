@@ -13,6 +13,9 @@ from ..schema import POSITION_FIELDS, WIRE_FIELDS, WIRE_SCHEMA
 
 _CORRUPT = "_corrupt_record"
 
+# What JSON allows around a value.
+BLANKS = " \t\r\n"
+
 
 def decode(
     records: DataFrame,
@@ -44,7 +47,7 @@ def decode(
 
     payload = F.col("value")
     text = F.try_validate_utf8(payload.cast("string"))
-    blank = payload.isNull() | (F.trim(text) == "")
+    blank = payload.isNull() | (F.btrim(text, F.lit(BLANKS)) == "")
     prepared = records.select(
         *position,
         payload.cast("binary").alias("payload"),

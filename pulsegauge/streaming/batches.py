@@ -13,24 +13,22 @@ from pyspark.sql import types as T
 
 def write_batch(rows: DataFrame, table: str, batch_id: int, by: str | None = None) -> None:
     """Write the rows of a batch, in folders by the column ``by`` where given."""
-    if by is None:
-        rows.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
-        return
-    spread(rows, by).write.mode("overwrite").partitionBy(by).parquet(
-        f"{table}/batch_id={batch_id}"
-    )
+    writer = gathered(rows, by).write.mode("overwrite")
+    if by is not None:
+        writer = writer.partitionBy(by)
+    writer.parquet(f"{table}/batch_id={batch_id}")
 
 
-def spread(rows: DataFrame, by: str) -> DataFrame:
-    """Rows brought together by a column they are about to be split by.
+def gathered(rows: DataFrame, by: str | None = None) -> DataFrame:
+    """Rows brought together into files of a good size, by a column where given.
 
-    Otherwise every task writes a file for every value. A value with many rows
-    still goes to several tasks; that takes adaptive execution, and without it the
-    rows stay where they are.
+    Otherwise every task writes a file, and one for every value of the column. A
+    value with many rows still goes to several tasks; that takes adaptive execution,
+    and without it the rows stay where they are.
     """
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         return rows
-    return rows.hint("rebalance", F.col(by))
+    return rows.hint("rebalance", *([by] if by else []))
 
 
 # What a stream carries from batch to batch is kept in two folders in turn. A batch
@@ -42,7 +40,7 @@ AS_OF = "as_of"
 def write_turn(rows: DataFrame, table: str, batch_id: int) -> None:
     """Keep rows for the next batch."""
     marked = rows.withColumn(AS_OF, F.lit(batch_id).cast("bigint"))
-    marked.write.mode("overwrite").parquet(f"{table}/turn={batch_id % 2}")
+    gathered(marked).write.mode("overwrite").parquet(f"{table}/turn={batch_id % 2}")
 
 
 def read_turn(spark: SparkSession, table: str, batch_id: int, schema: T.StructType) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -10,6 +13,7 @@ from ..operators.window_stats import STATS
 from .batches import write_batch
 
 KEYS = ["window_start", "window_end", "sensor_type"]
+ROWS_PER_FILE = 1_000_000
 UPDATE_SCHEMA = (
     "window_start timestamp, window_end timestamp, sensor_type string, message_count bigint, "
     "avg_value double, max_value double, min_value double, batch_id bigint"
@@ -24,7 +28,14 @@ def keep_updates(stats: DataFrame, table: str, checkpoint: str) -> DataStreamWri
     """
 
     def keep(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, table, batch_id)
+        # Every task that keeps state has some of the few rows that changed. Cached,
+        # they are counted and brought together without touching the state again.
+        changed = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            files = max(1, math.ceil(changed.count() / ROWS_PER_FILE))
+            write_batch(changed.repartition(files), table, batch_id)
+        finally:
+            changed.unpersist()
 
     return (
         stats.writeStream.outputMode("update")

@@ -25,6 +25,7 @@ CASES = [
     (b"12", "bad_json"),
     (b"", "empty"),
     (b"  ", "empty"),
+    (b"\n\t ", "empty"),
     (None, "empty"),
     (b'{"sensor_id":"b","value":"12.5"' + TIME, "bad_json"),
     (b'{"sensor_id":"c","value":NaN' + TIME, "bad_value"),
@@ -72,14 +73,14 @@ def test_fields_of_a_reading(records):
     assert first["sensor_id"] == "sensor_4"
     assert first["value"] == first["metric_value"] == 21.37
     assert first["timestamp"] == datetime(2024, 1, 1, 0, 0, 1, 123456)
-    assert good[14]["value"] == 1.0
-    assert good[14]["timestamp"] == datetime(2024, 1, 1, 0, 0, 1)
-    assert good[15]["value"] is None and good[15]["sensor_type"] is None
+    assert good[15]["value"] == 1.0
+    assert good[15]["timestamp"] == datetime(2024, 1, 1, 0, 0, 1)
+    assert good[16]["value"] is None and good[16]["sensor_type"] is None
 
 
 def test_pattern_refuses_times_without_a_fraction(records):
     by_pattern = decode(records, time_pattern=WIRE_PATTERN)
-    reason = by_pattern.filter("offset = 14").first()["reason"]
+    reason = by_pattern.filter("offset = 15").first()["reason"]
     assert reason == "bad_timestamp"
     assert by_pattern.filter("offset = 0").first()["reason"] is None
 
