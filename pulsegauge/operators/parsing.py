@@ -45,30 +45,26 @@ def decode(
     )
     position = [name for name in POSITION_FIELDS if name in records.columns]
 
-    payload = F.col("value")
-    text = F.try_validate_utf8(payload.cast("string"))
-    blank = payload.isNull() | (F.btrim(text, F.lit(BLANKS)) == "")
-    prepared = records.select(
-        *position,
-        payload.cast("binary").alias("payload"),
-        text.alias("_text"),
-        F.when(blank, F.lit("empty"))
-        .when(text.isNull(), F.lit("bad_encoding"))
-        .alias("_unreadable"),
-    )
+    payload = F.col("value").cast("binary").alias("payload")
+    text = F.try_validate_utf8(F.col("value").cast("string"))
+    parsed = F.from_json(text, message, {"columnNameOfCorruptRecord": _CORRUPT})
     # inline() keeps from_json in a step of its own. As a plain struct column it
     # would be copied into every filter on the reason and the JSON parsed again
     # for each copy.
-    parsed = F.from_json("_text", message, {"columnNameOfCorruptRecord": _CORRUPT})
-    read = prepared.select(
-        *position, "payload", "_unreadable", F.inline(F.array(parsed))
-    ).withColumn("timestamp", parse_time(F.col("timestamp"), time_pattern))
-
-    reason = F.coalesce(
-        F.col("_unreadable"),
-        F.when(F.col(_CORRUPT).isNotNull(), F.lit("bad_json"))
-        .when(F.isnan("value"), F.lit("bad_value"))
-        .when(F.col("timestamp").isNull(), F.lit("bad_timestamp")),
+    read = records.select(*position, payload, F.inline(F.array(parsed))).withColumn(
+        "timestamp", parse_time(F.col("timestamp"), time_pattern)
+    )
+
+    received = F.col("payload").cast("string")
+    is_nan = F.coalesce(F.isnan("value"), F.lit(False))
+    # The first test settles it for a good reading, without a look at its payload.
+    reason = (
+        F.when(F.col(_CORRUPT).isNull() & F.col("timestamp").isNotNull() & ~is_nan, F.lit(None))
+        .when(received.isNull() | (F.btrim(received, F.lit(BLANKS)) == ""), F.lit("empty"))
+        .when(~F.is_valid_utf8(received), F.lit("bad_encoding"))
+        .when(F.col(_CORRUPT).isNotNull(), F.lit("bad_json"))
+        .when(is_nan, F.lit("bad_value"))
+        .otherwise(F.lit("bad_timestamp"))
     )
     return read.select(
         *wanted,

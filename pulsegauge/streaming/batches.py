@@ -6,11 +6,26 @@ again after a failure writes the same folder again, so nothing is lost or double
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run the writes of a batch at the same time; all must succeed.
+
+    They read the same cached rows and each is too small to fill a cluster.
+    """
+    with ThreadPoolExecutor(len(writes)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for write in started:
+        write.result()
+
+
 def write_batch(rows: DataFrame, table: str, batch_id: int, by: str | None = None) -> None:
     """Write the rows of a batch, in folders by the column ``by`` where given."""
     writer = gathered(rows, by).write.mode("overwrite")

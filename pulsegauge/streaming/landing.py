@@ -13,8 +13,14 @@ from ..functions.rules import UPPER, Rule
 from ..operators import snapshot
 from ..operators.alerts import alerts, newest
 from ..operators.parsing import bad_records, decode, readings
+from ..operators.snapshot import (
+    alerts_document,
+    metrics_document,
+    page_document,
+    write_document,
+)
 from ..schema import LANDED_SCHEMA, PARTIAL_SCHEMA, POSITION_FIELDS
-from .batches import latest_turn, read_turn, write_batch, write_turn
+from .batches import latest_turn, read_turn, together, write_batch, write_turn
 
 # Alerts listed on the dashboard.
 LISTED = 10
@@ -44,21 +50,26 @@ def land(
         try:
             good = readings(decoded)
             found = alerts(good, rules)
-            write_batch(bad_records(decoded), f"{root}/bad_records", batch_id)
-            write_batch(_dated(good), f"{root}/readings", batch_id, by="event_date")
-            write_batch(_dated(found), f"{root}/alerts", batch_id, by="event_date")
-
             before = read_turn(spark, f"{root}/fleet", batch_id - 1, PARTIAL_SCHEMA)
             parts = before.unionByName(snapshot.partials(good, rules))
-            write_turn(snapshot.merge_partials(parts), f"{root}/fleet", batch_id)
-
             listed = read_turn(spark, f"{root}/newest_alerts", batch_id - 1, LISTED_SCHEMA)
             listed = newest(listed.unionByName(found), LISTED, POSITION_FIELDS)
-            write_turn(listed, f"{root}/newest_alerts", batch_id)
+            together(
+                spark,
+                lambda: write_batch(bad_records(decoded), f"{root}/bad_records", batch_id),
+                lambda: write_batch(_dated(good), f"{root}/readings", batch_id, "event_date"),
+                lambda: write_batch(_dated(found), f"{root}/alerts", batch_id, "event_date"),
+                lambda: write_turn(snapshot.merge_partials(parts), f"{root}/fleet", batch_id),
+                lambda: write_turn(listed, f"{root}/newest_alerts", batch_id),
+            )
         finally:
             decoded.unpersist()
         if documents is not None:
-            publish(spark, root, documents)
+            publish(
+                read_turn(spark, f"{root}/fleet", batch_id, PARTIAL_SCHEMA),
+                read_turn(spark, f"{root}/newest_alerts", batch_id, LISTED_SCHEMA),
+                documents,
+            )
 
     return records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
 
@@ -78,9 +89,11 @@ def newest_alerts(spark: SparkSession, root: str) -> DataFrame:
     return newest(kept, LISTED, POSITION_FIELDS)
 
 
-def publish(spark: SparkSession, root: str, documents: str) -> None:
+def publish(parts: DataFrame, listed: DataFrame, documents: str) -> None:
     """Write the dashboard's documents from the state of the fleet."""
-    parts, listed = fleet(spark, root), newest_alerts(spark, root)
-    snapshot.write_document(snapshot.metrics_document(parts, listed), f"{documents}/metrics")
-    snapshot.write_document(snapshot.page_document(parts, listed), f"{documents}/page")
-    snapshot.write_document(snapshot.alerts_document(listed), f"{documents}/alerts")
+    together(
+        parts.sparkSession,
+        lambda: write_document(metrics_document(parts, listed), f"{documents}/metrics"),
+        lambda: write_document(page_document(parts, listed), f"{documents}/page"),
+        lambda: write_document(alerts_document(listed), f"{documents}/alerts"),
+    )
