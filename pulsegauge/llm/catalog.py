@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_zone
-from . import mixing, quality, urls, warc
+from . import mixing, passages, quality, urls, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,3 +55,11 @@ def op3_url_filters(spark: SparkSession, folder: str) -> DataFrame:
 def op4_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     return quality.report(docs)
+
+
+@registered
+def op7_passages(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return passages.remove_repeats(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )

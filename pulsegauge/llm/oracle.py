@@ -125,3 +125,24 @@ select *, n_words < {quality.LEAST_WORDS}
             or word_chars < 2 * n_words or word_chars > 15 * n_words) as kept
 from counts
 """
+
+ORACLE["op7_passages"] = f"""
+with docs as (
+  select doc_id, coalesce(regexp_extract_all(text, '{_WORD}'), []) as w,
+         row_number() over () as r from documents),
+windows as (
+  select r, i, doc_id > min(doc_id) over (partition by k) as gone
+  from (select r, doc_id, i, array_to_string(w[i : i + 12], ' ') as k
+        from (select r, doc_id, w, unnest(range(1, len(w) - 11)) as i from docs))),
+removed as (
+  select r, list(distinct i + j) as places
+  from windows, range(13) t(j) where gone group by r),
+kept as (
+  select doc_id, len(w) as n, len(coalesce(places, [])) as gone,
+         case when places is null then w
+              else list_filter(w, lambda x, i: not list_contains(places, i)) end as k
+  from docs left join removed using (r))
+select doc_id, n::bigint as n_words, gone::bigint as n_removed,
+       sha256(array_to_string(k, ' ')) as kept_sha256
+from kept
+"""
