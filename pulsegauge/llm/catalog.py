@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_zone
-from . import mixing, passages, quality, urls, warc
+from . import bpe, mixing, passages, quality, urls, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -63,3 +64,13 @@ def op7_passages(spark: SparkSession, folder: str) -> DataFrame:
     return passages.remove_repeats(docs).select(
         "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
     )
+
+
+def vocabulary() -> str:
+    """The vocabulary file the queries use; every executor finds it at the same place."""
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@registered
+def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    return bpe.encode_digests(table(spark, folder, "documents"), vocabulary())
