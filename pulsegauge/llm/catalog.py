@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_zone
-from . import bpe, mixing, passages, quality, urls, warc
+from . import bpe, mixing, neighbours, passages, quality, urls, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -74,3 +74,9 @@ def vocabulary() -> str:
 @registered
 def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
     return bpe.encode_digests(table(spark, folder, "documents"), vocabulary())
+
+
+@registered
+def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings")
+    return neighbours.search(vectors, F.col("vec_id") % 20 == 0)
