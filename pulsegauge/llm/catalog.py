@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_zone
-from . import bpe, mixing, neighbours, passages, quality, urls, warc
+from . import bpe, mixing, neighbours, passages, quality, similar, urls, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,8 @@ def op8_bpe(spark: SparkSession, folder: str) -> DataFrame:
 def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     vectors = table(spark, folder, "embeddings")
     return neighbours.search(vectors, F.col("vec_id") % 20 == 0)
+
+
+@registered
+def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return similar.join(table(spark, folder, "documents").select("doc_id", "text"))
