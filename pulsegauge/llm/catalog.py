@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_zone
-from . import bpe, mixing, neighbours, passages, quality, similar, urls, warc
+from . import bpe, identifiers, mixing, neighbours, passages, quality, similar, urls, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -85,3 +85,8 @@ def op9_neighbours(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return similar.join(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@registered
+def op5_identifiers(spark: SparkSession, folder: str) -> DataFrame:
+    return identifiers.report(table(spark, folder, "documents").select("doc_id", "text"))

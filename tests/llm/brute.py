@@ -1,0 +1,123 @@
+"""Plain versions of the operators, to hold their results against."""
+
+import hashlib
+import re
+from collections import Counter, defaultdict
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def sha256(text):
+    return hashlib.sha256(text.encode()).hexdigest()
+
+
+def words(text):
+    return WORD.findall(text or "")
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        n = int(d) * (1 + i % 2)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def identifiers(text):
+    """Spans of the fixed forms by kind."""
+    text = text or ""
+    digits = lambda m: re.sub("[^0-9]", "", m[0])
+    good = {
+        "email": (EMAIL, lambda m: True),
+        "ip": (IP, lambda m: all(int(p) <= 255 for p in m[0].split("."))),
+        "card": (CARD, lambda m: 16 <= len(digits(m)) <= 19 and luhn(digits(m))),
+        "phone": (PHONE, lambda m: 8 <= len(digits(m)) <= 15),
+    }
+    return {k: [m.span() for m in p.finditer(text) if ok(m)] for k, (p, ok) in good.items()}
+
+
+def listed(spans):
+    return ",".join(f"{k}:{a}:{b}" for k in spans for a, b in spans[k])
+
+
+def quality(text):
+    text = text or ""
+    w = words(text)
+    times = Counter(zip(w, w[1:], w[2:]))
+    again = {i + k for i in range(len(w) - 2) if times[tuple(w[i : i + 3])] > 1 for k in range(3)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    counts = (
+        len(w),
+        sum(map(len, w)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        len(again),
+    )
+    failed = counts[0] < 50 or 100 * counts[4] > 50 * counts[0]
+    odd = 10 * counts[2] > counts[0] or not 2 * counts[0] <= counts[1] <= 15 * counts[0]
+    return (*counts, failed, not failed and not odd)
+
+
+def passages(docs, width=13):
+    """n_words, n_removed and kept text by doc_id, of ``(doc_id, text)`` without repeated ids."""
+    key = lambda i: float("inf") if i is None else i
+    first = {}
+    for i, text in docs:
+        w = words(text)
+        for at in range(len(w) - width + 1):
+            window = tuple(w[at : at + width])
+            first[window] = min(first.get(window, key(i)), key(i))
+    out = []
+    for i, text in docs:
+        w = words(text)
+        gone = set()
+        for at in range(len(w) - width + 1):
+            if first[tuple(w[at : at + width])] < key(i):
+                gone.update(range(at, at + width))
+        out.append((i, len(w), len(gone), " ".join(x for k, x in enumerate(w) if k not in gone)))
+    return out
+
+
+def shingles(text, width=5):
+    w = words(text)
+    if len(w) < width:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)}
+
+
+def classes(docs):
+    """class_id, n_copies, n_links of every row, of ``(doc_id, text)``."""
+    texts = defaultdict(list)
+    for i, text in docs:
+        texts[text or ""].append(i)
+    keys = list(texts)
+    sets = [shingles(k) for k in keys]
+    links, owner = [0] * len(keys), list(range(len(keys)))
+
+    def find(x):
+        while owner[x] != x:
+            x = owner[x]
+        return x
+
+    for i, a in enumerate(sets):
+        for j in range(i):
+            shared = len(a & sets[j])
+            if shared and 5 * shared >= 4 * (len(a) + len(sets[j]) - shared):
+                links[i] += 1
+                links[j] += 1
+                x, y = sorted((find(i), find(j)))
+                owner[y] = x
+    least = {}
+    for i, k in enumerate(keys):
+        known = [x for x in texts[k] if x is not None]
+        if known:
+            least[find(i)] = min(least.get(find(i), min(known)), min(known))
+    return [
+        (x, least.get(find(i)), len(texts[k]) - 1, links[i])
+        for i, k in enumerate(keys)
+        for x in texts[k]
+    ]
