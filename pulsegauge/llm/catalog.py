@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_zone
-from . import bpe, identifiers, mixing, neighbours, passages, quality, similar, urls, warc
+from . import bpe, identifiers, mixing, neighbours, packing, passages, quality, similar, urls, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +90,9 @@ def op6_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def op5_identifiers(spark: SparkSession, folder: str) -> DataFrame:
     return identifiers.report(table(spark, folder, "documents").select("doc_id", "text"))
+
+
+@registered
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return packing.pack(docs.select("doc_id", F.col("text").cast("binary").alias("token_ids")))
