@@ -1,10 +1,61 @@
-"""From documents to token ids."""
+"""From documents to token ids: filter, deduplicate, mask, mix, encode."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulsegauge.llm import bpe, catalog, identifiers, mixing, quality, similar
+from pulsegauge.llm.common import settled, table
+from pulsegauge.session import pin_zone
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that break no quality rule."""
+    return quality.keep(docs)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each class of similar documents that with the smallest doc_id."""
+    return similar.one_of_each(docs)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Identifiers masked; ``n_chars`` follows the text."""
+    masked = identifiers.mask(docs)
+    return masked.withColumn(
+        "n_chars", F.coalesce(F.char_length("text").cast("long"), F.col("n_chars"))
+    ).select(docs.columns)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as its source's weight asks for."""
+    return mixing.mixed(docs)
+
+
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, source, and the ids of the text."""
+    encoded = bpe.encode(docs.select("doc_id", "source", "text"), catalog.vocabulary())
+    return encoded.select(
+        "doc_id", "source", F.size("token_ids").cast("long").alias("n_tokens"), "token_ids"
+    )
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("personal_data", personal_data),
+    ("source_mixing", source_mixing),
+    ("token_ids", token_ids),
+]
+
+# Similarity classes, learnt identifiers and token ids are beyond SQL.
 ORACLE_SQL = None
-STAGES = []
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stages in turn over all documents; what a stage keeps is written for the next."""
+    docs = table(pin_zone(spark), sf_dir, "documents")
+    for name, stage in STAGES[:-1]:
+        docs = settled(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
