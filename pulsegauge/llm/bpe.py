@@ -23,6 +23,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Pieces a worker remembers, about 200 bytes each.
 REMEMBERED = 700_000
@@ -364,10 +365,9 @@ def digests(texts: Iterator[str], path: str) -> Iterator[tuple[int, str, str]]:
         )
 
 
-def _with_row(docs: DataFrame, *dropped: str) -> tuple[DataFrame, str]:
+def _with_row(docs: DataFrame, *dropped: str) -> DataFrame:
     plain = docs.drop(*dropped)
-    held = plain.select(F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("row"))
-    return held, plain.schema.simpleString()
+    return plain.select(F.struct(*[F.col(f"`{c}`") for c in plain.columns]).alias("row"))
 
 
 def _texts(column: pa.Array) -> Iterator[str]:
@@ -382,7 +382,7 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     play no part, and an empty table gives none. A column called ``token_ids`` is
     replaced.
     """
-    held, kind = _with_row(docs, "token_ids")
+    held = _with_row(docs, "token_ids")
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -404,12 +404,13 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
             if parts:
                 yield done(len(rows))
 
-    return held.mapInArrow(encoded, f"row {kind}, token_ids array<int>").select("row.*", "token_ids")
+    kinds = T.StructType([*held.schema.fields]).add("token_ids", T.ArrayType(T.IntegerType()))
+    return held.mapInArrow(encoded, kinds).select("row.*", "token_ids")
 
 
 def decode(tokens: DataFrame, path: str, column: str = "token_ids") -> DataFrame:
     """The rows with ``decoded``, the text their ids stand for; null ids give an empty text."""
-    held, kind = _with_row(tokens, "decoded")
+    held = _with_row(tokens, "decoded")
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
@@ -421,7 +422,8 @@ def decode(tokens: DataFrame, path: str, column: str = "token_ids") -> DataFrame
                 [rows, pa.array(texts, pa.string())], names=["row", "decoded"]
             )
 
-    return held.mapInArrow(decoded, f"row {kind}, decoded string").select("row.*", "decoded")
+    kinds = T.StructType([*held.schema.fields]).add("decoded", T.StringType())
+    return held.mapInArrow(decoded, kinds).select("row.*", "decoded")
 
 
 def encode_digests(docs: DataFrame, path: str) -> DataFrame:

@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words as W
 from .common import text_bytes
@@ -39,7 +40,6 @@ ANCHORS_PER_BYTE = 1 / 14
 NO_ID = np.iinfo(np.int64).max
 SENT = "chunk long, bucket int, keys binary, ids binary"
 ANSWER = "chunk long, bucket int, kind int, bits binary"
-OUT = "n_words long, n_removed long, kept string"
 
 
 def cover(window: int) -> tuple[int, tuple[int, ...]]:
@@ -260,9 +260,14 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         .groupBy("bucket")
         .applyInArrow(_which_have_smaller, ANSWER)
     )
-    row = dealt.select("row").schema.simpleString().removeprefix("struct<").removesuffix(">")
+    kinds = (
+        T.StructType([dealt.schema["row"]])
+        .add("n_words", T.LongType())
+        .add("n_removed", T.LongType())
+        .add("kept", T.StringType())
+    )
     return (
         by_chunk.cogroup(shared.union(smaller).groupBy("chunk"))
-        .applyInArrow(removed, f"{row.replace('row:', 'row ', 1)}, {OUT}")
+        .applyInArrow(removed, kinds)
         .select("row.*", "n_words", "n_removed", "kept")
     )

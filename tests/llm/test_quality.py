@@ -1,0 +1,49 @@
+from pyspark.sql import functions as F
+
+from pulsegauge.llm import quality
+
+from . import brute
+from .conftest import texts
+
+COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+
+
+def compared(docs):
+    found = quality.report(docs).collect()
+    wanted = [(i, *brute.quality(text)) for i, text in texts(docs)]
+    assert sorted(repr(tuple(r[c] for c in ["doc_id", *COLUMNS])) for r in found) == sorted(map(repr, wanted))
+
+
+def test_counts(spark, documents):
+    compared(documents)
+
+
+def test_odd_rows(spark, odd_documents):
+    compared(odd_documents)
+    kept = quality.keep(odd_documents)
+    assert kept.columns == odd_documents.columns
+    wanted = [(i, t) for i, t in texts(odd_documents) if brute.quality(t)[-1]]
+    assert sorted(map(repr, texts(kept))) == sorted(map(repr, wanted))
+    assert quality.keep(odd_documents.limit(0)).count() == quality.report(odd_documents.limit(0)).count() == 0
+
+
+def test_repeats(spark):
+    rows = [(i, t) for i, t in enumerate(["a b c a b c", "a a a a", "a b c d a b c", "a b", "a a a", "x " * 700])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r[0]: r[1] for r in docs.select("doc_id", quality.n_repeat_words(quality.words(F.col("text")))).collect()}
+    assert found == {i: brute.quality(t)[4] for i, t in rows}
+
+
+def test_order_does_not_change_the_verdict(spark, documents):
+    text = F.coalesce("text", F.lit(""))
+    one = documents.filter(quality.verdict(quality.RULES, lambda r: r.broken(text)).isNull())
+    two = documents.filter(quality.verdict(quality.RULES[::-1], lambda r: r.broken(text)).isNull())
+    wanted = {i for i, t in texts(documents) if brute.quality(t)[-1]}
+    assert {r["doc_id"] for r in one.collect()} == {r["doc_id"] for r in two.collect()} == wanted
+
+
+def test_rules_go_by_rejections_for_their_cost(spark):
+    docs = spark.createDataFrame([(i, "a b " * (i % 2 * 40)) for i in range(40)], "doc_id long, text string")
+    never = quality.Rule("never", ("n_words",), lambda n: n < 0)
+    often = quality.Rule("often", ("n_words",), lambda n: n < 50)
+    assert [e.rule.name for e in quality.estimates(docs, (never, often))] == ["often", "never"]
