@@ -7,17 +7,19 @@ from pyspark.sql import functions as F
 
 # The text form writers use for a reading's time.
 WIRE_PATTERN = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+# What a time must begin with.
+DATED = r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
 def parse_time(text: Column, pattern: str | None = None) -> Column:
     """Text to timestamp, null when it is not one.
 
-    Without a pattern every ISO form is read, with or without a fraction. With
-    one, only text of exactly that form is; ``WIRE_PATTERN`` so refuses whole
+    Without a pattern every ISO form with a date is read, with or without a fraction;
+    a time alone is none, as it would be another one each day. With one, only text of exactly that form is; ``WIRE_PATTERN`` so refuses whole
     seconds, which some writers print without a fraction.
     """
     if pattern is None:
-        return text.try_cast("timestamp")
+        return F.when(F.rlike(text, F.lit(DATED)), text.try_cast("timestamp"))
     return F.try_to_timestamp(text, F.lit(pattern))
 
 

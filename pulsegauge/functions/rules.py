@@ -33,31 +33,42 @@ RANGE = (
     Rule("range", "pressure", lo=1000.0, hi=1030.0),
 )
 
-# Beyond this many rules a predicate is slower than a join.
-INLINE_LIMIT = 50
+
+def folded(rules: Sequence[Rule]) -> dict[str, tuple[float | None, float | None]]:
+    """One range per type that alerts for the same readings: the largest lo, the smallest hi."""
+    ranges: dict[str, tuple[float | None, float | None]] = {}
+    for rule in rules:
+        lo, hi = ranges.get(rule.sensor_type, (None, None))
+        if rule.lo is not None:
+            lo = rule.lo if lo is None else max(lo, rule.lo)
+        if rule.hi is not None:
+            hi = rule.hi if hi is None else min(hi, rule.hi)
+        ranges[rule.sensor_type] = (lo, hi)
+    return {kind: both for kind, both in ranges.items() if both != (None, None)}
 
 
 def breaks_rule(
     rules: Sequence[Rule], sensor_type: str = "sensor_type", value: str = "value"
 ) -> Column:
-    """True for a reading that breaks one of the rules.
+    """True for a reading that breaks one of the rules, however many there are.
 
-    The rules become literals, so on a landed table the test reaches the Parquet
-    scan and whole row groups are skipped.
+    The bounds of a reading's type are looked up in a literal map. The types, and the
+    widest of all bounds, are tested first as plain literals, so on a landed table
+    these tests reach the Parquet scan and whole row groups are skipped.
     """
-    if len(rules) > INLINE_LIMIT:
-        raise ValueError(f"{len(rules)} rules: join a rule table with violations()")
-    terms = []
-    for rule in rules:
-        sides = []
-        if rule.lo is not None:
-            sides.append(F.col(value) < rule.lo)
-        if rule.hi is not None:
-            sides.append(F.col(value) > rule.hi)
-        if sides:
-            outside = functools.reduce(operator.or_, sides)
-            terms.append((F.col(sensor_type) == rule.sensor_type) & outside)
-    return functools.reduce(operator.or_, terms, F.lit(False)) if terms else F.lit(False)
+    ranges = folded(rules)
+    if not ranges:
+        return F.lit(False)
+    known, outside = F.col(sensor_type).isin(*ranges), []
+    for side, compare, widest in ((0, operator.lt, max), (1, operator.gt, min)):
+        bounds = {kind: both[side] for kind, both in ranges.items() if both[side] is not None}
+        if bounds:
+            table = F.create_map(*[F.lit(x) for pair in bounds.items() for x in pair])
+            own = F.try_element_at(table, F.col(sensor_type))
+            outside.append((compare(F.col(value), widest(bounds.values())), compare(F.col(value), own)))
+    some = functools.reduce(operator.or_, [loose for loose, _ in outside])
+    exact = functools.reduce(operator.or_, [F.coalesce(own, F.lit(False)) for _, own in outside])
+    return known & some & exact
 
 
 def rule_table(spark: SparkSession, rules: Sequence[Rule]) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.clock import display_time
 from ..functions.labels import alert_label
 from ..functions.rules import HOT, UPPER, Rule, breaks_rule
+from ..schema import sequence_of
 
 
 def alerts(readings: DataFrame, rules: Sequence[Rule] = UPPER) -> DataFrame:
@@ -23,10 +24,8 @@ def alerts(readings: DataFrame, rules: Sequence[Rule] = UPPER) -> DataFrame:
 
 def hot_readings(readings: DataFrame, rules: Sequence[Rule] = HOT) -> DataFrame:
     """Temperature alerts in the short form, works on streams like ``alerts``."""
-    return (
-        alerts(readings.withColumn("metric_value", F.col("value").cast("double")), rules)
-        .select("timestamp", "sensor_id", "sensor_type", "metric_value", "location")
-        .withColumnRenamed("metric_value", "temperature_value")
+    return alerts(readings, rules).select(
+        "timestamp", "sensor_id", "sensor_type", F.col("value").alias("temperature_value"), "location"
     )
 
 
@@ -46,10 +45,13 @@ def violations(readings: DataFrame, rules: DataFrame) -> DataFrame:
     )
 
 
-def newest(
-    rows: DataFrame, count: int = 10, tie_break: Sequence[str] = ("event_id",)
-) -> DataFrame:
-    """The ``count`` newest rows, newest first; ``tie_break`` orders equal times."""
+def newest(rows: DataFrame, count: int = 10, tie_break: Sequence[str] | None = None) -> DataFrame:
+    """The ``count`` newest rows, newest first.
+
+    ``tie_break`` orders equal times: the position of landed readings by default, or
+    their event_id where they have no position.
+    """
+    tie_break = sequence_of(rows) if tie_break is None else tie_break
     order = [F.desc("timestamp"), *(F.asc(name) for name in tie_break)]
     return rows.orderBy(*order).limit(count)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -15,6 +16,8 @@ _CORRUPT = "_corrupt_record"
 
 # What JSON allows around a value.
 BLANKS = " \t\r\n"
+# The largest finite number.
+MOST = sys.float_info.max
 
 
 def decode(
@@ -32,11 +35,12 @@ def decode(
 
     ``empty``         no payload, or blank
     ``bad_encoding``  not UTF-8
-    ``bad_json``      not a JSON object, or a field of the wrong type
-    ``bad_value``     the value is NaN
+    ``bad_json``      not a JSON object, a field of the wrong type, or text after it
+    ``bad_value``     the value is no finite number
     ``bad_timestamp`` no time, or one that cannot be read
 
-    Unknown fields are dropped and missing ones are null. ``fields`` narrows what
+    Of two objects in one message only the first is read. Unknown fields are dropped
+    and missing ones are null. ``fields`` narrows what
     is read from the JSON; value and timestamp always are, as reasons need them.
     """
     wanted = [f for f in WIRE_FIELDS if f in {*fields, "value", "timestamp"}]
@@ -56,14 +60,16 @@ def decode(
     )
 
     received = F.col("payload").cast("string")
-    is_nan = F.coalesce(F.isnan("value"), F.lit(False))
-    # The first test settles it for a good reading, without a look at its payload.
+    # NaN is larger than any number in this comparison.
+    no_number = F.coalesce(F.abs("value") > MOST, F.lit(False))
+    trailing = ~F.endswith(F.rtrim(received, F.lit(BLANKS)), F.lit("}"))
+    # The first test settles it for a good reading.
     reason = (
-        F.when(F.col(_CORRUPT).isNull() & F.col("timestamp").isNotNull() & ~is_nan, F.lit(None))
+        F.when(F.col(_CORRUPT).isNull() & F.col("timestamp").isNotNull() & ~no_number & ~trailing, F.lit(None))
         .when(received.isNull() | (F.btrim(received, F.lit(BLANKS)) == ""), F.lit("empty"))
         .when(~F.is_valid_utf8(received), F.lit("bad_encoding"))
-        .when(F.col(_CORRUPT).isNotNull(), F.lit("bad_json"))
-        .when(is_nan, F.lit("bad_value"))
+        .when(F.col(_CORRUPT).isNotNull() | trailing, F.lit("bad_json"))
+        .when(no_number, F.lit("bad_value"))
         .otherwise(F.lit("bad_timestamp"))
     )
     return read.select(

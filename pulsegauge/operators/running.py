@@ -10,6 +10,11 @@ type would leave all the work to a handful of tasks. ``running_stats`` therefore
 cuts each type's order into slices of about equal size, hands each slice the few
 readings before it, and runs the same window per type and slice. The result does
 not depend on where the cuts are.
+
+The readings are scanned three times: counted by type and day, sampled for the cut
+points, and worked off. The cut points are a table of their own in the working
+folder, a row for each type and day, and readings are joined to the row of theirs;
+their number grows with the readings, and no more than a day's are in one row.
 """
 
 from __future__ import annotations
@@ -17,16 +22,17 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..schema import sequence_of
+from ..session import working_folder
+from ..sources.tables import stored
+
 HISTORY = 10
 MIN_ROWS = 10
 
 ROWS_PER_SLICE = 2_000_000
-# Cut points are held in memory, so their number is bounded. Beyond
-# MAX_SLICES * ROWS_PER_SLICE readings the slices grow, and sort by spilling.
-MAX_SLICES = 50_000
 # Sampled readings per slice when looking for the cut points. A slice borrows about
 # HISTORY / SAMPLED_PER_SLICE of its own size.
 SAMPLED_PER_SLICE = 200
@@ -36,7 +42,7 @@ def running_stats(
     readings: DataFrame,
     *,
     key: str = "sensor_type",
-    order_by: Sequence[str] = ("timestamp", "event_id"),
+    order_by: Sequence[str] | None = None,
     history: int = HISTORY,
     min_rows: int = MIN_ROWS,
     slices: int | None = None,
@@ -45,7 +51,8 @@ def running_stats(
 
     ``order_by`` must tell any two readings of a type apart, as a timestamp with a
     sequence number does: equal ones cannot be cut apart, nor have they an order of
-    their own. For landed readings that is timestamp, partition and offset. Readings without a value are left out first. With
+    their own. By default that is the timestamp with the position of landed readings,
+    or with the event_id of others. Readings without a value are left out first. With
     ``slices=None`` their number follows from that of the readings; this and the
     cut points take a job each before the result is returned.
     """
@@ -64,7 +71,7 @@ def recent_values(
     readings: DataFrame,
     *,
     key: str = "sensor_type",
-    order_by: Sequence[str] = ("timestamp", "event_id"),
+    order_by: Sequence[str] | None = None,
     history: int = HISTORY,
     slices: int | None = None,
 ) -> DataFrame:
@@ -76,40 +83,52 @@ def recent_values(
 
 
 def _over_recent(readings, key, order_by, history, min_rows, slices, measures) -> DataFrame:
-    order_by = list(order_by)
+    order_by = ["timestamp", *sequence_of(readings)] if order_by is None else list(order_by)
     rows = readings.filter(F.col("value").isNotNull()).select(key, *order_by, "value")
-    total = rows.count()
-    if slices is None:
-        slices = math.ceil(total / ROWS_PER_SLICE)
-    slices = min(slices, MAX_SLICES)
-    if slices <= 1 or total == 0:
-        rows = rows.select("*", F.lit(0).alias("slice"), F.lit(False).alias("borrowed"))
-    else:
-        rows = _sliced(rows, total, key, order_by, history, slices)
     window = Window.partitionBy(key, "slice").orderBy(*order_by)
     frame = window.rowsBetween(-history, 0)
     return (
-        rows.select("*", F.count("*").over(frame).alias("_seen"), *measures(frame))
+        _sliced(rows, key, order_by, history, slices)
+        .select("*", F.count("*").over(frame).alias("_seen"), *measures(frame))
         .filter(~F.col("borrowed") & (F.col("_seen") >= min_rows))
         .drop("slice", "borrowed", "_seen")
     )
 
 
+def _day(rows: DataFrame, order_by: list[str]) -> Column:
+    """The day a row is in the order of, null where the order is not one of times."""
+    kind = dict(rows.dtypes)[order_by[0]]
+    day = F.to_date(order_by[0]) if kind.startswith(("timestamp", "date")) else F.lit(None)
+    return day.cast("date")
+
+
 def _sliced(
-    rows: DataFrame, total: int, key: str, order_by: list[str], history: int, slices: int
+    rows: DataFrame, key: str, order_by: list[str], history: int, slices: int | None
 ) -> DataFrame:
     """Rows with their slice, and again with the next one where that borrows them.
 
     Borrowed rows come right before their slice and are ``history`` at least, more
     if so many lie between two sampled rows; the frame takes what it needs.
     """
-    share = min(1.0, SAMPLED_PER_SLICE * slices / total)
+    spark = rows.sparkSession
+    rows = rows.withColumn("_day", _day(rows, order_by))
+    days = stored(
+        rows.groupBy(key, "_day").agg(F.count("*").alias("_rows")), working_folder(spark, "days")
+    )
+    total = days.agg(F.sum("_rows")).first()[0] or 0
+    slices = max(1, math.ceil(total / ROWS_PER_SLICE)) if slices is None else slices
+    share = min(1.0, SAMPLED_PER_SLICE * slices / max(1, total))
     step = max(history + 1, round(share * total / slices))
-    placed = _placed(rows, _cut_points(rows, key, order_by, history, share, step), key, order_by)
+    points = stored(
+        _by_day(days, _cut_points(rows, key, order_by, history, share, step), key),
+        working_folder(spark, "cut-points"),
+    )
+    placed = _placed(rows, points, key, order_by)
     here = F.struct(*order_by)
-    own = F.struct("slice", F.lit(False).alias("borrowed"))
-    next_too = F.struct((F.col("slice") + 1).alias("slice"), F.lit(True).alias("borrowed"))
-    lent = F.get("since", F.col("slice")) <= here
+    slice = F.col("_base") + F.col("_local")
+    own = F.struct(slice.alias("slice"), F.lit(False).alias("borrowed"))
+    next_too = F.struct((slice + 1).alias("slice"), F.lit(True).alias("borrowed"))
+    lent = F.get("_since", F.col("_local")) <= here
     return placed.select(
         key,
         *order_by,
@@ -121,56 +140,78 @@ def _sliced(
 def _cut_points(
     rows: DataFrame, key: str, order_by: list[str], history: int, share: float, step: int
 ) -> DataFrame:
-    """Per key where its slices begin and since where each borrows, both in order.
+    """Where slices begin, and since where each borrows.
 
     Of a sample, every ``step``-th row of a key is a cut point, and the slice there
     borrows since the sampled row ``history`` before. So at least that many rows
     are borrowed, and, as ``step`` is larger, from one slice only.
-
-    The points are fetched once, so that a task that runs again places its rows as
-    before. There are about as many as slices.
     """
-    sampled = rows.select(key, *order_by)
+    sampled = rows.select(key, "_day", *order_by)
     if share < 1.0:
         sampled = sampled.sample(share, seed=0)
     sampled = sampled.distinct()
     along = Window.partitionBy(key).orderBy(*order_by)
     point = F.struct(*order_by)
-    points = (
-        sampled.select(
-            key,
-            point.alias("cut"),
-            F.lag(point, history).over(along).alias("since"),
-            F.row_number().over(along).alias("place"),
+    return sampled.select(
+        key,
+        "_day",
+        point.alias("cut"),
+        F.lag(point, history).over(along).alias("since"),
+        F.row_number().over(along).alias("place"),
+    ).filter(F.col("place") % step == 0)
+
+
+def _by_day(days: DataFrame, points: DataFrame, key: str) -> DataFrame:
+    """For each key and day its cuts in order, how many came before, and since where
+    each slice that follows one of its rows borrows."""
+    grouped = points.groupBy(F.col(key).alias("_key"), F.col("_day").alias("_at")).agg(
+        F.array_sort(F.collect_list("cut")).alias("_cuts"),
+        F.array_sort(F.collect_list("since")).alias("_own"),
+    )
+    along = Window.partitionBy(key).orderBy("_day")
+    before = along.rowsBetween(Window.unboundedPreceding, -1)
+    after = along.rowsBetween(1, Window.unboundedFollowing)
+    cuts = F.coalesce(F.size("_cuts"), F.lit(0))
+    following = F.first(F.get("_own", F.lit(0)), ignorenulls=True).over(after)
+    return (
+        days.join(
+            grouped,
+            F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_at")),
+            "left",
         )
-        .filter(F.col("place") % step == 0)
-        .groupBy(key)
-        .agg(
-            F.array_sort(F.collect_list("cut")).alias("cuts"),
-            F.array_sort(F.collect_list("since")).alias("since"),
+        .select(key, "_day", "_cuts", "_own", F.when(F.col("_cuts").isNotNull(), cuts).otherwise(0).alias("_n"))
+        .select(
+            F.col(key).alias("_key"),
+            F.col("_day").alias("_at"),
+            "_cuts",
+            F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("int").alias("_base"),
+            F.when(F.col("_cuts").isNull(), F.array(following))
+            .otherwise(F.concat("_own", F.array(following)))
+            .alias("_since"),
         )
     )
-    return rows.sparkSession.createDataFrame(points.toArrow(), points.schema)
 
 
 def _placed(rows: DataFrame, points: DataFrame, key: str, order_by: list[str]) -> DataFrame:
-    """Each row with its key's points and ``slice``, the number of cuts not after it.
+    """Each row with its day's points and ``_local``, the number of cuts of that day not after it.
 
-    A binary search, one step per column: ``slice`` moves on by a power of two
+    A binary search, one step per column: ``_local`` moves on by a power of two
     whenever the cut reached that way is not after the row.
     """
-    longest = points.agg(F.max(F.size("cuts"))).first()[0] or 0
+    longest = points.agg(F.max(F.coalesce(F.size("_cuts"), F.lit(0)))).first()[0] or 0
     here = F.struct(*order_by)
-    # eqNullSafe, so that rows without a type are cut up like any other. The points
-    # are few: MAX_SLICES bounds them.
-    known = F.broadcast(points.withColumnRenamed(key, "_key"))
-    placed = rows.join(known, F.col(key).eqNullSafe(F.col("_key")), "left").drop("_key")
-    placed = placed.withColumn("slice", F.lit(0))
-    for power in reversed(range(longest.bit_length())):
+    # eqNullSafe, so that rows without a type are cut up like any other. Its size
+    # decides how the table of points is joined.
+    placed = rows.join(
+        points,
+        F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_at")),
+        "left",
+    ).withColumn("_local", F.lit(0))
+    for power in reversed(range(max(0, longest).bit_length())):
         step = 1 << power
-        reached = F.get("cuts", F.col("slice") + (step - 1))
+        reached = F.get("_cuts", F.col("_local") + (step - 1))
         placed = placed.withColumn(
-            "slice", F.col("slice") + F.when(reached <= here, step).otherwise(0)
+            "_local", F.col("_local") + F.when(reached <= here, step).otherwise(0)
         )
     return placed
 

@@ -305,7 +305,7 @@ def land_alerts(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def land_bad_records(spark: SparkSession, folder: str) -> DataFrame:
     bad = tables.landed_bad_records(spark, _landed(spark, folder))
-    return bad.groupBy("reason", "topic", "partition").agg(F.count("*").alias("records"))
+    return bad.withColumn("payload", F.hex("payload")).drop("batch_id")
 
 
 @registered

@@ -41,14 +41,21 @@ SENT = f"""{R}, texts as (
                    when 5 then regexp_replace(text, '"value":([^,]*)', '"value":"\\1"')
                    when 6 then regexp_replace(text, '"value":[^,]*', '"value":NaN')
                    when 8 then regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"junk"')
+                   when 11 then regexp_replace(text, '"value":[^,]*', '"value":1e400')
+                   when 12 then regexp_replace(text, '"value":[^,]*', '"value":-Infinity')
+                   when 13 then regexp_replace(text, '"timestamp":"[^T]*T', '"timestamp":"')
+                   when 14 then text || ' and more'
                    else text end as payload,
+           case when kind in (1, 4) then 'empty' when kind = 7 then 'bad_encoding'
+                when kind in (6, 11, 12) then 'bad_value' when kind in (8, 13) then 'bad_timestamp'
+                when kind in (0, 2, 3, 5, 14) then 'bad_json' end as reason,
            'iot-sensors' as topic, cast(user_id % 3 as integer) as partition
     from texts
 ), good as (
     select sensor_id, sensor_type, location, value, unit,
            case when kind = 9 then date_trunc('second', timestamp) else timestamp end as timestamp,
            quality, value as metric_value, topic, partition, event_id as "offset", kind
-    from sent where kind > 8
+    from sent where reason is null
 )"""
 
 STATS = """count(*) as message_count, round(avg(value), 8) as avg_value,
@@ -166,11 +173,8 @@ ORACLE = {
     "bad_records": f"""{SENT}
         select case when kind = 7 then 'FF' || hex(encode(payload))
                     else hex(encode(payload)) end as payload,
-               case when kind in (1, 4) then 'empty' when kind = 7 then 'bad_encoding'
-                    when kind = 6 then 'bad_value' when kind = 8 then 'bad_timestamp'
-                    else 'bad_json' end as reason,
-               topic, partition, event_id as "offset"
-        from sent where kind <= 8""",
+               reason, topic, partition, event_id as "offset"
+        from sent where reason is not null""",
     "encode_records": f"{R} select sensor_id as key, {JSON_TEXT} as value from r",
     "encode_records_unkeyed": f"""{R}
         select cast(null as varchar) as key, {JSON_TEXT} as value from r""",
@@ -278,11 +282,10 @@ ORACLE = {
     "land_alerts": f"""{SENT}
         select * exclude (kind), cast(timestamp as date) as event_date from good where {UPPER}""",
     "land_bad_records": f"""{SENT}
-        select case when kind in (1, 4) then 'empty' when kind = 7 then 'bad_encoding'
-                    when kind = 6 then 'bad_value' when kind = 8 then 'bad_timestamp'
-                    else 'bad_json' end as reason,
-               topic, partition, count(*) as records
-        from sent where kind <= 8 group by 1, 2, 3""",
+        select case when kind = 7 then 'FF' || hex(encode(payload))
+                    else hex(encode(payload)) end as payload,
+               reason, topic, partition, event_id as "offset"
+        from sent where reason is not null""",
     "fleet_snapshot_stream": SENT + ", " + SNAPSHOT.format(table="good"),
     "recent_alerts_stream": f"""{SENT}
         select sensor_id, 'HIGH_' || upper(sensor_type) as type, location,

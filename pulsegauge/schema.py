@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 # One sensor message as it appears on the wire. Every field may be missing.
@@ -23,6 +24,13 @@ WIRE_FIELDS = WIRE_SCHEMA.fieldNames()
 # again and so that equal timestamps still have a fixed order.
 POSITION_FIELDS = ["topic", "partition", "offset"]
 
+
+
+def sequence_of(rows: DataFrame) -> list[str]:
+    """The columns that tell readings of one time apart."""
+    return POSITION_FIELDS if set(POSITION_FIELDS) <= set(rows.columns) else ["event_id"]
+
+
 # A record as the Kafka source delivers it.
 ENVELOPE_SCHEMA = T.StructType(
     [

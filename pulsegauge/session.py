@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 from pyspark.sql import SparkSession
@@ -35,9 +36,15 @@ def working_folder(spark: SparkSession, name: str) -> str:
     """A new, unused folder for tables and stream checkpoints.
 
     It lies in the shared folder the cluster names in ``spark.checkpoint.dir``.
-    Only where that is unset, as in tests, is a local folder made.
+    Only where that is unset and all runs in one process, as in tests, is a local
+    folder made; executors of a cluster would not see each other's files there.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or _local_folder()
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if not shared:
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder all of {master} share")
+        shared = _local_folder()
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 

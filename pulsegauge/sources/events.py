@@ -81,11 +81,12 @@ def as_readings(rows: DataFrame) -> DataFrame:
 
 
 def as_records(rows: DataFrame) -> DataFrame:
-    """One record per event as Kafka would deliver it, eleven in fifty of them odd.
+    """One record per event as Kafka would deliver it, some in fifty of them odd.
 
-    By ``event_id`` modulo 50, nine kinds are bad: 0 broken JSON, 1 null, 2 an
-    array, 3 a JSON null, 4 blank, 5 the value as text, 6 NaN, 7 not UTF-8, 8 no
-    time. Two are good: 9 has a time without a fraction, 10 a field nobody knows.
+    By ``event_id`` modulo 50, these kinds are bad: 0 broken JSON, 1 null, 2 an array,
+    3 a JSON null, 4 blank, 5 the value as text, 6 NaN, 7 not UTF-8, 8 no time, 11 too
+    large a number, 12 infinity, 13 a time without a date, 14 text after the object.
+    Two are good: 9 has a time without a fraction, 10 a field nobody knows.
     """
     kind, text = F.pmod("event_id", F.lit(50)), F.col("text")
     sent = (
@@ -99,6 +100,10 @@ def as_records(rows: DataFrame) -> DataFrame:
         .when(kind == 8, F.regexp_replace(text, '"timestamp":"[^"]*"', '"timestamp":"junk"'))
         .when(kind == 9, F.regexp_replace(text, r"\.[0-9]{6}\"", '"'))
         .when(kind == 10, F.concat(F.lit('{"extra":1,'), F.substr(text, F.lit(2))))
+        .when(kind == 11, F.regexp_replace(text, '"value":[^,]*', '"value":1e400'))
+        .when(kind == 12, F.regexp_replace(text, '"value":[^,]*', '"value":-Infinity'))
+        .when(kind == 13, F.regexp_replace(text, '"timestamp":"[^T]*T', '"timestamp":"'))
+        .when(kind == 14, F.concat(text, F.lit(" and more")))
         .otherwise(text)
     )
     mark = F.when(kind == 7, F.unhex(F.lit("FF"))).otherwise(F.lit("").cast("binary"))

@@ -5,8 +5,10 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from pulsegauge.functions.rules import HOT, RANGE, UPPER, Rule, breaks_rule, rule_table
+from pulsegauge.functions.rules import HOT, RANGE, UPPER, Rule, folded, rule_table
 from pulsegauge.operators.alerts import alert_lines, alerts, hot_readings, newest, violations
+from pulsegauge.operators.snapshot import partials
+from pulsegauge.operators.window_stats import health_by_window
 from pulsegauge.schema import RULE_SCHEMA
 
 VALUES = [
@@ -88,11 +90,20 @@ def test_open_sides_and_several_rules_for_a_type(spark, rows):
     assert alerts(rows, [Rule("c", "temperature")]).count() == 0
 
 
-def test_many_rules_take_a_join(spark, rows):
-    many = [Rule("many", f"type_{i}", hi=1.0) for i in range(51)]
-    with pytest.raises(ValueError):
-        breaks_rule(many)
-    assert violations(rows, rule_table(spark, many)).count() == 0
+def test_a_thousand_rules(spark, rows):
+    many = [Rule("many", f"type_{i}", lo=-5.0, hi=1.0) for i in range(1000)] + list(RANGE)
+    assert alerts(rows, many).count() == alerts(rows, RANGE).count() > 0
+    more = rows.withColumn("sensor_type", F.lit("type_999"))
+    outside = more.filter("value < -5 or value > 1").count()
+    assert alerts(more, many).count() == outside > 0
+    assert partials(more, many).agg(F.sum("alerts")).first()[0] == outside
+    found = health_by_window(more, many).agg(F.sum("total_alerts")).first()[0]
+    assert found == more.filter("timestamp is not null and (value < -5 or value > 1)").count()
+
+
+def test_rules_of_a_type_fold_to_one_range():
+    rules = [Rule("a", "x", lo=1.0, hi=9.0), Rule("b", "x", hi=7.0), Rule("c", "x", lo=2.0), Rule("d", "y")]
+    assert folded(rules) == {"x": (2.0, 7.0)}
 
 
 def test_small_rule_table_is_broadcast_by_its_size(spark, rows):

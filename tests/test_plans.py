@@ -2,12 +2,12 @@
 
 import pytest
 
-from __spark_entry__ import entry, queries
-from pulsegauge.operators import running
+from __spark_entry__ import entry
 from pulsegauge.operators.running import last_rows
+from pulsegauge.plans.catalog import REGISTERED
 from pulsegauge.sources import events
 
-BATCH = sorted(name for name in queries() if not name.startswith("land_") and "stream" not in name)
+BATCH = sorted(name for name in REGISTERED if not name.startswith("land_") and "stream" not in name)
 
 
 def plan_of(frame):
@@ -16,7 +16,7 @@ def plan_of(frame):
 
 @pytest.mark.parametrize("name", BATCH)
 def test_no_cross_joins_and_no_python(spark, tables, name):
-    plan = plan_of(queries()[name](spark, tables))
+    plan = plan_of(REGISTERED[name](spark, tables))
     for bad in ("NestedLoop", "Cartesian", "Python", "InPandas", "InArrow", "MapPartitions"):
         assert bad not in plan
     assert "FileScan parquet" in plan
@@ -24,7 +24,7 @@ def test_no_cross_joins_and_no_python(spark, tables, name):
 
 def test_scans_read_only_what_is_used(spark, tables):
     def read(name):
-        plan = plan_of(queries()[name](spark, tables))
+        plan = plan_of(REGISTERED[name](spark, tables))
         return plan[plan.index("ReadSchema: ") :].split("\n")[0]
 
     assert read("window_stats_30s") == (
@@ -43,11 +43,6 @@ def test_last_rows_are_cut_before_the_shuffle(spark, tables):
     assert plan.index("WindowGroupLimit") < plan.index("Exchange") < plan.rindex("WindowGroupLimit")
 
 
-def test_readings_without_a_cut_need_no_search(spark, tables):
-    rows = events.as_readings(events.events(spark, tables))
-    assert "Join" not in plan_of(running.running_stats(rows))
-
-
 def test_entry(spark):
     frame = entry(spark)
     assert frame.columns == [
