@@ -7,18 +7,20 @@ same functions serve a whole table and a stream that keeps partials per batch.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.clock import display_time, wire_time
-from ..functions.labels import alert_label, health, or_missing
+from ..functions.labels import MISSING, alert_label, health
 from ..functions.rules import UPPER, Rule, breaks_rule
 
-# Entries a document may list. A document is one value in one task, so it refuses
-# to grow past this; the row forms below have no limit.
-DOCUMENT_LIMIT = 10_000
+# Entries a page of a document lists, about.
+PAGE_SIZE = 10_000
+# Documents are replaced in turn, so that a reader finds the newest while one is written.
+TURNS = 16
 
 
 def partials(readings: DataFrame, rules: Sequence[Rule] = UPPER) -> DataFrame:
@@ -115,22 +117,28 @@ def _average() -> Column:
     return F.round(F.try_divide(F.sum("total"), F.sum("values")), 2)
 
 
-def metrics_document(parts: DataFrame, newest_alerts: DataFrame) -> DataFrame:
-    """One row, one column ``document``: the backend's figures as JSON.
+def metrics_document(
+    parts: DataFrame, newest_alerts: DataFrame, page_size: int = PAGE_SIZE
+) -> DataFrame:
+    """``page`` and ``document``: the backend's figures as JSON.
 
-    Types are listed by name, alerts newest first; N/A stands for no average.
+    Types are listed by name, alerts newest first; N/A stands for no average. There is
+    one page unless there are more entries than ``page_size``; then each type and alert
+    is on one of several, by hash, and the figures are on all.
     """
     stats = type_stats(parts).select(
+        F.coalesce("sensor_type", F.lit("")).alias("key"),
         F.col("sensor_type").alias("place"),
         F.struct(
             "sensor_type",
             "count",
-            or_missing(F.col("avg_temp")).alias("avg_temp"),
-            or_missing(F.col("avg_humidity")).alias("avg_humidity"),
-            or_missing(F.col("avg_value")).alias("avg_value"),
+            _number_or_missing("avg_temp"),
+            _number_or_missing("avg_humidity"),
+            _number_or_missing("avg_value"),
         ).alias("entry"),
     )
     recent = newest_alerts.select(
+        _alert_key(),
         _newest_first(),
         F.struct(
             "sensor_id",
@@ -141,29 +149,34 @@ def metrics_document(parts: DataFrame, newest_alerts: DataFrame) -> DataFrame:
     )
     return _document(
         totals(parts).select(F.struct("*").alias("figures")),
-        _listed(stats, "sensor_stats"),
-        _listed(recent, "recent_alerts"),
+        {"sensor_stats": stats, "recent_alerts": recent},
+        page_size,
         [*_figures(), "sensor_stats", "recent_alerts"],
     )
 
 
-def page_document(parts: DataFrame, newest_alerts: DataFrame) -> DataFrame:
-    """The same figures in the shape the dashboard page reads.
+def page_document(
+    parts: DataFrame, newest_alerts: DataFrame, page_size: int = PAGE_SIZE
+) -> DataFrame:
+    """The same figures in the shape the dashboard page reads, in pages likewise.
 
     ``sensor_stats`` is an object with a key per type, and ``alerts`` holds the
-    readings themselves; ``displayed_alerts`` is how many.
+    readings themselves; ``displayed_alerts`` is how many. Readings without a type
+    count under the key ``null``, together with a type of that name.
     """
-    cards = type_cards(parts).select(
+    named = parts.withColumn("sensor_type", F.coalesce("sensor_type", F.lit("null")))
+    cards = type_cards(named).select(
+        F.col("sensor_type").alias("key"),
         F.col("sensor_type").alias("place"),
         F.struct(
-            F.coalesce("sensor_type", F.lit("null")).alias("key"),
+            F.col("sensor_type").alias("key"),
             F.struct("avg", "min", "max", "count").alias("card"),
         ).alias("entry"),
     )
     return _document(
         totals(parts).select(F.struct("*").alias("figures")),
-        _listed(cards, "cards"),
-        _listed(_alert_entries(newest_alerts), "alerts"),
+        {"cards": cards, "alerts": _alert_entries(newest_alerts)},
+        page_size,
         [
             *_figures(),
             F.size("alerts").alias("displayed_alerts"),
@@ -173,15 +186,27 @@ def page_document(parts: DataFrame, newest_alerts: DataFrame) -> DataFrame:
     )
 
 
-def alerts_document(newest_alerts: DataFrame) -> DataFrame:
-    """One row, one column ``document``: the newest alerts as a JSON array."""
-    return _listed(_alert_entries(newest_alerts), "alerts").select(
-        F.to_json("alerts").alias("document")
-    )
+def alerts_document(newest_alerts: DataFrame, page_size: int = PAGE_SIZE) -> DataFrame:
+    """``page`` and ``document``: the newest alerts as a JSON array, in pages likewise."""
+    one = newest_alerts.agg(F.count("*")).select(F.struct(F.lit(None).alias("none")).alias("figures"))
+    return _document(one, {"alerts": _alert_entries(newest_alerts)}, page_size, "alerts")
+
+
+def _number_or_missing(name: str) -> Column:
+    """A JSON number, or the text that stands for none."""
+    missing = F.parse_json(F.lit(f'"{MISSING}"'))
+    return F.coalesce(F.parse_json(F.col(name).cast("string")), missing).alias(name)
+
+
+def _alert_key() -> Column:
+    return F.concat_ws(
+        ":", "sensor_id", "sensor_type", F.col("value").cast("string"), F.col("timestamp").cast("string")
+    ).alias("key")
 
 
 def _alert_entries(newest_alerts: DataFrame) -> DataFrame:
     return newest_alerts.select(
+        _alert_key(),
         _newest_first(),
         F.struct(
             "sensor_id",
@@ -202,36 +227,55 @@ def _figures() -> list[Column]:
     return [F.col(f"figures.{name}").alias(name) for name in names]
 
 
-def _listed(entries: DataFrame, name: str) -> DataFrame:
-    """The ``entry`` column as one array ordered by ``place``.
-
-    The limit keeps the array small in any case; one entry more than a document
-    may have is let through so that too many are an error and never a loss.
-    """
-    several = (
-        entries.limit(DOCUMENT_LIMIT + 1)
-        .agg(F.array_sort(F.collect_list(F.struct("place", "entry"))).alias("found"))
-        .withColumn("found", F.transform("found", lambda item: item["entry"]))
-    )
-    too_many = F.raise_error(F.lit(f"more than {DOCUMENT_LIMIT} entries in {name}"))
-    return several.select(
-        F.when(F.size("found") <= DOCUMENT_LIMIT, F.col("found")).otherwise(too_many).alias(name)
-    )
+def _before(left: Column, right: Column) -> Column:
+    """Order of two entries by place, nulls first."""
+    a, b = left["place"], right["place"]
+    smaller = (a.isNull() & b.isNotNull()) | (a < b)
+    larger = (a.isNotNull() & b.isNull()) | (a > b)
+    return F.when(smaller, -1).when(larger, 1).otherwise(0)
 
 
 def _document(
-    first: DataFrame, second: DataFrame, third: DataFrame, fields: list[Column | str]
+    figures: DataFrame,
+    lists: dict[str, DataFrame],
+    page_size: int,
+    fields: list[Column | str] | str,
 ) -> DataFrame:
-    """Three one-row tables side by side as one JSON object."""
-    stacked = first.unionByName(second, allowMissingColumns=True).unionByName(
-        third, allowMissingColumns=True
-    )
-    row = stacked.agg(
-        *(F.any_value(name, ignoreNulls=F.lit(True)).alias(name) for name in stacked.columns)
-    )
-    return row.select(F.to_json(F.struct(*fields)).alias("document"))
+    """A row of figures and lists of entries as JSON, a row to a page."""
+    counted = [e.agg(F.ceil(F.count("*") / page_size).alias("n")) for e in lists.values()]
+    pages = functools.reduce(DataFrame.unionByName, counted).agg(F.greatest(F.max("n"), F.lit(1)))
+    count = pages.scalar().cast("int")
+    found = figures.select("figures", F.explode(F.sequence(F.lit(0), count - 1)).alias("page"))
+    for name, entries in lists.items():
+        hashed = F.conv(F.substr(F.md5("key"), F.lit(1), F.lit(8)), 16, 10).cast("long")
+        by_page = (
+            entries.withColumn("page", F.pmod(hashed, count).cast("int"))
+            .groupBy("page")
+            .agg(F.array_sort(F.collect_list(F.struct("place", "entry")), _before).alias(name))
+            .withColumn(name, F.transform(name, lambda item: item["entry"]))
+        )
+        nothing = F.filter(F.array(F.lit(None).cast(by_page.schema[name].dataType.elementType)), lambda x: F.lit(False))
+        found = found.join(by_page, "page", "left").withColumn(name, F.coalesce(name, nothing))
+    shown = F.col(fields) if isinstance(fields, str) else F.struct(*fields)
+    return found.select("page", F.to_json(shown, {"ignoreNullFields": "false"}).alias("document"))
+
 
+def write_document(document: DataFrame, path: str, as_of: int = 0) -> None:
+    """Write the pages of a document beside those before it, as JSON lines.
 
-def write_document(document: DataFrame, path: str) -> None:
-    """Put a document in place of the one a folder holds. It is one row, one file."""
-    document.select(F.col("document").alias("value")).write.mode("overwrite").text(path)
+    A newer document has a larger ``as_of``; ``latest_document`` finds it. The folder of
+    the ``TURNS``-th before it is replaced.
+    """
+    marked = document.withColumn("as_of", F.lit(as_of).cast("long"))
+    marked.write.mode("overwrite").json(f"{path}/turn={as_of % TURNS}")
+
+
+def latest_document(spark: SparkSession, path: str) -> DataFrame:
+    """``page`` and ``document`` as written last."""
+    kept = (
+        spark.read.schema("page int, document string, as_of long")
+        .option("ignoreMissingFiles", "true")
+        .json(path)
+    )
+    latest = kept.agg(F.max("as_of").alias("as_of"))
+    return kept.join(latest, "as_of").select("page", "document")

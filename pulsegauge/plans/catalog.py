@@ -201,19 +201,28 @@ def _stored_partials(spark: SparkSession, rows: DataFrame) -> DataFrame:
 def snapshot_json(spark: SparkSession, folder: str) -> DataFrame:
     rows = _readings(spark, folder)
     newest = alerting.newest(alerting.alerts(rows))
-    return snapshot.metrics_document(_stored_partials(spark, rows), newest)
+    return snapshot.metrics_document(_stored_partials(spark, rows), newest).drop("page")
 
 
 @registered
 def page_json(spark: SparkSession, folder: str) -> DataFrame:
     rows = _readings(spark, folder)
     newest = alerting.newest(alerting.alerts(rows))
-    return snapshot.page_document(_stored_partials(spark, rows), newest)
+    return snapshot.page_document(_stored_partials(spark, rows), newest).drop("page")
+
+
+@registered
+def snapshot_json_pages(spark: SparkSession, folder: str) -> DataFrame:
+    """Two entries to a page, so that there are several."""
+    rows = _readings(spark, folder)
+    newest = alerting.newest(alerting.alerts(rows))
+    return snapshot.metrics_document(_stored_partials(spark, rows), newest, page_size=2)
 
 
 @registered
 def alerts_json(spark: SparkSession, folder: str) -> DataFrame:
-    return snapshot.alerts_document(alerting.newest(alerting.alerts(_readings(spark, folder))))
+    newest = alerting.newest(alerting.alerts(_readings(spark, folder)))
+    return snapshot.alerts_document(newest).drop("page")
 
 
 # Recent readings
@@ -225,6 +234,12 @@ def running_stats(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(stats, "avg_value")
 
 
+@registered
+def running_stats_default(spark: SparkSession, folder: str) -> DataFrame:
+    """As many slices as the readings ask for."""
+    return _rounded(running.running_stats(_readings(spark, folder)), "avg_value")
+
+
 @registered
 def recent_values(spark: SparkSession, folder: str) -> DataFrame:
     recent = running.recent_values(_readings(spark, folder), slices=SLICES)
@@ -293,19 +308,19 @@ def _landed(spark: SparkSession, folder: str) -> str:
 @registered
 def land_readings(spark: SparkSession, folder: str) -> DataFrame:
     landed = tables.landed_readings(spark, _landed(spark, folder))
-    return _zoneless(landed.drop("batch_id"))
+    return _zoneless(landed.drop("stream", "batch_id"))
 
 
 @registered
 def land_alerts(spark: SparkSession, folder: str) -> DataFrame:
     landed = tables.landed_alerts(spark, _landed(spark, folder))
-    return _zoneless(landed.drop("batch_id"))
+    return _zoneless(landed.drop("stream", "batch_id"))
 
 
 @registered
 def land_bad_records(spark: SparkSession, folder: str) -> DataFrame:
     bad = tables.landed_bad_records(spark, _landed(spark, folder))
-    return bad.withColumn("payload", F.hex("payload")).drop("batch_id")
+    return bad.withColumn("payload", F.hex("payload")).drop("stream", "batch_id")
 
 
 @registered
@@ -328,6 +343,29 @@ def window_stats_stream_update(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_zoneless(updates.latest_stats(spark, table)), "avg_value")
 
 
+@registered
+def window_stats_stream_from_records(spark: SparkSession, folder: str) -> DataFrame:
+    """From records to window statistics: decoded, bad ones set aside, late ones left out."""
+    records = source.as_records(source.events_stream(spark, folder))
+    good = parsing.readings(parsing.decode(records))
+    stats = window_stats.window_stats(good.withWatermark("timestamp", window_stats.WATERMARK))
+    table = working_folder(spark, "updates")
+    _run(updates.keep_updates(stats, table, working_folder(spark, "checkpoint")))
+    return _rounded(_zoneless(updates.latest_stats(spark, table)), "avg_value")
+
+
+@registered
+def live_tables_sql(spark: SparkSession, folder: str) -> DataFrame:
+    """Messages, alerts, sensors and average of each type, by SQL over the landed tables."""
+    tables.register_views(spark, _landed(spark, folder))
+    return spark.sql("""
+        with found as (select sensor_type, count(*) as alerts from live_alerts group by sensor_type)
+        select s.sensor_type, count(*) as messages, coalesce(any_value(f.alerts), 0) as alerts,
+               count(distinct s.sensor_id) as sensors, round(avg(s.value), 2) as avg_value
+        from live_sensors s left join found f on f.sensor_type = s.sensor_type
+        group by s.sensor_type""")
+
+
 @registered
 def window_stats_stream_append(spark: SparkSession, folder: str) -> DataFrame:
     stream = _stream(spark, folder).withWatermark("timestamp", window_stats.WATERMARK)
@@ -370,5 +408,5 @@ def running_stats_stream(spark: SparkSession, folder: str) -> DataFrame:
     _run(
         running_stream.keep_running_stats(_stream(spark, folder), root, checkpoint, slices=SLICES)
     )
-    stats = spark.read.parquet(f"{root}/stats").drop("batch_id")
+    stats = spark.read.parquet(f"{root}/stats").drop("stream", "batch_id")
     return _rounded(_zoneless(stats), "avg_value")

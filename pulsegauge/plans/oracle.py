@@ -62,12 +62,12 @@ STATS = """count(*) as message_count, round(avg(value), 8) as avg_value,
            max(value) as max_value, min(value) as min_value"""
 
 
-def _tumbling(width: str, where: str = "") -> str:
-    return f"""{R}, w as (
+def _tumbling(width: str, where: str = "", source: str = R, table: str = "r") -> str:
+    return f"""{source}, w as (
         select time_bucket(interval '{width}', timestamp) as window_start,
                time_bucket(interval '{width}', timestamp) + interval '{width}' as window_end,
                sensor_type, {STATS}
-        from r group by 1, 2, 3)
+        from {table} group by 1, 2, 3)
         select * from w {where}"""
 
 
@@ -115,16 +115,20 @@ RUNNING = f"""{R}, w as (
     select * exclude (rn) from w where rn >= 10"""
 
 LOG = """with log as (
-    select event_id as seq, ts as start_ts, ts as end_ts, event_type <> 'error' as ok,
+    select event_id as seq, ts as start_ts,
+           ts + to_microseconds(cast(round(value * 1000) as bigint)) as end_ts, event_type <> 'error' as ok,
            case when event_type <> 'error' then value end as latency_ms,
            case when event_type = 'error' then props end as error
     from events)"""
 
-OFFSETS = """with offsets as (
-    select 'iot-sensors' as topic, cast(user_id % 3 as integer) as partition,
-           cast(count_if(ts < timestamp '2024-01-25') as bigint) as committed,
-           count(*) as position
-    from events group by 1, 2)"""
+OFFSETS = """with counts as (
+    select cast(user_id % 3 as integer) as partition,
+           count_if(ts < timestamp '2024-01-25') as earlier, count(*) as position
+    from events group by 1), offsets as (
+    select 'iot-sensors' as topic, partition,
+           cast(case partition when 0 then earlier when 1 then position - 20 end as bigint) as committed,
+           position, position + 7 as latest
+    from counts)"""
 
 
 def _shown(column: str) -> str:
@@ -140,6 +144,13 @@ TYPE_STATS = f"""stats as (
            round(avg(value), 2) as avg_value
     from r group by 1)"""
 
+# As JSON, where a number is a number.
+AS_JSON = """labelled as (
+    select sensor_type, count, coalesce(cast(avg_temp as varchar), '"N/A"') as avg_temp,
+           coalesce(cast(avg_humidity as varchar), '"N/A"') as avg_humidity,
+           coalesce(cast(avg_value as varchar), '"N/A"') as avg_value
+    from stats)"""
+
 LABELLED = """labelled as (
     select sensor_type, count, coalesce(cast(avg_temp as varchar), 'N/A') as avg_temp,
            coalesce(cast(avg_humidity as varchar), 'N/A') as avg_humidity,
@@ -161,6 +172,18 @@ FIGURES = f"""figures as (
                                            when alerts > 5 then 'Warning' else 'Good' end || '"' as text
     from figures)"""
 
+TYPE_ENTRY = """'{"sensor_type":"' || sensor_type || '","count":' || count || ',"avg_temp":'
+    || avg_temp || ',"avg_humidity":' || avg_humidity || ',"avg_value":' || avg_value || '}'"""
+
+ALERT_ENTRY = f"""'{{"sensor_id":"' || sensor_id || '","type":"HIGH_' || upper(sensor_type)
+    || '","location":"' || location || '","timestamp":"' || {_shown("timestamp")} || '"}}'"""
+
+
+def _spark_time(column: str) -> str:
+    """A time cast to text, without the zeros at the end of its fraction."""
+    return f"""rtrim(rtrim(strftime({column}, '%Y-%m-%d %H:%M:%S.%f'), '0'), '.')"""
+
+
 PAGE_ALERTS = """page_alerts as (
     select count(*) as shown, coalesce(string_agg('{"sensor_id":"' || sensor_id || '","sensor_type":"' || sensor_type
            || '","value":' || cast(value as varchar) || ',"unit":"' || unit || '","timestamp":"'
@@ -203,17 +226,31 @@ ORACLE = {
     "sensor_type_stats_labelled": f"{R}, {TYPE_STATS}, {LABELLED} select * from labelled",
     "sensor_type_cards": f"{R}, {CARDS} select * from cards",
     "fleet_snapshot": R + ", " + SNAPSHOT.format(table="r"),
-    "snapshot_json": f"""{R}, {TYPE_STATS}, {LABELLED}, {FIGURES}, {NEWEST.format(count=10)}, types as (
-        select coalesce(string_agg('{{"sensor_type":"' || sensor_type || '","count":' || count || ',"avg_temp":"'
-               || avg_temp || '","avg_humidity":"' || avg_humidity || '","avg_value":"'
-               || avg_value || '"}}', ',' order by sensor_type), '') as text
+    "snapshot_json": f"""{R}, {TYPE_STATS}, {AS_JSON}, {FIGURES}, {NEWEST.format(count=10)}, types as (
+        select coalesce(string_agg({TYPE_ENTRY}, ',' order by sensor_type), '') as text
         from labelled), recent as (
-        select coalesce(string_agg('{{"sensor_id":"' || sensor_id || '","type":"HIGH_' || upper(sensor_type)
-               || '","location":"' || location || '","timestamp":"' || {_shown("timestamp")}
-               || '"}}', ',' order by place), '') as text
+        select coalesce(string_agg({ALERT_ENTRY}, ',' order by place), '') as text
         from newest)
         select '{{' || (select text from head) || ',"sensor_stats":[' || (select text from types)
                || '],"recent_alerts":[' || (select text from recent) || ']}}' as document""",
+    "snapshot_json_pages": f"""{R}, {TYPE_STATS}, {AS_JSON}, {FIGURES}, {NEWEST.format(count=10)}, pages as (
+        select unnest(range(greatest(1, ceil((select count(*) from labelled) / 2)::int,
+                                     ceil((select count(*) from newest) / 2)::int)))::int as page,
+               greatest(1, ceil((select count(*) from labelled) / 2)::int,
+                        ceil((select count(*) from newest) / 2)::int) as n), types as (
+        select ('0x' || md5(sensor_type)[1:8])::bigint % (select any_value(n) from pages) as page,
+               string_agg({TYPE_ENTRY}, ',' order by sensor_type) as text
+        from labelled group by 1), recent as (
+        select ('0x' || md5(sensor_id || ':' || sensor_type || ':' || cast(value as varchar) || ':'
+                            || {_spark_time("timestamp")})[1:8])::bigint
+                 % (select any_value(n) from pages) as page,
+               string_agg({ALERT_ENTRY}, ',' order by place) as text
+        from newest group by 1)
+        select pages.page, '{{' || (select text from head) || ',"sensor_stats":['
+               || coalesce(types.text, '') || '],"recent_alerts":[' || coalesce(recent.text, '')
+               || ']}}' as document
+        from pages left join types on types.page = pages.page
+             left join recent on recent.page = pages.page""",
     "page_json": f"""{R}, {CARDS}, {FIGURES}, {NEWEST.format(count=10)}, {PAGE_ALERTS}, types as (
         select coalesce(string_agg('"' || sensor_type || '":{{"avg":' || cast(avg as varchar) || ',"min":'
                || cast(min as varchar) || ',"max":' || cast(max as varchar) || ',"count":' || count
@@ -270,17 +307,17 @@ ORACLE = {
         select report_ts, round(elapsed::double, 6) as elapsed_s, messages,
                round(messages::double / elapsed, 6) as rate from c""",
     "consumer_lag": f"""{OFFSETS} select topic, partition, committed, position,
-        position - committed as lag, position - committed as total_lag,
-        position - committed > 100 as high from offsets""",
+        position - committed as lag, latest - committed as total_lag,
+        position - committed > 100 as high from offsets where committed is not null""",
     "consumer_lag_high": f"""{OFFSETS} select topic, partition, committed, position,
-        position - committed as lag, position - committed as total_lag
+        position - committed as lag, latest - committed as total_lag
         from offsets where position - committed > 100""",
     "partition_positions": """select 'iot-sensors' as topic, cast(user_id % 3 as integer) as partition,
         max(event_id) + 1 as position from events group by 1, 2""",
     "land_readings": f"""{SENT}
-        select * exclude (kind), cast(timestamp as date) as event_date from good""",
+        select * exclude (kind, metric_value), cast(timestamp as date) as event_date from good""",
     "land_alerts": f"""{SENT}
-        select * exclude (kind), cast(timestamp as date) as event_date from good where {UPPER}""",
+        select * exclude (kind, metric_value), cast(timestamp as date) as event_date from good where {UPPER}""",
     "land_bad_records": f"""{SENT}
         select case when kind = 7 then 'FF' || hex(encode(payload))
                     else hex(encode(payload)) end as payload,
@@ -292,6 +329,12 @@ ORACLE = {
                {_shown("timestamp")} as timestamp
         from good where {UPPER} order by good.timestamp desc, partition, "offset" limit 10""",
     "window_stats_stream_update": _tumbling("30 seconds"),
+    "window_stats_stream_from_records": _tumbling("30 seconds", source=SENT, table="good"),
+    "live_tables_sql": f"""{SENT}, live as (select *, {UPPER} as alerts from good)
+        select sensor_type, count(*) as messages, cast(count_if(alerts) as bigint) as alerts,
+               count(distinct sensor_id) as sensors, round(avg(value), 2) as avg_value
+        from live group by 1""",
+    "running_stats_default": RUNNING,
     "window_stats_stream_append": _tumbling("30 seconds", CLOSED),
     "window_stats_stream_sliding": SLIDING,
     "alerts_range_stream": RANGE_ALERTS,

@@ -55,12 +55,12 @@ LANDED_SCHEMA = T.StructType(
         T.StructField("unit", T.StringType()),
         T.StructField("timestamp", T.TimestampType()),
         T.StructField("quality", T.StringType()),
-        T.StructField("metric_value", T.DoubleType()),
         T.StructField("topic", T.StringType()),
         T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
-        T.StructField("batch_id", T.LongType()),
         T.StructField("event_date", T.DateType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
     ]
 )
 
@@ -71,6 +71,7 @@ BAD_RECORD_SCHEMA = T.StructType(
         T.StructField("topic", T.StringType()),
         T.StructField("partition", T.IntegerType()),
         T.StructField("offset", T.LongType()),
+        T.StructField("stream", T.StringType()),
         T.StructField("batch_id", T.LongType()),
     ]
 )

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.wire import record_key, record_text
+from ..session import working_folder
 from .kafka import TOPIC
 from .tables import stream_parquet
 
@@ -36,8 +37,13 @@ SENSORS = (
 LOCATIONS = ("building_a", "building_b", "building_c")
 PARTITIONS = 3
 THREADS = 16
+# Batches of the table as a stream.
+BATCHES = 4
+ROWS_PER_BATCH = 1_000_000
 # The reader's last commit in the offsets binding.
 COMMITTED_BEFORE = "2024-01-25 00:00:00"
+UNCOMMITTED = 20
+UNREAD = 7
 
 
 def events(spark: SparkSession, folder: str) -> DataFrame:
@@ -45,10 +51,24 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The same file as a stream, with a time that can carry a watermark."""
-    return stream_parquet(spark, folder, EVENTS_SCHEMA, glob="events.parquet").withColumn(
-        "ts", F.col("ts").cast("timestamp")
-    )
+    """The table as a stream of several batches in the order of time.
+
+    The time can carry a watermark, and nothing is late. Each batch is a file of a
+    stretch of time, of which there are more the longer the table is.
+    """
+    rows = events(spark, folder)
+    known = rows.agg(F.count("*").alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high")).first()
+    target = working_folder(spark, "batches")
+    count = max(BATCHES, -(-known["n"] // ROWS_PER_BATCH))
+    low, high = known["low"], known["high"]
+    cuts = [low + (high - low) * k / count for k in range(1, count)] if known["n"] else []
+    for k in range(count if known["n"] else 1):
+        later = F.col("ts") >= F.lit(cuts[k - 1]).cast("timestamp_ntz") if k else F.lit(True)
+        sooner = F.col("ts") < F.lit(cuts[k]).cast("timestamp_ntz") if k < len(cuts) else F.lit(True)
+        rows.filter(later & sooner).coalesce(1).write.parquet(f"{target}/part={k:04d}")
+    return stream_parquet(
+        spark, f"{target}/*", EVENTS_SCHEMA, glob="part-*.parquet", max_files=1
+    ).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _by_event_type(index: int) -> Column:
@@ -131,13 +151,14 @@ def _user_number() -> Column:
 
 
 def as_delivery_log(rows: DataFrame) -> DataFrame:
-    """One attempt per event; errors are failed ones."""
+    """One attempt per event; errors are failed ones. An attempt takes its latency."""
     ok = F.col("event_type") != "error"
+    taken = F.round(F.col("value") * 1000).cast("int")
     return rows.select(
         F.col("event_id").alias("seq"),
         F.pmod("user_id", F.lit(THREADS)).cast("int").alias("thread"),
         F.col("ts").alias("start_ts"),
-        F.col("ts").alias("end_ts"),
+        F.timestamp_add("MICROSECOND", taken, F.col("ts")).alias("end_ts"),
         ok.alias("ok"),
         F.when(ok, F.col("value")).alias("latency_ms"),
         F.when(~ok, F.col("props")).alias("error"),
@@ -145,20 +166,24 @@ def as_delivery_log(rows: DataFrame) -> DataFrame:
 
 
 def as_offsets(rows: DataFrame) -> DataFrame:
-    """The offsets table of a reader that read all and committed up to a day.
+    """The offsets table of a reader that read all but the newest.
 
     Events are in the order of their time and each takes the next offset of its
-    partition, so offsets are counts.
+    partition, so offsets are counts. Partition 0 was committed up to a day, 1 nearly
+    to the end, 2 never.
     """
-    committed = F.col("ts") < F.lit(COMMITTED_BEFORE).cast("timestamp_ntz")
+    earlier = F.col("ts") < F.lit(COMMITTED_BEFORE).cast("timestamp_ntz")
+    partition = F.pmod("user_id", F.lit(PARTITIONS)).cast("int")
     return (
-        rows.groupBy(F.pmod("user_id", F.lit(PARTITIONS)).cast("int").alias("partition"))
-        .agg(F.count_if(committed).alias("committed"), F.count("*").alias("position"))
+        rows.groupBy(partition.alias("partition"))
+        .agg(F.count_if(earlier).alias("earlier"), F.count("*").alias("position"))
         .select(
             F.lit(TOPIC).alias("topic"),
             "partition",
-            "committed",
+            F.when(F.col("partition") == 0, F.col("earlier"))
+            .when(F.col("partition") == 1, F.col("position") - UNCOMMITTED)
+            .alias("committed"),
             "position",
-            F.col("position").alias("latest"),
+            (F.col("position") + UNREAD).alias("latest"),
         )
     )

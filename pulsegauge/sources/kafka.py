@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 TOPIC = "iot-sensors"
+# Records of a batch, which are all cached once. A first start on a backlog is many batches.
+MAX_PER_TRIGGER = 5_000_000
 
 
 def read_options(
@@ -17,7 +19,7 @@ def read_options(
     topics: str = TOPIC,
     *,
     starting: str = "latest",
-    max_per_trigger: int | None = None,
+    max_per_trigger: int | None = MAX_PER_TRIGGER,
     group_id: str | None = None,
     lost_data_fails: bool = True,
 ) -> dict[str, str]:

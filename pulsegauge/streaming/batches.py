@@ -1,7 +1,10 @@
 """Tables written a batch at a time.
 
-Each batch of a stream has a folder ``batch_id=N`` of its own. A batch that runs
-again after a failure writes the same folder again, so nothing is lost or doubled.
+Each batch of a stream has folders ``stream=ID/batch_id=N`` of its own. A batch that
+runs again after a failure writes the same folders again, so nothing is lost or doubled.
+The id is that of the stream's checkpoint: it stays over restarts, and a stream that
+starts over with a new checkpoint gets another, so it adds to a table and never writes
+over what is there.
 """
 
 from __future__ import annotations
@@ -26,12 +29,26 @@ def together(spark: SparkSession, *writes: Callable[[], None]) -> None:
         write.result()
 
 
-def write_batch(rows: DataFrame, table: str, batch_id: int, by: str | None = None) -> None:
-    """Write the rows of a batch, in folders by the column ``by`` where given."""
-    writer = gathered(rows, by).write.mode("overwrite")
-    if by is not None:
-        writer = writer.partitionBy(by)
-    writer.parquet(f"{table}/batch_id={batch_id}")
+def stream_id(spark: SparkSession) -> str:
+    """The id of the stream a batch belongs to. To be asked for in the batch's own thread."""
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
+def write_batch(
+    rows: DataFrame, table: str, stream: str, batch_id: int, by: str | None = None
+) -> None:
+    """Write the rows of a batch, in folders by the column ``by`` where given.
+
+    Those are the outer ones, so that a query on few of its values lists few folders.
+    """
+    placed = gathered(rows, by)
+    if by is None:
+        placed.write.mode("overwrite").parquet(f"{table}/stream={stream}/batch_id={batch_id}")
+        return
+    placed = placed.withColumn("stream", F.lit(stream)).withColumn("batch_id", F.lit(batch_id))
+    # Replaces the folders it writes to and no others.
+    writer = placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(by, "stream", "batch_id").parquet(table)
 
 
 def gathered(rows: DataFrame, by: str | None = None) -> DataFrame:
@@ -46,28 +63,39 @@ def gathered(rows: DataFrame, by: str | None = None) -> DataFrame:
     return rows.hint("rebalance", *([by] if by else []))
 
 
-# What a stream carries from batch to batch is kept in two folders in turn. A batch
-# writes one and leaves the other, which holds what the batch before it left, so
-# that a batch that runs again finds it.
+# What a stream carries from batch to batch is kept in a few folders in turn. A batch
+# writes one and leaves the others, so that a batch that runs again finds what the one
+# before it left, and a reader finds the newest though older ones are being replaced.
 AS_OF = "as_of"
+TURNS = 16
 
 
-def write_turn(rows: DataFrame, table: str, batch_id: int) -> None:
+def write_turn(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
     """Keep rows for the next batch."""
     marked = rows.withColumn(AS_OF, F.lit(batch_id).cast("bigint"))
-    gathered(marked).write.mode("overwrite").parquet(f"{table}/turn={batch_id % 2}")
+    turn = f"{table}/stream={stream}/turn={batch_id % TURNS}"
+    gathered(marked).write.mode("overwrite").parquet(turn)
 
 
-def read_turn(spark: SparkSession, table: str, batch_id: int, schema: T.StructType) -> DataFrame:
+def read_turn(
+    spark: SparkSession, table: str, stream: str, batch_id: int, schema: T.StructType
+) -> DataFrame:
     """What was kept by a batch; nothing before the first one."""
     if batch_id < 0:
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{table}/turn={batch_id % 2}")
-
-
-def latest_turn(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    """What was kept last."""
-    marked = T.StructType([*schema.fields, T.StructField(AS_OF, T.LongType())])
-    both = spark.read.schema(marked).parquet(table)
-    latest = both.agg(F.max(AS_OF)).first()[0]
-    return both.filter(F.col(AS_OF) == latest).select(schema.fieldNames())
+    return spark.read.schema(schema).parquet(f"{table}/stream={stream}/turn={batch_id % TURNS}")
+
+
+def latest_turns(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
+    """What each stream kept last."""
+    marked = T.StructType(
+        [
+            *schema.fields,
+            T.StructField(AS_OF, T.LongType()),
+            T.StructField("stream", T.StringType()),
+        ]
+    )
+    kept = spark.read.schema(marked).option("ignoreMissingFiles", "true").parquet(table)
+    latest = kept.groupBy("stream").agg(F.max(AS_OF).alias("_latest"))
+    joined = kept.join(latest, "stream").filter(F.col(AS_OF) == F.col("_latest"))
+    return joined.select(schema.fieldNames())

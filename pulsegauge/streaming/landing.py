@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import operator
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.rules import UPPER, Rule
@@ -19,12 +23,14 @@ from ..operators.snapshot import (
     page_document,
     write_document,
 )
-from ..schema import LANDED_SCHEMA, PARTIAL_SCHEMA, POSITION_FIELDS
-from .batches import latest_turn, read_turn, together, write_batch, write_turn
+from ..schema import LANDED_SCHEMA, PARTIAL_SCHEMA
+from .batches import latest_turns, read_turn, stream_id, together, write_batch, write_turn
 
 # Alerts listed on the dashboard.
 LISTED = 10
-LISTED_SCHEMA = LANDED_SCHEMA[:-2]
+LISTED_SCHEMA = LANDED_SCHEMA[:-3]
+# Batches after which the fleet's partials are folded into one.
+FOLD_EVERY = 64
 
 
 def land(
@@ -36,40 +42,43 @@ def land(
 ) -> DataStreamWriter:
     """A stream of records on its way to the tables under ``root``, not yet started.
 
-    ``readings`` and ``alerts`` by date, and ``bad_records``. Beside these the state
-    of the fleet is kept up to date: the partials of all readings in ``fleet`` and
-    the newest alerts in ``newest_alerts``. A batch adds to what the one before left
-    and never reads the landed tables, however long the stream has run.
+    ``readings`` and ``alerts`` by date, and ``bad_records``. Beside these each batch
+    leaves its own partials in ``fleet``, which ``fleet`` adds up, and the newest alerts
+    so far. What a batch writes depends on what it holds; only every ``FOLD_EVERY``-th
+    adds up the partials since the last time. The landed tables are never read again.
 
     With ``documents`` the dashboard's documents are written there after each batch.
     """
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
+        stream = stream_id(spark)
         decoded = decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            good = readings(decoded)
+            decoded.count()  # fills the cache once, before several writes read it
+            good = readings(decoded).drop("metric_value")
             found = alerts(good, rules)
-            before = read_turn(spark, f"{root}/fleet", batch_id - 1, PARTIAL_SCHEMA)
-            parts = before.unionByName(snapshot.partials(good, rules))
-            listed = read_turn(spark, f"{root}/newest_alerts", batch_id - 1, LISTED_SCHEMA)
-            listed = newest(listed.unionByName(found), LISTED, POSITION_FIELDS)
+            kept = f"{root}/newest_alerts"
+            listed = read_turn(spark, kept, stream, batch_id - 1, LISTED_SCHEMA)
+            listed = newest(listed.unionByName(found), LISTED)
+
+            def by_batch(rows: DataFrame, name: str, by: str | None = None) -> None:
+                write_batch(rows, f"{root}/{name}", stream, batch_id, by)
+
             together(
                 spark,
-                lambda: write_batch(bad_records(decoded), f"{root}/bad_records", batch_id),
-                lambda: write_batch(_dated(good), f"{root}/readings", batch_id, "event_date"),
-                lambda: write_batch(_dated(found), f"{root}/alerts", batch_id, "event_date"),
-                lambda: write_turn(snapshot.merge_partials(parts), f"{root}/fleet", batch_id),
-                lambda: write_turn(listed, f"{root}/newest_alerts", batch_id),
+                lambda: by_batch(bad_records(decoded), "bad_records"),
+                lambda: by_batch(_dated(good), "readings", "event_date"),
+                lambda: by_batch(_dated(found), "alerts", "event_date"),
+                lambda: by_batch(snapshot.partials(good, rules), "fleet"),
+                lambda: write_turn(listed, kept, stream, batch_id),
             )
         finally:
             decoded.unpersist()
+        if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
+            fold_fleet(spark, root, stream, batch_id)
         if documents is not None:
-            publish(
-                read_turn(spark, f"{root}/fleet", batch_id, PARTIAL_SCHEMA),
-                read_turn(spark, f"{root}/newest_alerts", batch_id, LISTED_SCHEMA),
-                documents,
-            )
+            publish(fleet(spark, root), newest_alerts(spark, root), documents, batch_id)
 
     return records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
 
@@ -78,22 +87,68 @@ def _dated(rows: DataFrame) -> DataFrame:
     return rows.withColumn("event_date", F.to_date("timestamp"))
 
 
+def _folds(spark: SparkSession, root: str) -> dict[str, int]:
+    """The last fold of each stream that is there as a whole: a row per stream."""
+    try:
+        done = spark.read.schema("upto long, stream string").parquet(f"{root}/fleet_folded")
+    except AnalysisException:  # none yet
+        return {}
+    latest = done.groupBy("stream").agg(F.max("upto").alias("upto"))
+    return {r["stream"]: r["upto"] for r in latest.collect()}
+
+
+def _parts(spark: SparkSession, root: str) -> DataFrame:
+    """Each stream's last fold and the partials of the batches after it, not yet added up."""
+    schema = T.StructType(
+        [
+            *PARTIAL_SCHEMA.fields,
+            T.StructField("stream", T.StringType()),
+            T.StructField("batch_id", T.LongType()),
+        ]
+    )
+    parts = spark.read.schema(schema).parquet(f"{root}/fleet")
+    folds = _folds(spark, root)
+    if folds:
+        # On folder names, so that folded batches are not read.
+        covered = [(F.col("stream") == s) & (F.col("batch_id") <= n) for s, n in folds.items()]
+        parts = parts.filter(~functools.reduce(operator.or_, covered))
+        folded = spark.read.schema(schema).parquet(f"{root}/fleet_folds")
+        wanted = [(F.col("stream") == s) & (F.col("batch_id") == n) for s, n in folds.items()]
+        parts = parts.unionByName(folded.filter(functools.reduce(operator.or_, wanted)))
+    return parts
+
+
+def fold_fleet(spark: SparkSession, root: str, stream: str, batch_id: int) -> None:
+    """Add up a stream's partials up to a batch, for readers to start from.
+
+    A fold counts from when it is listed in ``fleet_folded``, after it was written.
+    """
+    parts = _parts(spark, root).filter((F.col("stream") == stream) & (F.col("batch_id") <= batch_id))
+    write_batch(snapshot.merge_partials(parts), f"{root}/fleet_folds", stream, batch_id)
+    listed = spark.range(1).select(F.lit(batch_id).cast("long").alias("upto"))
+    listed.write.mode("overwrite").parquet(f"{root}/fleet_folded/stream={stream}/batch_id={batch_id}")
+
+
 def fleet(spark: SparkSession, root: str) -> DataFrame:
-    """The partials of all readings landed so far."""
-    return latest_turn(spark, f"{root}/fleet", PARTIAL_SCHEMA)
+    """The partials of all readings landed so far, of all streams."""
+    return snapshot.merge_partials(_parts(spark, root))
 
 
 def newest_alerts(spark: SparkSession, root: str) -> DataFrame:
     """The newest alerts landed so far, newest first."""
-    kept = latest_turn(spark, f"{root}/newest_alerts", LISTED_SCHEMA)
-    return newest(kept, LISTED, POSITION_FIELDS)
+    return newest(latest_turns(spark, f"{root}/newest_alerts", LISTED_SCHEMA), LISTED)
 
 
-def publish(parts: DataFrame, listed: DataFrame, documents: str) -> None:
+def publish(parts: DataFrame, listed: DataFrame, documents: str, as_of: int = 0) -> None:
     """Write the dashboard's documents from the state of the fleet."""
-    together(
-        parts.sparkSession,
-        lambda: write_document(metrics_document(parts, listed), f"{documents}/metrics"),
-        lambda: write_document(page_document(parts, listed), f"{documents}/page"),
-        lambda: write_document(alerts_document(listed), f"{documents}/alerts"),
-    )
+    parts = parts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        parts.count()
+        together(
+            parts.sparkSession,
+            lambda: write_document(metrics_document(parts, listed), f"{documents}/metrics", as_of),
+            lambda: write_document(page_document(parts, listed), f"{documents}/page", as_of),
+            lambda: write_document(alerts_document(listed), f"{documents}/alerts", as_of),
+        )
+    finally:
+        parts.unpersist()

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..operators.running import HISTORY, MIN_ROWS, last_rows, running_stats
-from .batches import read_turn, write_batch, write_turn
+from ..schema import sequence_of
+from .batches import read_turn, stream_id, write_batch, write_turn
 
 
 def keep_running_stats(
@@ -24,7 +25,7 @@ def keep_running_stats(
     checkpoint: str,
     *,
     key: str = "sensor_type",
-    order_by: Sequence[str] = ("timestamp", "event_id"),
+    order_by: Sequence[str] | None = None,
     history: int = HISTORY,
     min_rows: int = MIN_ROWS,
     slices: int | None = None,
@@ -35,18 +36,24 @@ def keep_running_stats(
     before it, so a late reading counts when it arrives. On input in order the
     result is that of ``running_stats`` on the whole.
 
-    The last readings are in ``root/recent``.
+    The last readings are in ``root/recent``. A stream with a new checkpoint starts
+    without any.
     """
+    order_by = ["timestamp", *sequence_of(readings)] if order_by is None else list(order_by)
     arrival = ["arrived", *order_by]
 
     def work_off(batch: DataFrame, batch_id: int) -> None:
+        stream = stream_id(batch.sparkSession)
         fresh = (
             batch.filter(F.col("value").isNotNull())
             .select(key, F.lit(batch_id).cast("bigint").alias("arrived"), *order_by, "value")
             .persist(StorageLevel.MEMORY_AND_DISK)
         )
         try:
-            kept = read_turn(batch.sparkSession, f"{root}/recent", batch_id - 1, fresh.schema)
+            fresh.count()
+            kept = read_turn(
+                batch.sparkSession, f"{root}/recent", stream, batch_id - 1, fresh.schema
+            )
             known = kept.unionByName(fresh)
             stats = running_stats(
                 known,
@@ -59,9 +66,12 @@ def keep_running_stats(
             write_batch(
                 stats.filter(F.col("arrived") == batch_id).drop("arrived"),
                 f"{root}/stats",
+                stream,
                 batch_id,
             )
-            write_turn(last_rows(known, key, arrival, history), f"{root}/recent", batch_id)
+            write_turn(
+                last_rows(known, key, arrival, history), f"{root}/recent", stream, batch_id
+            )
         finally:
             fresh.unpersist()
 

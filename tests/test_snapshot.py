@@ -4,6 +4,7 @@ import json
 from datetime import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegauge.operators import snapshot
 from pulsegauge.operators.alerts import alerts, newest
@@ -16,7 +17,7 @@ SCHEMA = (
 
 
 def row(i, sensor, kind, value):
-    return (i, sensor, kind, "lab", value, "u", datetime(2024, 1, 1, 0, 0, i))
+    return (i, sensor, kind, "lab", value, "u", datetime(2024, 1, 1, 0, 0, i % 60))
 
 
 @pytest.fixture(scope="module")
@@ -96,10 +97,10 @@ def test_documents(rows):
     document = json.loads(snapshot.metrics_document(parts, latest).first()["document"])
     assert document["total_messages"] == 7 and document["system_health"] == "Good"
     stats = {entry.get("sensor_type"): entry for entry in document["sensor_stats"]}
-    assert stats["temperature"]["avg_temp"] == "31.11"
+    assert stats["temperature"]["avg_temp"] == 31.11
     assert stats["temperature"]["avg_humidity"] == "N/A"
     # Zero is an average like any other.
-    assert stats["humidity"]["avg_humidity"] == "0.0"
+    assert stats["humidity"]["avg_humidity"] == 0.0
     assert [a["timestamp"] for a in document["recent_alerts"]] == [
         "2024-01-01 00:00:05", "2024-01-01 00:00:00",
     ]
@@ -117,15 +118,39 @@ def test_documents(rows):
     }
 
 
-def test_too_many_entries_are_an_error_and_no_loss(spark, monkeypatch):
-    data = [row(i, "s", f"type_{i}", 1.0) for i in range(4)]
-    rows = spark.createDataFrame(data, SCHEMA)
-    parts = snapshot.partials(rows)
-    monkeypatch.setattr(snapshot, "DOCUMENT_LIMIT", 3)
-    with pytest.raises(Exception, match="more than 3 entries in sensor_stats"):
-        snapshot.metrics_document(parts, newest(rows.limit(0))).collect()
-    monkeypatch.setattr(snapshot, "DOCUMENT_LIMIT", 4)
-    snapshot.metrics_document(parts, newest(rows.limit(0))).collect()
+def test_every_type_is_on_a_page(spark):
+    data = [row(i, "s", f"type_{i}", 1.0) for i in range(25_000)]
+    parts = snapshot.partials(spark.createDataFrame(data, SCHEMA))
+    for made, names in (
+        (snapshot.metrics_document, lambda d: [e["sensor_type"] for e in d["sensor_stats"]]),
+        (snapshot.page_document, lambda d: list(d["sensor_stats"])),
+    ):
+        pages = made(parts, newest(spark.createDataFrame([], SCHEMA))).collect()
+        assert sorted(p["page"] for p in pages) == [0, 1, 2]
+        documents = [json.loads(p["document"]) for p in pages]
+        assert all(d["total_messages"] == 25_000 for d in documents)
+        listed = [name for d in documents for name in names(d)]
+        assert len(listed) == len(set(listed)) == 25_000
+
+
+def test_alerts_in_pages(spark):
+    data = [row(i, f"s{i}", "temperature", 31.0 + i) for i in range(50)]
+    pages = snapshot.alerts_document(spark.createDataFrame(data, SCHEMA), page_size=20).collect()
+    assert len(pages) == 3
+    found = [json.loads(p["document"]) for p in pages]
+    assert sorted(e["value"] for page in found for e in page) == [31.0 + i for i in range(50)]
+    assert all([e["timestamp"] for e in p] == sorted((e["timestamp"] for e in p), reverse=True) for p in found)
+
+
+def test_missing_fields_are_null_and_the_type_null_is_no_clash(spark):
+    data = [row(1, "s", None, 1.0), row(2, "s", "null", 3.0), row(3, "t", "temperature", 99.0)]
+    rows = spark.createDataFrame(data, SCHEMA).withColumn("location", F.lit(None).cast("string"))
+    parts, latest = snapshot.partials(rows), newest(alerts(rows))
+    document = json.loads(snapshot.metrics_document(parts, latest).first()["document"])
+    assert document["sensor_stats"][0]["sensor_type"] is None
+    assert document["recent_alerts"][0]["location"] is None
+    page = json.loads(snapshot.page_document(parts, latest).first()["document"])
+    assert page["sensor_stats"]["null"] == {"avg": 2.0, "min": 1.0, "max": 3.0, "count": 2}
 
 
 def test_approximate_sensors(spark):
@@ -138,7 +163,10 @@ def test_document_as_a_file(spark, rows, tmp_path):
     parts = stored(snapshot.partials(rows), str(tmp_path / "parts"))
     target = str(tmp_path / "document")
     snapshot.write_document(snapshot.metrics_document(parts, newest(alerts(rows))), target)
-    lines = [r["value"] for r in spark.read.text(target).collect()]
-    assert len(lines) == 1 and json.loads(lines[0])["total_messages"] == 7
-    snapshot.write_document(snapshot.alerts_document(newest(alerts(rows))), target)
-    assert len(json.loads(spark.read.text(target).first()["value"])) == 2
+    found = snapshot.latest_document(spark, target).collect()
+    assert len(found) == 1 and json.loads(found[0]["document"])["total_messages"] == 7
+    for as_of in (1, 2, 17):
+        document = snapshot.alerts_document(newest(alerts(rows), as_of % 3))
+        snapshot.write_document(document, target, as_of)
+        found = snapshot.latest_document(spark, target).collect()
+        assert len(json.loads(found[0]["document"])) == min(2, as_of % 3)

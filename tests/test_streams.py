@@ -204,7 +204,7 @@ def test_landing_over_batches_restart_and_replay(spark, tmp_path):
         r["offset"] for r in newest(alerts(landed), 10, ["offset"]).collect()
     ]
     shown = {
-        name: json.loads(spark.read.text(f"{documents}/{name}").first()["value"])
+        name: json.loads(snapshot.latest_document(spark, f"{documents}/{name}").first()["document"])
         for name in ("metrics", "page", "alerts")
     }
     assert shown["metrics"]["total_messages"] == shown["page"]["total_messages"] == 36
@@ -215,6 +215,105 @@ def test_landing_over_batches_restart_and_replay(spark, tmp_path):
     assert spark.sql("select count(*) from live_alerts").first()[0] == found.count()
 
 
+def folders(root):
+    return [p for p in root.rglob("*.parquet") if "_temporary" not in str(p)]
+
+
+def test_a_new_checkpoint_adds_and_never_replaces(spark, tmp_path):
+    feed = Feed(spark, tmp_path, RECORDS)
+    root, documents = str(tmp_path / "root"), str(tmp_path / "d")
+    good = [record(i) for i in range(60) if i % 10 != 9]
+    feed.add(good[:10])
+    run(landing.land(feed.stream(), root, str(tmp_path / "c1"), documents=documents))
+    other = tmp_path / "other"
+    other.mkdir()
+    feed = Feed(spark, other, RECORDS)
+    feed.add(good[10:13])
+    run(landing.land(feed.stream(), root, str(tmp_path / "c2"), documents=documents))
+    landed = tables.landed_readings(spark, root)
+    assert landed.count() == 13 and landed.select("stream").distinct().count() == 2
+    assert snapshot.totals(landing.fleet(spark, root)).first() == snapshot.fleet_snapshot(landed).first()
+    assert [r["offset"] for r in landing.newest_alerts(spark, root).collect()] == [
+        r["offset"] for r in newest(alerts(landed), 10, ["offset"]).collect()
+    ]
+    shown = json.loads(snapshot.latest_document(spark, f"{documents}/metrics").first()["document"])
+    assert shown["total_messages"] == 13
+
+
+def test_updates_and_running_stats_of_a_new_checkpoint_add(spark, tmp_path):
+    for k in range(2):
+        (tmp_path / str(k)).mkdir()
+        feed = Feed(spark, tmp_path / str(k), READINGS)
+        feed.add([reading(i + 1000 * k, float(i), event_id=i) for i in range(12)])
+        stream = feed.stream().withWatermark("timestamp", WATERMARK)
+        run(updates.keep_updates(window_stats(stream), str(tmp_path / "u"), str(tmp_path / f"cu{k}")))
+        run(keep_running_stats(feed.stream(), str(tmp_path / "r"), str(tmp_path / f"cr{k}")))
+    found = updates.latest_stats(spark, str(tmp_path / "u")).collect()
+    assert sum(r["message_count"] for r in found) == 24
+    assert spark.read.parquet(str(tmp_path / "r" / "stats")).count() == 6
+
+
+def test_the_fleet_is_folded_and_a_batch_writes_what_it_holds(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "FOLD_EVERY", 2)
+    feed = Feed(spark, tmp_path, RECORDS)
+    root, checkpoint = str(tmp_path / "root"), str(tmp_path / "c")
+    for k in range(5):
+        feed.add([record(i) for i in range(10 * k, 10 * k + 9)])
+    run(landing.land(feed.stream(), root, checkpoint))
+    landed = tables.landed_readings(spark, root)
+    assert landed.count() == 45
+    assert snapshot.totals(landing.fleet(spark, root)).first() == snapshot.fleet_snapshot(landed).first()
+    assert list(landing._folds(spark, root).values()) == [3]
+    parts = landing._parts(spark, root).select(F.input_file_name().alias("f")).distinct().collect()
+    assert sorted(r["f"].split("/root/")[1].rsplit("/", 1)[0].split("/stream=")[0] for r in parts) == ["fleet", "fleet_folds"]
+    # The last batch, a fold's too, runs again.
+    for name in ("4", "3"):
+        (tmp_path / "c" / "commits" / name).unlink()
+        (tmp_path / "c" / "commits" / f".{name}.crc").unlink(missing_ok=True)
+    run(landing.land(feed.stream(), root, checkpoint))
+    assert snapshot.totals(landing.fleet(spark, root)).first()["total_messages"] == 45
+
+
+def test_poison_does_not_stop_the_stream(spark, tmp_path):
+    feed = Feed(spark, tmp_path, RECORDS)
+    root, documents = str(tmp_path / "root"), str(tmp_path / "d")
+    fine = json.loads(message(0, 25.0, 60))
+    sent = [
+        json.dumps(fine | {"sensor_type": None}),
+        json.dumps(fine | {"sensor_type": "null"}),
+        json.dumps(fine | {"location": None, "value": 31.0}),
+        json.dumps(fine).replace("25.0", "1e400"),
+        json.dumps(fine).replace("25.0", "-Infinity"),
+        json.dumps(fine | {"timestamp": "12:30"}),
+        json.dumps(fine) + " junk",
+        "",
+    ]
+    feed.add([(text, "t", 0, i) for i, text in enumerate(sent)])
+    feed.add([(f"{json.dumps(fine | {'sensor_type': f'kind {i}'})}", "t", 0, 100 + i) for i in range(30)])
+    run(landing.land(feed.stream(), root, str(tmp_path / "c"), documents=documents))
+    bad = {r["offset"]: r["reason"] for r in tables.landed_bad_records(spark, root).collect()}
+    assert bad == {3: "bad_value", 4: "bad_value", 5: "bad_timestamp", 6: "bad_json", 7: "empty"}
+    shown = json.loads(snapshot.latest_document(spark, f"{documents}/page").first()["document"])
+    assert shown["total_messages"] == 33 and shown["sensor_stats"]["null"]["count"] == 2
+
+
+def test_folded_batches_are_not_read(spark, tmp_path):
+    feed = Feed(spark, tmp_path, READINGS)
+    table, base = str(tmp_path / "t"), str(tmp_path / "base")
+    feed.add([reading(1, 1.0)])
+    stream = feed.stream().withWatermark("timestamp", WATERMARK)
+    run(updates.keep_updates(window_stats(stream), table, str(tmp_path / "c")))
+    updates.fold_updates(spark, table, base)
+    covered = {p.parent for p in folders(tmp_path / "t")}
+    feed.add([reading(2, 3.0)])
+    stream = feed.stream().withWatermark("timestamp", WATERMARK)
+    run(updates.keep_updates(window_stats(stream), table, str(tmp_path / "c")))
+    latest = updates.latest_stats(spark, table, base)
+    read = {r["f"] for r in updates._updates(spark, table, base).select(F.input_file_name().alias("f")).collect()}
+    assert latest.first()["message_count"] == 2
+    assert not any(str(folder) in name for folder in covered for name in read)
+
+
 def test_dates_of_landed_readings_prune_folders(spark, tmp_path):
     feed = Feed(spark, tmp_path, RECORDS)
     feed.add([record(i) for i in range(30)])
@@ -326,7 +425,9 @@ def test_kafka_options(spark):
         "subscribe": "iot-sensors",
         "startingOffsets": "latest",
         "failOnDataLoss": "true",
+        "maxOffsetsPerTrigger": "5000000",
     }
+    assert "maxOffsetsPerTrigger" not in kafka.read_options("b:1", max_per_trigger=None)
     options = kafka.read_options(
         "b:1,c:2", "x,y", starting="earliest", max_per_trigger=100, group_id="g"
     )
