@@ -64,7 +64,8 @@ def n_repeat_words(words: Column) -> Column:
     """Words in windows of three that occur twice or more in the text, the first included.
 
     A window's hash and its position are packed into one long, the position in as many
-    low bits as the text needs. Sorted, equal windows are neighbours.
+    low bits as the text needs. Sorted, equal windows are neighbours; their words are
+    compared too, so that an equal rest of the hash is not enough.
     """
 
     def of(found: Column) -> Column:
@@ -78,13 +79,15 @@ def n_repeat_words(words: Column) -> Column:
             .bitwiseAND(F.bitwise_not(mask))
             .bitwiseOR(i.cast("long")),
         )
-        return _let(F.sort_array(keys), lambda packed: repeated(packed, mask))
+        return _let(F.sort_array(keys), lambda packed: repeated(found, packed, mask))
 
-    def repeated(packed: Column, mask: Column) -> Column:
+    def repeated(found: Column, packed: Column, mask: Column) -> Column:
         def same(a: Column, b: Column) -> Column:
-            return F.coalesce(a.bitwiseXOR(b) <= mask, F.lit(False)) & F.coalesce(
-                a.bitwiseXOR(b) >= 0, F.lit(False)
-            )
+            equal = a.bitwiseXOR(b).between(0, mask)
+            for k in range(3):
+                one, other = (F.get(found, x.bitwiseAND(mask).cast("int") + k) for x in (a, b))
+                equal = equal & (one == other)
+            return F.coalesce(equal, F.lit(False))
 
         again = F.filter(
             packed,
@@ -106,9 +109,7 @@ def n_repeat_words(words: Column) -> Column:
 
 def _mask(n: Column) -> Column:
     """As many low bits as it takes to write ``n``."""
-    return F.when(n < 512, F.lit(511).cast("long")).otherwise(
-        F.when(n < 32768, F.lit(32767).cast("long")).otherwise(F.lit((1 << 31) - 1).cast("long"))
-    )
+    return F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(n))) - 1
 
 
 COUNTS: dict[str, Callable[[Column], Column]] = {

@@ -3,7 +3,7 @@ from pyspark.sql import functions as F
 from pulsegauge.llm import quality
 
 from . import brute
-from .conftest import texts
+from .conftest import LONG, texts
 
 COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
 
@@ -28,7 +28,7 @@ def test_odd_rows(spark, odd_documents):
 
 
 def test_repeats(spark):
-    rows = [(i, t) for i, t in enumerate(["a b c a b c", "a a a a", "a b c d a b c", "a b", "a a a", "x " * 700])]
+    rows = [(i, t) for i, t in enumerate(["a b c a b c", "a a a a", "a b c d a b c", "a b", "a a a", "x " * 700, LONG[:300_000] * 2])]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     found = {r[0]: r[1] for r in docs.select("doc_id", quality.n_repeat_words(quality.words(F.col("text")))).collect()}
     assert found == {i: brute.quality(t)[4] for i, t in rows}
