@@ -94,5 +94,6 @@ def op5_identifiers(spark: SparkSession, folder: str) -> DataFrame:
 
 @registered
 def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents")
-    return packing.pack(docs.select("doc_id", F.col("text").cast("binary").alias("token_ids")))
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    # The vocabulary's own id for the end of a text.
+    return packing.pack(docs, "text", end=50256, vocabulary=vocabulary())

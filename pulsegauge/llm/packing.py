@@ -20,12 +20,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# The id of a byte is the byte; this one ends a document.
+from .bpe import id_bytes
+
+# The id of a byte is the byte; this one ends a document of bytes.
 END_OF_TEXT = 256
-LENGTH = 8192
+LENGTH = 2048
 # Tokens a task packs at a time.
-WINDOW = 1 << 23
-ROWS = 128
+WINDOW = 1 << 22
+ROWS = 256
 PACKED = (
     "doc_ids array<long>, doc_starts array<long>, cu_seqlens array<int>, n_tokens int, "
     "ids binary, positions binary"
@@ -130,10 +132,19 @@ def _batch(rows: list[list[Segment]], length: int, end: int, kind: np.dtype) ->
     )
 
 
-def _documents(batch: pa.RecordBatch, width: int, kind: np.dtype, end: int) -> Iterator[Segment]:
+def _documents(
+    batch: pa.RecordBatch, width: int, kind: np.dtype, end: int, vocabulary: str | None
+) -> Iterator[Segment]:
     names, held = batch.column("doc_id").to_pylist(), batch.column("ids")
-    for name, ids in zip(names, held):
-        if pa.types.is_binary(held.type):
+    if vocabulary is not None:
+        texts = (text.as_py() or "" for text in held)
+        encoded = (np.frombuffer(ids, dtype="<i4") for ids in id_bytes(texts, vocabulary))
+    else:
+        encoded = (None for _ in names)
+    for name, ids, found in zip(names, held, encoded):
+        if found is not None:
+            pass
+        elif pa.types.is_binary(held.type):
             found = np.frombuffer(ids.as_buffer(), dtype=f"<u{width}") if ids.is_valid else ()
         else:
             found = ids.values.to_numpy() if ids.is_valid else ()
@@ -146,12 +157,14 @@ def pack(
     end: int = END_OF_TEXT,
     length: int = LENGTH,
     width: int = 1,
+    vocabulary: str | None = None,
     out_bytes: int = 2,
     window: int = WINDOW,
 ) -> DataFrame:
     """Rows of ``length`` ids: which documents they hold from where, and the ids themselves.
 
-    ``column`` is an array of ids or a binary of little-endian ids of ``width`` bytes.
+    ``column`` is an array of ids, a binary of little-endian ids of ``width`` bytes, or,
+    with the path of a ``vocabulary``, a text to encode on the way.
     Every document ends with ``end``; one that is null or empty is just that, so no row
     of the table is lost, and rows that repeat are packed again. A null doc_id stays
     null. ``cu_seqlens`` has where segments begin and where the last ends; ``positions``
@@ -162,7 +175,10 @@ def pack(
     kind = np.dtype(f"<u{out_bytes}")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for segments in _windows(batches, lambda b: _documents(b, width, kind, end), window):
+        def documents(batch: pa.RecordBatch) -> Iterator[Segment]:
+            return _documents(batch, width, kind, end, vocabulary)
+
+        for segments in _windows(batches, documents, window):
             rows: list[list[Segment]] = []
             for row in rows_of(segments, length):
                 rows.append(row)

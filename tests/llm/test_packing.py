@@ -55,6 +55,8 @@ def test_ids_of_a_vocabulary(spark, documents):
     encoded = bpe.encode(documents, vocabulary()).cache()
     rows = packing.pack(encoded, end=50256, length=512).collect()
     found = unpacked(rows, 512)
+    at_once = packing.pack(documents, "text", end=50256, length=512, vocabulary=vocabulary())
+    assert unpacked(at_once.collect(), 512) == found
     for r in encoded.collect():
         assert [x for _, part in found[r["doc_id"]] for x in part] == [*r["token_ids"], 50256]
 
