@@ -200,12 +200,14 @@ def candidates(text: Column, taken: Column) -> Column:
             m["context"].alias("context"),
         ).cast(SPAN)
 
-    free = F.filter(
-        F.transform(matches(text, TOKEN), bare),
-        lambda c: (F.char_length(c["value"]) >= LEAST_LENGTH)
-        & ~F.exists(taken, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])),
-    )
-    return F.when(text.rlike("[0-9]"), free).otherwise(_none())
+    def free(known: Column) -> Column:
+        return F.filter(
+            F.transform(matches(text, TOKEN), bare),
+            lambda c: (F.char_length(c["value"]) >= LEAST_LENGTH)
+            & ~F.exists(known, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])),
+        )
+
+    return F.when(text.rlike("[0-9]"), _let(taken, free)).otherwise(_none())
 
 
 def _key(text: str | Column) -> Column:
@@ -216,9 +218,14 @@ def found_in(docs: DataFrame) -> DataFrame:
     """``key``, ``base`` and ``candidates`` of each distinct text that has either, and its words."""
     text = F.coalesce("text", F.lit(""))
     hinted = docs.select(text.alias("text")).filter(F.col("text").rlike("[0-9]|@"))
-    based = hinted.select(_key("text").alias("key"), "text", base_spans(F.col("text")).alias("base"))
+    # explode() keeps what is found a value that is there, rather than an expression that
+    # is worked out again for each use of it.
+    based = hinted.select(
+        _key("text").alias("key"), "text", F.explode(F.array(base_spans(F.col("text")))).alias("base")
+    )
+    others = F.explode(F.array(candidates(F.col("text"), F.col("base"))))
     return settled(
-        based.select("key", "text", "base", candidates(F.col("text"), F.col("base")).alias("candidates"))
+        based.select("key", "text", "base", others.alias("candidates"))
         .filter("size(base) > 0 or size(candidates) > 0")
         .dropDuplicates(["key"]),
         "identifiers",
@@ -246,7 +253,7 @@ def learn(
     patterns = settled(patterns, "patterns")
     supported = patterns.select("context").distinct()
     words = F.filter(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    pairs = found.select(words.alias("w")).select(
+    pairs = found.select(F.explode(F.array(words)).alias("w")).select(
         F.explode(
             F.when(
                 F.size("w") > 2,

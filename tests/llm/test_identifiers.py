@@ -17,11 +17,11 @@ TRICKY = [
     "+1 (555) 010-9999 +123 +1((((( +49 89 123456789012345 ++1 555 010 9999.",
     "é漢🙂 a@b.cd 🙂 +1 555 010 9999",
     "@.@ a@b a@b- a@-.- .@a.b",
-    "a" * 50_000 + "@",
-    "1" * 50_000,
-    "a@" + "b." * 20_000 + "c",
+    "a" * 3_000 + "@",
+    "1" * 3_000,
+    "a@" + "b." * 5_000 + "c",
     "+1" + " " * 50_000,
-    "a@b.c " * 3_000,
+    "a@b.c " * 1_000,
     None,
     "",
 ]
