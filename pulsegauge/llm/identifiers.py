@@ -4,8 +4,10 @@ Emails, addresses, card and phone numbers are found by form. They then serve as
 two words before a seed are a lexical pattern, and the tokens with a digit that follow
 the same words elsewhere are candidates. Patterns and candidates make a graph, scored
 in rounds: a pattern is as good as the share of all its occurrences that scored
-instances follow, and an instance as its patterns together. Instances that reach
-``CONFIDENT`` are seeds of the next round, and in the end are marked wherever they stand.
+instances follow. Only patterns that reach ``CONFIDENT`` vouch, and only for instances
+with ``LEAST_SHARE`` of all their occurrences in such patterns; an instance is then as
+good as these together. Such instances are seeds of the next round, and in the end are
+marked wherever they stand.
 
 Everything is built-in expressions. A place in a text is known from the lengths of the
 matches and of what lies between them, in code points.
@@ -42,6 +44,8 @@ CONFIDENT = 0.8
 # Distinct seeds a pattern must have been met with.
 SUPPORT = 5
 LEAST_LENGTH = 4
+# Of all occurrences of an instance, those that must stand in patterns that vouch for it.
+LEAST_SHARE = 0.5
 
 
 def digits(text: Column) -> Column:
@@ -233,12 +237,18 @@ def found_in(docs: DataFrame) -> DataFrame:
 
 
 def learn(
-    found: DataFrame, rounds: int = ROUNDS, confident: float = CONFIDENT, support: int = SUPPORT
+    found: DataFrame,
+    rounds: int = ROUNDS,
+    confident: float = CONFIDENT,
+    support: int = SUPPORT,
+    share: float = LEAST_SHARE,
 ) -> DataFrame:
     """``value`` and ``kind`` of the candidates that the patterns of seeds vouch for.
 
     Texts that repeat count once. A pattern is scored only with ``support`` distinct
     seeds of a kind; what else follows its words, identifier or not, counts against it.
+    Occurrences of a value anywhere but in confident patterns of the kind count against
+    the value.
     """
     seeds = found.select(F.explode("base").alias("s")).select(
         "s.kind", "s.context", F.col("s.value").alias("value")
@@ -273,7 +283,12 @@ def learn(
         .agg(F.count("*").alias("n"))
         .join(occurrences, "context")
     )
-    edges = settled(followers, "pattern-instances")
+    everywhere = (
+        found.select(F.explode(F.concat("base", "candidates")).alias("s"))
+        .groupBy("s.value")
+        .agg(F.count("*").alias("everywhere"))
+    )
+    edges = settled(followers.join(everywhere, "value"), "pattern-instances")
     scores = settled(
         seeds.select("value", "kind", F.lit(1.0).alias("score")).distinct(), "instance-scores"
     )
@@ -283,17 +298,19 @@ def learn(
             .groupBy("context", "kind")
             .agg((F.sum(F.col("score") * F.col("n")) / F.max("all")).alias("pattern_score"))
             .join(patterns.select("context", "kind"), ["context", "kind"])
+            .filter(F.col("pattern_score") >= confident)
         )
         vouched = (
-            edges.select("context", "value")
-            .join(pattern_scores, "context")
+            edges.join(pattern_scores, "context")
             .groupBy("value", "kind")
             .agg(
                 (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("pattern_score"), F.lit(1e-9)))))).alias(
                     "score"
-                )
+                ),
+                (F.sum("n") / F.max("everywhere")).alias("share"),
             )
-            .filter(F.col("score") >= confident)
+            .filter(F.col("share") >= share)
+            .drop("share")
         )
         scores = settled(
             scores.unionByName(vouched).groupBy("value", "kind").agg(F.max("score").alias("score")),

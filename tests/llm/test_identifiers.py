@@ -72,3 +72,28 @@ def test_context_finds_what_has_no_fixed_form(spark):
     assert all(re.fullmatch(r"phone:18:35", found[i]) for i in range(12))
     masked = {r["doc_id"]: r["text"] for r in identifiers.mask(docs).collect()}
     assert masked[21] == "and [PHONE], again" and masked[50] == rows[-1][1]
+
+
+def learnt(spark, lines):
+    """Spans of each of the last lines, which are given as a dict, learnt with the others."""
+    rows, asked = lines
+    docs = spark.createDataFrame([(-i - 1, t) for i, t in enumerate(rows)] + list(asked.items()), "doc_id long, text string")
+    found = {r["doc_id"]: r["spans"] for r in identifiers.report(docs).collect()}
+    return {i: found[i] for i in asked}
+
+
+def test_weak_or_rare_contexts_do_not_vouch(spark):
+    def phone(i):
+        return f"+1 (555) 010-{1000 + i}"
+
+    # Fifty contexts with five seeds and a score of 0.1 each, all before the same number.
+    rows = []
+    for c in range(50):
+        rows += [f"w{c} the {phone(5 * c + i)} x" for i in range(5)]
+        rows += [f"w{c} the 2024 x {i}" for i in range(5)]
+        rows += [f"w{c} the {10_000 + 100 * c + i} x" for i in range(40)]
+    # One confident context before a number that mostly stands elsewhere.
+    rows += [f"call me at {phone(1000 + i)} x" for i in range(30)]
+    rows += ["call me at 1984 x", "call me at 555-0199 x", *[f"so in 1984 it was {i}" for i in range(5)]]
+    found = learnt(spark, (rows, {0: "by the year 2024 and", 1: "by the year 1984 and", 2: "or 555-0199 x"}))
+    assert found == {0: "", 1: "", 2: "phone:3:11"}
