@@ -219,21 +219,14 @@ def _key(text: str | Column) -> Column:
 
 
 def found_in(docs: DataFrame) -> DataFrame:
-    """``key``, ``base`` and ``candidates`` of each distinct text that has either, and its words."""
+    """``key``, ``text``, ``base`` and ``candidates`` of each distinct text, with or without any."""
     text = F.coalesce("text", F.lit(""))
-    hinted = docs.select(text.alias("text")).filter(F.col("text").rlike("[0-9]|@"))
+    distinct = docs.select(text.alias("text")).select(_key("text").alias("key"), "text").dropDuplicates(["key"])
     # explode() keeps what is found a value that is there, rather than an expression that
     # is worked out again for each use of it.
-    based = hinted.select(
-        _key("text").alias("key"), "text", F.explode(F.array(base_spans(F.col("text")))).alias("base")
-    )
+    based = distinct.select("key", "text", F.explode(F.array(base_spans(F.col("text")))).alias("base"))
     others = F.explode(F.array(candidates(F.col("text"), F.col("base"))))
-    return settled(
-        based.select("key", "text", "base", others.alias("candidates"))
-        .filter("size(base) > 0 or size(candidates) > 0")
-        .dropDuplicates(["key"]),
-        "identifiers",
-    )
+    return settled(based.select("key", "text", "base", others.alias("candidates")), "identifiers")
 
 
 def learn(

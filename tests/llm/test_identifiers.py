@@ -97,3 +97,9 @@ def test_weak_or_rare_contexts_do_not_vouch(spark):
     rows += ["call me at 1984 x", "call me at 555-0199 x", *[f"so in 1984 it was {i}" for i in range(5)]]
     found = learnt(spark, (rows, {0: "by the year 2024 and", 1: "by the year 1984 and", 2: "or 555-0199 x"}))
     assert found == {0: "", 1: "", 2: "phone:3:11"}
+
+
+def test_plain_texts_count_against_a_context(spark):
+    rows = [f"so write to anna{i}@example.com x" for i in range(20)]
+    rows += ["so write to b2b4u x", *["so write to " + "abcdefghij"[i % 10] * (1 + i // 10) + " x" for i in range(100)]]
+    assert learnt(spark, (rows, {0: "the b2b4u x"})) == {0: ""}
