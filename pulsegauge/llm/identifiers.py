@@ -1,8 +1,8 @@
 """Finding and masking personal identifiers: fixed forms, and forms learnt from context.
 
 Emails, addresses, card and phone numbers are found by form. They then serve as seeds: the
-two words before a seed are a lexical pattern, and the tokens with a digit that follow
-the same words elsewhere are candidates. Patterns and candidates make a graph, scored
+two words before a seed are a lexical pattern, and whatever follows the same words
+elsewhere is a candidate: a token, or groups of digits in a row as one number. Patterns and candidates make a graph, scored
 in rounds: a pattern is as good as the share of all its occurrences that scored
 instances follow. Only patterns that reach ``CONFIDENT`` vouch, and only for instances
 with ``LEAST_SHARE`` of all their occurrences in such patterns; an instance is then as
@@ -21,7 +21,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import settled
+from .common import BLANKS, WORD, settled
 
 # Java's possessive quantifiers and looks behind only spare fruitless tries; what is
 # found is what the plain forms find.
@@ -31,10 +31,18 @@ EMAIL = (
 IP = r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}"
 CARD = r"[0-9](?:[\x20-]?+[0-9])++"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
-# A whole token with a digit in it.
-TOKEN = r"(?<![^\x20\x09-\x0D])(?=[^\x20\x09-\x0D0-9]*+[0-9])[^\x20\x09-\x0D]++"
+# A group of digits of a number written in several, and one that may be the last.
+GROUP = r"^[(+]*[0-9](?:[0-9()./-]*[0-9)])?$"
+LAST_GROUP = r"""^[(+]*[0-9][0-9()./-]*[)"'\]>.,;:!?]*$"""
+# A token that is part of a fixed form has one of these, or nothing but those.
+IN_FORM = r"[0-9@]|^[+().-]+$"
+# What every text with a number in several groups has.
+GROUPS = r"[0-9)][\x20\x09]+[(+]*[0-9]"
+LINE = r"[\x0A-\x0D]"
+OPENING = r"""^[("'\[<]+"""
+CLOSING = r"""[)"'\]>.,;:!?]+$"""
 AROUND = r"""^[("'\[<]+|[)"'\]>.,;:!?]+$"""
-BEFORE = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]*$"
+BEFORE = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+[^\x20\x09-\x0D]*$"
 # Characters before a match in which its two words are looked for.
 REACH = 120
 BLOCK = 256
@@ -43,7 +51,8 @@ ROUNDS = 3
 CONFIDENT = 0.8
 # Distinct seeds a pattern must have been met with.
 SUPPORT = 5
-LEAST_LENGTH = 4
+# Digits of a number in several groups, as many as the longest fixed form has.
+MOST_DIGITS = 19
 # Of all occurrences of an instance, those that must stand in patterns that vouch for it.
 LEAST_SHARE = 0.5
 
@@ -93,7 +102,8 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def context(before: Column) -> Column:
-    """The last two words, in lower case; null if there are not two within ``REACH``."""
+    """The two words before the token that starts last, in lower case; null if there are
+    not two within ``REACH``."""
     near = F.substring(before, -REACH, REACH)
     two = F.concat_ws(" ", F.regexp_extract(near, BEFORE, 1), F.regexp_extract(near, BEFORE, 2))
     return F.when(F.length(two) > 2, F.lower(two))
@@ -142,6 +152,18 @@ def _running(parts: Column) -> Column:
 def matches(text: Column, pattern: str) -> Column:
     """Every match as ``start``, ``end``, ``value`` and the ``context`` before it."""
 
+    def before(cut: Column, i: Column) -> Column:
+        # Matches have two characters at least, so these reach far enough.
+        gap = F.get(cut["gaps"], i)
+        earlier = F.aggregate(
+            F.sequence(F.greatest(i - REACH // 2, F.lit(0)), i),
+            F.lit(""),
+            lambda a, k: F.concat(
+                a, F.get(cut["gaps"], k), F.when(k < i, F.get(cut["found"], k)).otherwise("")
+            ),
+        )
+        return F.when((i == 0) | (F.char_length(gap) >= REACH), gap).otherwise(earlier)
+
     def placed(cut: Column) -> Column:
         parts = F.transform(
             cut["found"],
@@ -157,7 +179,7 @@ def matches(text: Column, pattern: str) -> Column:
                     F.get(starts, i).alias("start"),
                     (F.get(starts, i) + F.char_length(m)).alias("end"),
                     m.alias("value"),
-                    context(F.get(cut["gaps"], i)).alias("context"),
+                    context(before(cut, i)).alias("context"),
                 ),
             ),
         )
@@ -189,29 +211,102 @@ def base_spans(text: Column) -> Column:
     return F.concat(*[_of_kind(text, kind) for kind in KINDS])
 
 
-def candidates(text: Column, taken: Column) -> Column:
-    """Tokens with a digit, without punctuation around them, that no span of ``taken`` meets."""
+def places(text: Column, base: Column) -> Column:
+    """Every ``token``, its ``context``, what is ``found`` at it, and the ``follower`` of the context.
 
-    def bare(m: Column) -> Column:
-        lead = F.char_length(m["value"]) - F.char_length(F.regexp_replace(m["value"], r"""^[("'\[<]+""", ""))
-        value = F.regexp_replace(m["value"], AROUND, "")
-        start = m["start"] + lead
-        return F.struct(
-            F.lit(None).cast("string").alias("kind"),
-            start.alias("start"),
-            (start + F.char_length(value)).alias("end"),
-            value.alias("value"),
-            m["context"].alias("context"),
-        ).cast(SPAN)
+    Found are the token without punctuation around it and the numbers in several groups
+    that begin with it, shortest first, unless a span of ``base`` meets them. The follower is
+    the span that starts in the token, or else the longest found; null within a span.
+    """
+    spot = "struct<start:int,end:int,value:string>"
 
-    def free(known: Column) -> Column:
-        return F.filter(
-            F.transform(matches(text, TOKEN), bare),
-            lambda c: (F.char_length(c["value"]) >= LEAST_LENGTH)
-            & ~F.exists(known, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])),
+    def of(cut: Column) -> Column:
+        sizes = F.transform(
+            cut["words"],
+            lambda w, i: F.struct(
+                F.char_length(F.get(cut["gaps"], i)).alias("gap"), F.char_length(w).alias("size")
+            ),
+        )
+        forms = F.transform(
+            cut["words"],
+            lambda w: F.when(w.rlike(GROUP), 2).when(w.rlike(LAST_GROUP), 1).otherwise(0),
         )
 
-    return F.when(text.rlike("[0-9]"), _let(taken, free)).otherwise(_none())
+        def with_forms(form: Column) -> Column:
+            # Whether a token goes on with the next one as a number.
+            goes_on = F.transform(
+                form,
+                lambda f, i: F.coalesce(
+                    (f == 2)
+                    & (F.get(form, i + 1) >= 1)
+                    & ~F.get(cut["gaps"], i + 1).rlike(LINE),
+                    F.lit(False),
+                ),
+            )
+            return _let(
+                goes_on,
+                lambda on: _let(
+                    _let(sizes, _running),
+                    lambda starts: F.transform(cut["words"], lambda w, i: at(w, i, on, starts)),
+                ),
+            )
+
+        def at(w: Column, i: Column, on: Column, starts: Column) -> Column:
+            first, last = F.get(starts, i), F.get(starts, i) + F.char_length(w)
+            start = first + F.char_length(w) - F.char_length(F.regexp_replace(w, OPENING, ""))
+            bare = F.regexp_replace(w, AROUND, "")
+            token = F.struct(
+                start.alias("start"), (start + F.char_length(bare)).alias("end"), bare.alias("value")
+            ).cast(spot)
+
+            def step(a: Column, k: Column) -> Column:
+                group = F.get(cut["words"], k)
+                longer = F.concat(a["value"], F.lit(" "), group)
+                fits = a["open"] & F.get(on, k - 1) & (F.length(digits(longer)) <= MOST_DIGITS)
+                number = F.struct(
+                    start.alias("start"),
+                    (F.get(starts, k) + F.char_length(F.regexp_replace(group, CLOSING, ""))).alias("end"),
+                    F.regexp_replace(longer, AROUND, "").alias("value"),
+                ).cast(spot)
+                return F.struct(
+                    fits.alias("open"),
+                    longer.alias("value"),
+                    F.when(fits, F.concat(a["found"], F.array(number))).otherwise(a["found"]).alias("found"),
+                )
+
+            none = F.array().cast(f"array<{spot}>")
+            numbers = F.aggregate(
+                F.sequence(i + 1, F.least(i + MOST_DIGITS - 1, F.size(cut["words"]) - 1)),
+                F.struct(F.lit(True).alias("open"), w.alias("value"), none.alias("found")),
+                step,
+                lambda a: a["found"],
+            )
+            known = F.when(w.rlike(IN_FORM), base).otherwise(_none())
+            found = F.filter(
+                F.when(F.get(on, i), F.concat(F.array(token), numbers)).otherwise(F.array(token)),
+                lambda c: (c["start"] < c["end"])
+                & ~F.exists(known, lambda s: (s["start"] < c["end"]) & (c["start"] < s["end"])),
+            )
+            begun = F.get(F.filter(known, lambda s: (s["start"] >= first) & (s["start"] < last)), F.lit(0))
+            words = F.concat_ws(" ", F.get(cut["words"], i - 2), F.get(cut["words"], i - 1))
+            return _let(
+                found,
+                lambda f: F.struct(
+                    w.alias("token"),
+                    F.when(i >= 2, F.lower(words)).alias("context"),
+                    f.alias("found"),
+                    F.coalesce(begun["value"], F.get(f, F.size(f) - 1)["value"]).alias("follower"),
+                ),
+            )
+
+        return _let(forms, with_forms)
+
+    empty = F.array().cast(f"array<struct<token:string,context:string,found:array<{spot}>,follower:string>>")
+    cut = F.struct(
+        F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"),
+        F.split(text, WORD, -1).alias("gaps"),
+    )
+    return _let(cut, lambda c: F.when(F.size(c["words"]) > 0, of(c)).otherwise(empty))
 
 
 def _key(text: str | Column) -> Column:
@@ -219,14 +314,37 @@ def _key(text: str | Column) -> Column:
 
 
 def found_in(docs: DataFrame) -> DataFrame:
-    """``key``, ``text``, ``base`` and ``candidates`` of each distinct text, with or without any."""
+    """``key``, ``text`` and ``base`` of each distinct text, with or without any."""
     text = F.coalesce("text", F.lit(""))
     distinct = docs.select(text.alias("text")).select(_key("text").alias("key"), "text").dropDuplicates(["key"])
     # explode() keeps what is found a value that is there, rather than an expression that
     # is worked out again for each use of it.
     based = distinct.select("key", "text", F.explode(F.array(base_spans(F.col("text")))).alias("base"))
-    others = F.explode(F.array(candidates(F.col("text"), F.col("base"))))
-    return settled(based.select("key", "text", "base", others.alias("candidates")), "identifiers")
+    return settled(based, "identifiers")
+
+
+def _places(found: DataFrame) -> DataFrame:
+    return found.select("key", F.explode(places(F.col("text"), F.col("base"))).alias("p")).select("key", "p.*")
+
+
+def _bare(word: str | Column) -> Column:
+    return F.regexp_replace(word, AROUND, "")
+
+
+def _words(found: DataFrame) -> DataFrame:
+    words = F.explode(F.split("text", BLANKS)).alias("word")
+    return found.select("key", words).filter("word != ''").select("key", _bare("word").alias("first"))
+
+
+def _with(found: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The texts of these keys; places() is dear, so only they are taken to it."""
+    return found.join(settled(keys.select("key").distinct(), name), "key", "left_semi")
+
+
+def _holding(found: DataFrame, values: DataFrame) -> DataFrame:
+    """The texts that hold the first word of a value."""
+    firsts = values.select(_bare(F.get(F.split(F.col("value"), " "), F.lit(0))).alias("first")).distinct()
+    return _with(found, _words(found).join(firsts, "first", "left_semi"), "texts-with-values")
 
 
 def learn(
@@ -254,34 +372,66 @@ def learn(
         .filter(F.col("seeds") >= support)
     )
     patterns = settled(patterns, "patterns")
+    if patterns.isEmpty():
+        return patterns.select(F.col("context").alias("value"), "kind")
     supported = patterns.select("context").distinct()
-    words = F.filter(F.split(F.lower("text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    pairs = found.select(F.explode(F.array(words)).alias("w")).select(
+    words = F.filter(F.split("text", BLANKS), lambda w: w != "")
+    pairs = found.select("key", F.explode(F.array(words)).alias("w")).select(
+        "key",
         F.explode(
             F.when(
                 F.size("w") > 2,
                 F.transform(
-                    F.sequence(F.lit(0), F.size("w") - 3),
-                    lambda i: F.concat_ws(" ", F.get(F.col("w"), i), F.get(F.col("w"), i + 1)),
+                    F.sequence(F.lit(2), F.size("w") - 1),
+                    lambda i: F.struct(
+                        F.lower(F.concat_ws(" ", F.get(F.col("w"), i - 2), F.get(F.col("w"), i - 1))).alias("context"),
+                        F.get(F.col("w"), i).alias("token"),
+                    ),
                 ),
             )
-        ).alias("context")
+        ).alias("p"),
     )
-    occurrences = pairs.join(supported, "context").groupBy("context").agg(F.count("*").alias("all"))
+    met = settled(pairs.select("key", "p.*").join(supported, "context"), "pattern-followers")
+    # Where a fixed form or a number may stand, its place decides what follows.
+    placed = _places(_with(found, met.filter(F.col("token").rlike(IN_FORM)), "texts-with-patterns"))
     followers = (
-        found.select(F.explode(F.concat("base", "candidates")).alias("s"))
-        .select("s.context", "s.value")
-        .join(supported, "context")
+        met.filter(~F.col("token").rlike(IN_FORM))
+        .select("context", F.nullif(_bare("token"), F.lit("")).alias("value"))
+        .unionByName(
+            placed.filter(F.col("token").rlike(IN_FORM))
+            .select("context", F.col("follower").alias("value"))
+            .join(supported, "context")
+        )
         .groupBy("context", "value")
         .agg(F.count("*").alias("n"))
-        .join(occurrences, "context")
     )
-    everywhere = (
-        found.select(F.explode(F.concat("base", "candidates")).alias("s"))
-        .groupBy("s.value")
+    followers = settled(followers, "pattern-instances")
+    occurrences = followers.groupBy("context").agg(F.sum("n").alias("all"))
+    instances = followers.filter("value is not null")
+    # Seeds need no share.
+    unseen = settled(
+        instances.select("value").distinct().join(seeds.select("value").distinct(), "value", "left_anti"),
+        "unseen",
+    )
+    # Counted before they are joined, so that words go out once per task.
+    single = (
+        _words(found)
+        .groupBy(F.col("first").alias("value"))
+        .agg(F.count("*").alias("everywhere"))
+        .join(unseen, "value", "left_semi")
+    )
+    several = unseen.filter(F.contains(F.col("value"), F.lit(" ")))
+    grouped = (
+        _places(_holding(found.filter(F.col("text").rlike(GROUPS)), several))
+        .select(F.explode("found.value").alias("value"))
+        .join(several, "value", "left_semi")
+        .groupBy("value")
         .agg(F.count("*").alias("everywhere"))
     )
-    edges = settled(followers.join(everywhere, "value"), "pattern-instances")
+    everywhere = single.unionByName(grouped)
+    edges = settled(
+        instances.join(occurrences, "context").join(everywhere, "value", "left"), "edges"
+    )
     scores = settled(
         seeds.select("value", "kind", F.lit(1.0).alias("score")).distinct(), "instance-scores"
     )
@@ -316,14 +466,17 @@ def learn(
 def spans(docs: DataFrame, **options) -> DataFrame:
     """``key``, ``base`` and ``learnt`` spans of each distinct text that has any."""
     found = found_in(docs)
-    known = learn(found, **options)
+    known = settled(learn(found, **options), "learnt")
+    # Of values that begin at one place, the longest.
     learnt = (
-        found.select("key", F.explode("candidates").alias("c"))
-        .select("key", "c.*")
-        .drop("kind")
+        _places(_holding(found, known))
+        .select("key", "context", F.explode("found").alias("c"))
+        .select("key", "context", "c.*")
         .join(known, "value")
+        .groupBy("key", "start")
+        .agg(F.max_by(F.struct("kind", "start", "end", "value", "context"), "end").alias("s"))
         .groupBy("key")
-        .agg(F.array_sort(F.collect_list(F.struct("kind", "start", "end", "value", "context"))).alias("learnt"))
+        .agg(F.array_sort(F.collect_list("s")).alias("learnt"))
     )
     return (
         found.select("key", "base")

@@ -103,3 +103,33 @@ def test_plain_texts_count_against_a_context(spark):
     rows = [f"so write to anna{i}@example.com x" for i in range(20)]
     rows += ["so write to b2b4u x", *["so write to " + "abcdefghij"[i % 10] * (1 + i // 10) + " x" for i in range(100)]]
     assert learnt(spark, (rows, {0: "the b2b4u x"})) == {0: ""}
+
+
+def test_any_form_after_a_confident_context(spark):
+    rows = [f"so mail me at anna{i}@example.com x" for i in range(20)]
+    rows += [f"12 ring us on +1 (555) 010-{1000 + i} x" for i in range(20)]
+    # The context's own words hold digits.
+    rows += [f"on 2024 line4 +1 (555) 020-{1000 + i} x" for i in range(20)]
+    asked = {
+        0: "mail me at anna[at]example.com, or",
+        1: "and (user(at)host) or",
+        2: "mail me at user(at)host",
+        3: "é🙂 ring us on 555 010 9999, or",
+        4: "in 2024 555 010 9999",
+        5: "ring us on 0555 010 9999",
+        6: "the 0555 ring",
+        7: "on 2024 line4 555-0177 x",
+        8: "555\n010 9999",
+    }
+    found = learnt(spark, (rows, asked))
+    assert found == {
+        0: "email:11:30",
+        1: "email:5:17",
+        2: "email:11:23",
+        3: "phone:14:26",
+        4: "phone:8:20",
+        5: "phone:11:24",
+        6: "",
+        7: "phone:14:22",
+        8: "",
+    }
