@@ -9,7 +9,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import pin_zone
-from . import bpe, identifiers, mixing, neighbours, packing, passages, quality, similar, urls, warc
+from . import (
+    bpe,
+    identifiers,
+    mixing,
+    neighbours,
+    packing,
+    passages,
+    prefix_trie,
+    quality,
+    similar,
+    urls,
+    warc,
+)
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -97,3 +109,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     # The vocabulary's own id for the end of a text.
     return packing.pack(docs, "text", end=50256, vocabulary=vocabulary())
+
+
+@registered
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, folder, "conversations"))

@@ -146,3 +146,54 @@ select doc_id, n::bigint as n_words, gone::bigint as n_removed,
        sha256(array_to_string(k, ' ')) as kept_sha256
 from kept
 """
+
+# The CRC of a decimal number, byte by byte and bit by bit.
+_CRC32 = """xor(list_reduce(
+    list_prepend(4294967295::ubigint, list_transform(range(1, length({0}) + 1), lambda i: ord({0}[i])::ubigint)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0::ubigint, 0, 0, 0, 0, 0, 0, 0]),
+                          lambda x, z: xor(x >> 1, (x & 1) * 3988292384::ubigint))), 4294967295::ubigint)"""
+
+ORACLE["op11_prefix_trie"] = f"""
+with told as (
+  select conv_id, turn, coalesce(text, '') as text,
+         sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) as said
+  from conversations where conv_id is not null),
+turns as (
+  select *, row_number() over (partition by conv_id order by turn nulls first, said) as pos from told),
+convs as (
+  select conv_id as c, conv_id - conv_id % 5 as base, count(*) as n,
+         ({_CRC32.format("(conv_id::varchar)")} % 9)::bigint as h
+  from turns group by conv_id),
+heads as (
+  select c, pos as depth, said, text from convs join turns on conv_id = base and pos <= h),
+lengths as (
+  select c, h, n, coalesce(b, 0) as b, coalesce(b, 0) + greatest(n - h, 0) as len
+  from convs left join (select c, max(depth) as b from heads group by c) using (c)),
+rebuilt as (
+  select * from heads
+  union all
+  select c, pos - h + b, said, text from lengths join turns on conv_id = c and pos > h),
+keyed as (
+  select c, depth, strlen(text) as size,
+         md5(string_agg(said, ',') over (partition by c order by depth)) as k from rebuilt),
+prefixes as (
+  select c, depth, size, k, coalesce(lag(k) over (partition by c order by depth), '') as parent from keyed
+  union all
+  select c, 0, 0, '', null from convs),
+nodes as (
+  select depth, k, min(parent) as parent, min(c) as rep, count(*) as n, min(size) as size
+  from prefixes group by depth, k),
+children as (select depth - 1 as depth, parent as k, count(*) as n_children from nodes group by all),
+whole as (select nodes.*, coalesce(n_children, 0) as n_children from nodes left join children using (depth, k)),
+sums as (
+  select p.depth, p.k, sum((w.n - 1) * w.size) as saved, count_if(w.n_children = 0) as leaves
+  from whole w join prefixes p on p.c = w.rep and p.depth <= w.depth group by all),
+ends as (
+  select depth, k, sha256(string_agg(c::varchar, ',' order by c)) as ends_sha256
+  from prefixes join lengths using (c) where depth = len group by all)
+select w.rep as conv_id, w.depth, p.rep as parent_conv_id, w.n as n_convs, w.n_children,
+       leaves::bigint as n_leaves, saved::bigint as saved_tokens,
+       coalesce(ends_sha256, sha256('')) as ends_sha256
+from whole w join sums using (depth, k) left join ends using (depth, k)
+left join nodes p on p.depth = w.depth - 1 and p.k = w.parent
+"""

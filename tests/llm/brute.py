@@ -1,7 +1,9 @@
 """Plain versions of the operators, to hold their results against."""
 
 import hashlib
+import math
 import re
+import zlib
 from collections import Counter, defaultdict
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -126,3 +128,41 @@ def classes(docs):
         for i, k in enumerate(keys)
         for x in texts[k]
     ]
+
+
+def trie(rows):
+    """The nodes of the trie of rebuilt conversations, from (conv_id, turn, role, text)."""
+    told = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            role, text = role or "", text or ""
+            said = hashlib.sha256(f"{len(role.encode())}:{role}{text}".encode()).hexdigest()
+            told.setdefault(conv, []).append((turn is not None, turn or 0, said, (role, text)))
+    told = {c: [t[-1] for t in sorted(ts)] for c, ts in told.items()}
+    rebuilt = {}
+    for c, own in told.items():
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - math.fmod(c, 5)
+        rebuilt[c] = tuple(told.get(base, [])[:h] + own[h:])
+    nodes = {}
+    for c, said in rebuilt.items():
+        for d in range(len(said) + 1):
+            nodes.setdefault(said[:d], []).append(c)
+    found = []
+    for prefix, members in nodes.items():
+        below = [p for p in nodes if p[: len(prefix)] == prefix]
+        leaves = [p for p in below if not any(len(q) == len(p) + 1 and q[: len(p)] == p for q in nodes)]
+        ends = ",".join(str(c) for c in sorted(members) if rebuilt[c] == prefix)
+        found.append(
+            (
+                min(members),
+                len(prefix),
+                min(nodes[prefix[:-1]]) if prefix else None,
+                len(members),
+                sum(len(q) == len(prefix) + 1 for q in below),
+                len(leaves),
+                sum((len(nodes[p]) - 1) * len(p[-1][1].encode()) for p in below if p),
+                sha256(ends),
+            )
+        )
+    return found
