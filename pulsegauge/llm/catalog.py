@@ -13,6 +13,7 @@ from . import (
     bpe,
     identifiers,
     mixing,
+    negatives,
     neighbours,
     packing,
     passages,
@@ -114,3 +115,10 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 @registered
 def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.prefix_trie(table(spark, folder, "conversations"))
+
+
+@registered
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    rows = table(spark, folder, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, moved)

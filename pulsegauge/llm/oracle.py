@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, quality, urls, warc
+from . import mixing, negatives, quality, urls, warc
 
 ORACLE: dict[str, str] = {}
 
@@ -197,3 +197,26 @@ select w.rep as conv_id, w.depth, p.rep as parent_conv_id, w.n as n_convs, w.n_c
 from whole w join sums using (depth, k) left join ends using (depth, k)
 left join nodes p on p.depth = w.depth - 1 and p.k = w.parent
 """
+
+ORACLE["op12_hard_negatives"] = f"""
+with vectors as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+         list_transform(embedding, lambda x: floor(x::double * {negatives.SCALE})) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+scored as (
+  select a.vec_id as anchor_id, x.vec_id, a.label = x.label as same,
+         list_inner_product(a.v, x.v)::bigint as score
+  from vectors a join vectors x on a.vec_id % 50 = 0 and a.vec_id <> x.vec_id),
+positives as (
+  select anchor_id, vec_id as positive_id, score as positive_score from scored where same
+  qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= {negatives.POSITIVES})
+select anchor_id, positive_id,
+       row_number() over (partition by anchor_id, positive_id order by score desc, vec_id)::int as rank,
+       vec_id as negative_id, positive_score, score as negative_score
+from positives join scored using (anchor_id)
+where not same and {negatives.LEAST} * positive_score <= 100 * score
+  and 100 * score <= {negatives.MOST} * positive_score
+qualify rank <= {negatives.NEGATIVES}
+"""

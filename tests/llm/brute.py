@@ -166,3 +166,25 @@ def trie(rows):
             )
         )
     return found
+
+
+def hard_negatives(rows, anchors, positives=5, negatives=3):
+    """From (id, label, vector) of distinct ids: what ``negatives`` returns."""
+    held = {}
+    for i, label, vector in rows:
+        fine = i is not None and label is not None and vector is not None
+        if fine and all(x is not None and math.isfinite(x) for x in vector):
+            one = (label, [math.floor(x * 256) for x in vector])
+            held[i] = min(held.get(i, one), one)
+    found = []
+    for a in sorted(i for i in held if anchors(i)):
+        label, own = held[a]
+        scored = sorted(
+            (-sum(x * y for x, y in zip(own, v)), i, other)
+            for i, (other, v) in held.items()
+            if i != a and len(v) == len(own)
+        )
+        for s, p, _ in [x for x in scored if x[2] == label][:positives]:
+            hard = [x for x in scored if x[2] != label and 50 * -s <= 100 * -x[0] <= 95 * -s][:negatives]
+            found += [(a, p, k + 1, i, -s, -t) for k, (t, i, _) in enumerate(hard)]
+    return found
