@@ -13,6 +13,7 @@ from . import (
     bpe,
     identifiers,
     mixing,
+    near_duplicates,
     negatives,
     neighbours,
     packing,
@@ -122,3 +123,8 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     return negatives.hard_negatives(rows, F.col("vec_id") % 50 == 0, moved)
+
+
+@registered
+def op13_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.near_duplicates(table(spark, folder, "documents").select("doc_id", "text"))

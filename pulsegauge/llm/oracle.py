@@ -220,3 +220,39 @@ where not same and {negatives.LEAST} * positive_score <= 100 * score
   and 100 * score <= {negatives.MOST} * positive_score
 qualify rank <= {negatives.NEGATIVES}
 """
+
+ORACLE["op13_near_duplicates"] = f"""
+with recursive docs as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '{_WORD}') as w
+  from documents),
+sets as (
+  select doc_id, list_distinct(case when len(w) = 0 then []
+           when len(w) < 5 then [list_aggregate(w, 'string_agg', ' ')]
+           else list_transform(range(1, len(w) - 3), lambda i: list_aggregate(w[i:i + 4], 'string_agg', ' '))
+           end) as s
+  from docs),
+distinct_sets as (
+  select min(doc_id) as id, list(doc_id) as members, any_value(s) as s, k
+  from (select *, md5(list_aggregate(list_sort(s), 'string_agg', '\n')) as k from sets where len(s) > 0)
+  group by k),
+shingles as (select id, len(s) as n, hash(unnest(s)) as shingle from distinct_sets),
+few as (
+  select shingle from shingles group by shingle having count(*) > 1),
+links as (
+  select a.id as u, b.id as v
+  from (select * from shingles semi join few using (shingle)) a
+  join (select * from shingles semi join few using (shingle)) b on a.shingle = b.shingle and a.id <> b.id
+  where 100 * least(a.n, b.n) >= 85 * greatest(a.n, b.n)
+  group by a.id, b.id having 100 * count(*) >= 85 * (min(a.n) + min(b.n) - count(*))),
+reached as (
+  select id as u, id as v from distinct_sets
+  union
+  select reached.u, links.v from reached join links on reached.v = links.u),
+named as (select u as id, min(v) as component_id from reached group by u),
+owned as (
+  select unnest(members) as doc_id, component_id from distinct_sets join named using (id))
+select doc_id, len(s)::bigint as n_shingles, coalesce(component_id, doc_id) as component_id,
+       doc_id = coalesce(component_id, doc_id) as kept
+from sets left join owned using (doc_id)
+"""

@@ -188,3 +188,26 @@ def hard_negatives(rows, anchors, positives=5, negatives=3):
             hard = [x for x in scored if x[2] != label and 50 * -s <= 100 * -x[0] <= 95 * -s][:negatives]
             found += [(a, p, k + 1, i, -s, -t) for k, (t, i, _) in enumerate(hard)]
     return found
+
+
+def near_duplicates(docs):
+    """(doc_id, n_shingles, component_id, kept) of each row of (doc_id, text)."""
+    sets = []
+    for _, text in docs:
+        w = words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    component = list(range(len(docs)))
+    for i, a in enumerate(sets):
+        for j in range(i):
+            b = sets[j]
+            shared = len(a & b)
+            if shared and 100 * shared >= 85 * len(a | b) and component[i] != component[j]:
+                old, new = component[i], component[j]
+                component = [new if c == old else c for c in component]
+    least = {}
+    for (doc_id, _), c in zip(docs, component):
+        if doc_id is not None:
+            least[c] = min(least.get(c, doc_id), doc_id)
+    return [
+        (doc_id, len(s), least.get(c), doc_id == least.get(c)) for (doc_id, _), s, c in zip(docs, sets, component)
+    ]
