@@ -1,13 +1,18 @@
 """Finding and masking personal identifiers: fixed forms, and forms learnt from context.
 
 Emails, addresses, card and phone numbers are found by form. They then serve as seeds: the
-two words before a seed are a lexical pattern, and whatever follows the same words
-elsewhere is a candidate: a token, or groups of digits in a row as one number. Patterns and candidates make a graph, scored
-in rounds: a pattern is as good as the share of all its occurrences that scored
-instances follow. Only patterns that reach ``CONFIDENT`` vouch, and only for instances
-with ``LEAST_SHARE`` of all their occurrences in such patterns; an instance is then as
-good as these together. Such instances are seeds of the next round, and in the end are
-marked wherever they stand.
+two words before the token a seed begins in are a lexical pattern, and whatever follows
+the same words elsewhere is a candidate: a token, or groups of digits in a row as one
+number. Patterns and candidates make a graph, scored in rounds: a pattern is as good as
+the share of all its occurrences that scored instances follow. Only patterns that reach
+``CONFIDENT`` vouch, and only for instances with ``LEAST_SHARE`` of all their occurrences
+in such patterns; an instance is then as good as these together. Such instances are
+seeds of the next round, until no pattern and no instance comes to them, and in the end
+are marked wherever they stand.
+
+Of a pattern that isn't confident only counts are needed: what follows it but has no
+score adds nothing to its own. So the edges of the graph are those of scored instances,
+and of patterns that vouch; what follows all others is counted and never listed.
 
 Everything is built-in expressions. A place in a text is known from the lengths of the
 matches and of what lies between them, in code points.
@@ -42,12 +47,9 @@ LINE = r"[\x0A-\x0D]"
 OPENING = r"""^[("'\[<]+"""
 CLOSING = r"""[)"'\]>.,;:!?]+$"""
 AROUND = r"""^[("'\[<]+|[)"'\]>.,;:!?]+$"""
-BEFORE = r"([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+([^\x20\x09-\x0D]+)[\x20\x09-\x0D]+[^\x20\x09-\x0D]*$"
-# Characters before a match in which its two words are looked for.
-REACH = 120
+BLANK_CHARACTERS = " \t\n\x0b\x0c\r"
 BLOCK = 256
 
-ROUNDS = 3
 CONFIDENT = 0.8
 # Distinct seeds a pattern must have been met with.
 SUPPORT = 5
@@ -93,7 +95,7 @@ KINDS = (
     Kind("phone", PHONE, _is_phone, lambda t: t.rlike(r"\+[0-9]")),
 )
 NAMES = tuple(k.name for k in KINDS)
-SPAN = "struct<kind:string,start:int,end:int,value:string,context:string>"
+SPAN = "struct<kind:string,start:int,end:int,value:string>"
 
 
 def _let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -101,14 +103,6 @@ def _let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def context(before: Column) -> Column:
-    """The two words before the token that starts last, in lower case; null if there are
-    not two within ``REACH``."""
-    near = F.substring(before, -REACH, REACH)
-    two = F.concat_ws(" ", F.regexp_extract(near, BEFORE, 1), F.regexp_extract(near, BEFORE, 2))
-    return F.when(F.length(two) > 2, F.lower(two))
-
-
 def _running(parts: Column) -> Column:
     """``start`` of each part, whose ``gap`` characters before it and ``size`` are known.
 
@@ -150,19 +144,7 @@ def _running(parts: Column) -> Column:
 
 
 def matches(text: Column, pattern: str) -> Column:
-    """Every match as ``start``, ``end``, ``value`` and the ``context`` before it."""
-
-    def before(cut: Column, i: Column) -> Column:
-        # Matches have two characters at least, so these reach far enough.
-        gap = F.get(cut["gaps"], i)
-        earlier = F.aggregate(
-            F.sequence(F.greatest(i - REACH // 2, F.lit(0)), i),
-            F.lit(""),
-            lambda a, k: F.concat(
-                a, F.get(cut["gaps"], k), F.when(k < i, F.get(cut["found"], k)).otherwise("")
-            ),
-        )
-        return F.when((i == 0) | (F.char_length(gap) >= REACH), gap).otherwise(earlier)
+    """Every match as ``start``, ``end`` and ``value``."""
 
     def placed(cut: Column) -> Column:
         parts = F.transform(
@@ -179,7 +161,6 @@ def matches(text: Column, pattern: str) -> Column:
                     F.get(starts, i).alias("start"),
                     (F.get(starts, i) + F.char_length(m)).alias("end"),
                     m.alias("value"),
-                    context(before(cut, i)).alias("context"),
                 ),
             ),
         )
@@ -188,7 +169,7 @@ def matches(text: Column, pattern: str) -> Column:
         F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("found"),
         F.split(text, pattern, -1).alias("gaps"),
     )
-    empty = F.array().cast("array<struct<start:int,end:int,value:string,context:string>>")
+    empty = F.array().cast("array<struct<start:int,end:int,value:string>>")
     return _let(found, lambda cut: F.when(F.size(cut["found"]) > 0, placed(cut)).otherwise(empty))
 
 
@@ -198,9 +179,7 @@ def _none() -> Column:
 
 def _of_kind(text: Column, kind: Kind) -> Column:
     def named(m: Column) -> Column:
-        return F.struct(
-            F.lit(kind.name).alias("kind"), m["start"], m["end"], m["value"], m["context"]
-        ).cast(SPAN)
+        return F.struct(F.lit(kind.name).alias("kind"), m["start"], m["end"], m["value"]).cast(SPAN)
 
     valid = F.filter(matches(text, kind.pattern), lambda m: kind.valid(m["value"]))
     return F.when(kind.hint(text), F.transform(valid, named)).otherwise(_none())
@@ -212,11 +191,13 @@ def base_spans(text: Column) -> Column:
 
 
 def places(text: Column, base: Column) -> Column:
-    """Every ``token``, its ``context``, what is ``found`` at it, and the ``follower`` of the context.
+    """Every ``token``, its ``context``, what is ``found`` at it, the ``follower`` of the context
+    and its ``kind``.
 
     Found are the token without punctuation around it and the numbers in several groups
     that begin with it, shortest first, unless a span of ``base`` meets them. The follower is
-    the span that starts in the token, or else the longest found; null within a span.
+    the first span that starts in the token, or else the longest found; null within a span.
+    Only a span has a kind.
     """
     spot = "struct<start:int,end:int,value:string>"
 
@@ -296,12 +277,13 @@ def places(text: Column, base: Column) -> Column:
                     F.when(i >= 2, F.lower(words)).alias("context"),
                     f.alias("found"),
                     F.coalesce(begun["value"], F.get(f, F.size(f) - 1)["value"]).alias("follower"),
+                    begun["kind"].alias("kind"),
                 ),
             )
 
         return _let(forms, with_forms)
 
-    empty = F.array().cast(f"array<struct<token:string,context:string,found:array<{spot}>,follower:string>>")
+    empty = F.array().cast(f"array<struct<token:string,context:string,found:array<{spot}>,follower:string,kind:string>>")
     cut = F.struct(
         F.regexp_extract_all(text, F.lit(WORD), F.lit(0)).alias("words"),
         F.split(text, WORD, -1).alias("gaps"),
@@ -347,9 +329,41 @@ def _holding(found: DataFrame, values: DataFrame) -> DataFrame:
     return _with(found, _words(found).join(firsts, "first", "left_semi"), "texts-with-values")
 
 
+def _contexts(found: DataFrame) -> DataFrame:
+    """``key`` and the two words ``a`` and ``b`` before each token that has two before it."""
+    words = F.split(F.btrim("text", F.lit(BLANK_CHARACTERS)), BLANKS)
+    held = found.select("key", F.explode(F.array(words)).alias("w"))
+    count = F.greatest(F.size("w") - 2, F.lit(0))
+    pairs = F.arrays_zip(F.slice("w", F.lit(1), count), F.slice("w", F.lit(2), count))
+    return held.select("key", F.inline(pairs.cast("array<struct<a:string,b:string>>")))
+
+
+def _context() -> Column:
+    return F.lower(F.concat_ws(" ", "a", "b")).alias("context")
+
+
+def _everywhere(found: DataFrame, words: DataFrame, values: DataFrame) -> DataFrame:
+    """How often each ``value`` stands anywhere, as a token or as a number in several groups."""
+    single = words.join(values, "value", "left_semi")
+    several = values.filter(F.contains(F.col("value"), F.lit(" ")))
+    grouped = (
+        _places(_holding(found.filter(F.col("text").rlike(GROUPS)), several))
+        .select(F.explode("found.value").alias("value"))
+        .join(several, "value", "left_semi")
+        .groupBy("value")
+        .agg(F.count("*").alias("everywhere"))
+    )
+    return single.unionByName(grouped)
+
+
+def _met(places_: DataFrame) -> DataFrame:
+    """``n`` for each context and what follows it."""
+    followed = places_.filter("context is not null and follower is not null")
+    return followed.groupBy("context", F.col("follower").alias("value")).agg(F.count("*").alias("n"))
+
+
 def learn(
     found: DataFrame,
-    rounds: int = ROUNDS,
     confident: float = CONFIDENT,
     support: int = SUPPORT,
     share: float = LEAST_SHARE,
@@ -359,122 +373,114 @@ def learn(
     Texts that repeat count once. A pattern is scored only with ``support`` distinct
     seeds of a kind; what else follows its words, identifier or not, counts against it.
     Occurrences of a value anywhere but in confident patterns of the kind count against
-    the value.
+    the value. Scores only rise from round to round, so there is a last one.
     """
-    seeds = found.select(F.explode("base").alias("s")).select(
-        "s.kind", "s.context", F.col("s.value").alias("value")
+    seeds = settled(
+        found.select(F.explode("base").alias("s")).select("s.value", "s.kind").distinct(), "seeds"
     )
-    patterns = (
-        seeds.filter("context is not null")
-        .distinct()
-        .groupBy("context", "kind")
-        .agg(F.count("*").alias("seeds"))
-        .filter(F.col("seeds") >= support)
+    met = settled(
+        _places(found.filter("size(base) > 0"))
+        .filter("context is not null and kind is not null")
+        .groupBy("context", "kind", F.col("follower").alias("value"))
+        .agg(F.count("*").alias("n")),
+        "seeds-met",
+    )
+    patterns = settled(
+        met.groupBy("context", "kind").agg(F.count("*").alias("seeds")).filter(F.col("seeds") >= support),
+        "patterns",
     )
-    patterns = settled(patterns, "patterns")
     if patterns.isEmpty():
         return patterns.select(F.col("context").alias("value"), "kind")
     supported = patterns.select("context").distinct()
-    words = F.filter(F.split("text", BLANKS), lambda w: w != "")
-    pairs = found.select("key", F.explode(F.array(words)).alias("w")).select(
-        "key",
-        F.explode(
-            F.when(
-                F.size("w") > 2,
-                F.transform(
-                    F.sequence(F.lit(2), F.size("w") - 1),
-                    lambda i: F.struct(
-                        F.lower(F.concat_ws(" ", F.get(F.col("w"), i - 2), F.get(F.col("w"), i - 1))).alias("context"),
-                        F.get(F.col("w"), i).alias("token"),
-                    ),
-                ),
-            )
-        ).alias("p"),
-    )
-    met = settled(pairs.select("key", "p.*").join(supported, "context"), "pattern-followers")
-    # Where a fixed form or a number may stand, its place decides what follows.
-    placed = _places(_with(found, met.filter(F.col("token").rlike(IN_FORM)), "texts-with-patterns"))
-    followers = (
-        met.filter(~F.col("token").rlike(IN_FORM))
-        .select("context", F.nullif(_bare("token"), F.lit("")).alias("value"))
-        .unionByName(
-            placed.filter(F.col("token").rlike(IN_FORM))
-            .select("context", F.col("follower").alias("value"))
-            .join(supported, "context")
-        )
-        .groupBy("context", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    followers = settled(followers, "pattern-instances")
-    occurrences = followers.groupBy("context").agg(F.sum("n").alias("all"))
-    instances = followers.filter("value is not null")
-    # Seeds need no share.
-    unseen = settled(
-        instances.select("value").distinct().join(seeds.select("value").distinct(), "value", "left_anti"),
-        "unseen",
-    )
-    # Counted before they are joined, so that words go out once per task.
-    single = (
-        _words(found)
-        .groupBy(F.col("first").alias("value"))
-        .agg(F.count("*").alias("everywhere"))
-        .join(unseen, "value", "left_semi")
-    )
-    several = unseen.filter(F.contains(F.col("value"), F.lit(" ")))
-    grouped = (
-        _places(_holding(found.filter(F.col("text").rlike(GROUPS)), several))
-        .select(F.explode("found.value").alias("value"))
-        .join(several, "value", "left_semi")
-        .groupBy("value")
-        .agg(F.count("*").alias("everywhere"))
-    )
-    everywhere = single.unionByName(grouped)
-    edges = settled(
-        instances.join(occurrences, "context").join(everywhere, "value", "left"), "edges"
-    )
-    scores = settled(
-        seeds.select("value", "kind", F.lit(1.0).alias("score")).distinct(), "instance-scores"
-    )
-    for _ in range(rounds):
-        pattern_scores = (
+    # Word pairs are counted before they are joined, so a common one goes out once per task.
+    pairs = _contexts(found).groupBy("a", "b").agg(F.count("*").alias("n"))
+    counted = pairs.select(_context(), "n").join(supported, "context", "left_semi")
+    occurrences = settled(counted.groupBy("context").agg(F.sum("n").alias("all")), "pattern-occurrences")
+    known = seeds.select("value").distinct()
+    scores = seeds.withColumn("score", F.lit(1.0))
+    # What scored instances follow, what follows confident patterns, and how often that is anywhere.
+    edges = met.groupBy("context", "value").agg(F.sum("n").alias("n")).join(supported, "context", "left_semi")
+    followers = everywhere = expanded = words = None
+    while True:
+        vouching = settled(
             edges.join(scores, "value")
             .groupBy("context", "kind")
-            .agg((F.sum(F.col("score") * F.col("n")) / F.max("all")).alias("pattern_score"))
+            .agg(F.sum(F.col("score") * F.col("n")).alias("scored"))
             .join(patterns.select("context", "kind"), ["context", "kind"])
-            .filter(F.col("pattern_score") >= confident)
+            .join(occurrences, "context")
+            .select("context", "kind", (F.col("scored") / F.col("all")).alias("pattern_score"))
+            .filter(F.col("pattern_score") >= confident),
+            "confident-patterns",
         )
+        fresh = vouching.select("context").distinct()
+        if expanded is not None:
+            fresh = fresh.join(expanded, "context", "left_anti")
+        fresh = settled(fresh, "new-patterns")
+        more_patterns = not fresh.isEmpty()
+        if more_patterns:
+            expanded = fresh if expanded is None else expanded.unionByName(fresh)
+            at = _contexts(found).select("key", _context()).join(fresh, "context", "left_semi")
+            new = settled(
+                _met(_places(_with(found, at, "texts-with-patterns")).join(fresh, "context", "left_semi")).join(
+                    known, "value", "left_anti"
+                ),
+                "followers",
+            )
+            followers = new if followers is None else followers.unionByName(new)
+            values = new.select("value").distinct()
+            if everywhere is not None:
+                values = values.join(everywhere, "value", "left_anti")
+            if words is None:
+                counts = _words(found).groupBy(F.col("first").alias("value"))
+                words = settled(counts.agg(F.count("*").alias("everywhere")), "words")
+            counted = settled(_everywhere(found, words, settled(values, "unseen")), "everywhere")
+            everywhere = counted if everywhere is None else everywhere.unionByName(counted)
+        if followers is None:
+            break
         vouched = (
-            edges.join(pattern_scores, "context")
+            followers.join(vouching, "context")
             .groupBy("value", "kind")
             .agg(
                 (1 - F.exp(F.sum(F.log(F.greatest(1 - F.col("pattern_score"), F.lit(1e-9)))))).alias(
                     "score"
                 ),
-                (F.sum("n") / F.max("everywhere")).alias("share"),
+                F.sum("n").alias("n"),
             )
-            .filter(F.col("share") >= share)
-            .drop("share")
+            .join(everywhere, "value")
+            .filter(F.col("n") / F.col("everywhere") >= share)
+            .select("value", "kind", "score")
         )
+        vouched = settled(vouched, "vouched")
+        instances = settled(vouched.join(scores, ["value", "kind"], "left_anti"), "new-instances")
+        if instances.isEmpty() and not more_patterns:
+            break
+        # A value that had a score already is met where it was.
+        values = settled(instances.select("value").distinct().join(scores, "value", "left_anti"), "new-values")
+        if not values.isEmpty():
+            here = _met(_places(_holding(found, values))).join(values, "value", "left_semi")
+            edges = settled(edges.unionByName(here.join(supported, "context", "left_semi")), "edges")
         scores = settled(
             scores.unionByName(vouched).groupBy("value", "kind").agg(F.max("score").alias("score")),
             "instance-scores",
         )
     best = scores.groupBy("value").agg(F.max_by("kind", F.struct("score", "kind")).alias("kind"))
-    return best.join(seeds.select("value").distinct(), "value", "left_anti")
+    return best.join(known, "value", "left_anti")
 
 
 def spans(docs: DataFrame, **options) -> DataFrame:
     """``key``, ``base`` and ``learnt`` spans of each distinct text that has any."""
     found = found_in(docs)
     known = settled(learn(found, **options), "learnt")
+    if known.isEmpty():
+        return found.select("key", "base", _none().alias("learnt")).filter("size(base) > 0")
     # Of values that begin at one place, the longest.
     learnt = (
         _places(_holding(found, known))
-        .select("key", "context", F.explode("found").alias("c"))
-        .select("key", "context", "c.*")
+        .select("key", F.explode("found").alias("c"))
+        .select("key", "c.*")
         .join(known, "value")
         .groupBy("key", "start")
-        .agg(F.max_by(F.struct("kind", "start", "end", "value", "context"), "end").alias("s"))
+        .agg(F.max_by(F.struct("kind", "start", "end", "value"), "end").alias("s"))
         .groupBy("key")
         .agg(F.array_sort(F.collect_list("s")).alias("learnt"))
     )
