@@ -16,6 +16,8 @@ _CORRUPT = "_corrupt_record"
 
 # What JSON allows around a value.
 BLANKS = " \t\r\n"
+# Why a record may be none, in the order they are tried.
+REASONS = ("empty", "bad_encoding", "bad_json", "bad_value", "bad_timestamp")
 # The largest finite number.
 MOST = sys.float_info.max
 

@@ -20,7 +20,7 @@ from ..operators import delivery, encoding, lag, parsing, running, snapshot, win
 from ..session import pin_zone, working_folder
 from ..sources import events as source
 from ..sources import tables
-from ..streaming import landing, queries, updates
+from ..streaming import commits, landing, queries, updates
 from ..streaming import running as running_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -323,6 +323,23 @@ def land_bad_records(spark: SparkSession, folder: str) -> DataFrame:
     return bad.withColumn("payload", F.hex("payload")).drop("stream", "batch_id")
 
 
+@registered
+def land_readings_compacted(spark: SparkSession, folder: str) -> DataFrame:
+    """The landed readings after their batches were packed and the folders packed deleted."""
+    root = _landed(spark, folder)
+    commits.compact(spark, root, least=1)
+    commits.vacuum(spark, root, keep_s=0)
+    return _zoneless(tables.landed_readings(spark, root).drop("stream", "batch_id"))
+
+
+@registered
+def landing_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What each batch held, as its commit says."""
+    counts = commits.batch_counts(spark, _landed(spark, folder))
+    bad = [F.coalesce(F.col("bad")[reason], F.lit(0)).alias(reason) for reason in parsing.REASONS]
+    return _zoneless(counts.select("batch_id", "messages", "good", *bad, "oldest", "newest"))
+
+
 @registered
 def fleet_snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot.totals(landing.fleet(spark, _landed(spark, folder)))

@@ -21,6 +21,8 @@ READINGS = """
     from events
 """
 
+_REASONS = ("empty", "bad_encoding", "bad_json", "bad_value", "bad_timestamp")
+
 R = f"with r as ({READINGS})"
 
 UPPER = """((sensor_type = 'temperature' and value > 30)
@@ -323,6 +325,20 @@ ORACLE = {
                     else hex(encode(payload)) end as payload,
                reason, topic, partition, event_id as "offset"
         from sent where reason is not null""",
+    "land_readings_compacted": f"""{SENT}
+        select * exclude (kind, metric_value), cast(timestamp as date) as event_date from good""",
+    "landing_counts": f"""{SENT}, known as (
+            select greatest(4, ceil(count(*) / 1000000)::bigint) as n,
+                   epoch_us(min(timestamp)) as low, epoch_us(max(timestamp)) as high from sent),
+        dealt as (
+            select sent.*, case when reason is null then
+                       case when kind = 9 then date_trunc('second', timestamp) else timestamp end end as fine,
+                   coalesce(least((epoch_us(timestamp) - low) * n // (high - low), n - 1), 0) as batch_id
+            from sent, known)
+        select batch_id, count(*) as messages, count_if(reason is null)::bigint as good,
+               {", ".join(f"count_if(reason = '{reason}')::bigint as {reason}" for reason in _REASONS)},
+               min(fine) as oldest, max(fine) as newest
+        from dealt group by batch_id""",
     "fleet_snapshot_stream": SENT + ", " + SNAPSHOT.format(table="good"),
     "recent_alerts_stream": f"""{SENT}
         select sensor_id, 'HIGH_' || upper(sensor_type) as type, location,

@@ -76,6 +76,20 @@ BAD_RECORD_SCHEMA = T.StructType(
     ]
 )
 
+# What a batch held, written when all of it is there.
+COMMIT_SCHEMA = T.StructType(
+    [
+        T.StructField("messages", T.LongType()),
+        T.StructField("good", T.LongType()),
+        T.StructField("bad", T.MapType(T.StringType(), T.LongType())),
+        T.StructField("oldest", T.TimestampType()),
+        T.StructField("newest", T.TimestampType()),
+        T.StructField("committed_at", T.TimestampType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 # Figures of the readings of one sensor and type, which add up.
 PARTIAL_SCHEMA = T.StructType(
     [

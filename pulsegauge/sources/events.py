@@ -6,12 +6,15 @@ types, users for sensors. Every row of the table takes part.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.wire import record_key, record_text
 from ..session import working_folder
+from . import files
 from .kafka import TOPIC
 from .tables import stream_parquet
 
@@ -50,24 +53,48 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
-def events_stream(spark: SparkSession, folder: str) -> DataFrame:
-    """The table as a stream of several batches in the order of time.
+def batches_of(rows: DataFrame) -> Column:
+    """The batch a row is of: stretches of time of one length, rows without a time in the first.
+
+    There are more the longer the table is.
+    """
+    micros = F.unix_micros(F.col("ts").cast("timestamp"))
+    known = rows.agg(F.count("*").alias("n"), F.min(micros).alias("low"), F.max(micros).alias("high")).first()
+    count = max(BATCHES, -(-known["n"] // ROWS_PER_BATCH))
+    if known["low"] is None or known["low"] == known["high"]:
+        return F.lit(0)
+    part = F.floor((micros - known["low"]) * count / (known["high"] - known["low"]))
+    return F.least(F.coalesce(part, F.lit(0)), F.lit(count - 1)).cast("int")
+
+
+@functools.cache
+def _prepared(application: str, folder: str) -> str:
+    """A folder with the events in a file for each batch, written once for a session.
 
-    The time can carry a watermark, and nothing is late. Each batch is a file of a
-    stretch of time, of which there are more the longer the table is.
+    The events are dealt out in one job. Streams take files in the order of their times,
+    which are set afterwards.
     """
+    spark = SparkSession.active()
     rows = events(spark, folder)
-    known = rows.agg(F.count("*").alias("n"), F.min("ts").alias("low"), F.max("ts").alias("high")).first()
     target = working_folder(spark, "batches")
-    count = max(BATCHES, -(-known["n"] // ROWS_PER_BATCH))
-    low, high = known["low"], known["high"]
-    cuts = [low + (high - low) * k / count for k in range(1, count)] if known["n"] else []
-    for k in range(count if known["n"] else 1):
-        later = F.col("ts") >= F.lit(cuts[k - 1]).cast("timestamp_ntz") if k else F.lit(True)
-        sooner = F.col("ts") < F.lit(cuts[k]).cast("timestamp_ntz") if k < len(cuts) else F.lit(True)
-        rows.filter(later & sooner).coalesce(1).write.parquet(f"{target}/part={k:04d}")
+    rows.withColumn("part", batches_of(rows)).repartition("part").write.partitionBy("part").parquet(target)
+    # By number, as there may be more than have the same count of digits.
+    written = files.matching(spark, f"{target}/part=*/part-*")
+    written.sort(key=lambda entry: int(entry.path.rsplit("part=", 1)[1].split("/")[0]))
+    for place, entry in enumerate(written):
+        files.set_modified(spark, entry.path, 1_600_000_000_000 + 1000 * place)
+    return target
+
+
+def events_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The table as a stream of several batches in the order of time.
+
+    The time can carry a watermark, and nothing is late. Rows without a time are in the
+    first batch.
+    """
+    target = _prepared(spark.sparkContext.applicationId, folder)
     return stream_parquet(
-        spark, f"{target}/*", EVENTS_SCHEMA, glob="part-*.parquet", max_files=1
+        spark, f"{target}/part=*", EVENTS_SCHEMA, glob="part-*.parquet", max_files=1
     ).withColumn("ts", F.col("ts").cast("timestamp"))
 
 

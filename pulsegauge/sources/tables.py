@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..schema import BAD_RECORD_SCHEMA, LANDED_SCHEMA
+from ..streaming.commits import Snapshot, read, snapshot
+
 
 
 def stream_parquet(
@@ -33,25 +34,26 @@ def stored(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def landed_readings(spark: SparkSession, root: str) -> DataFrame:
+def landed_readings(spark: SparkSession, root: str, at: Snapshot | None = None) -> DataFrame:
     """All readings landed under ``root``. Filter on event_date to read fewer."""
-    return spark.read.schema(LANDED_SCHEMA).parquet(f"{root}/readings")
+    return read(spark, root, "readings", at)
 
 
-def landed_alerts(spark: SparkSession, root: str) -> DataFrame:
+def landed_alerts(spark: SparkSession, root: str, at: Snapshot | None = None) -> DataFrame:
     """All alerts landed under ``root``."""
-    return spark.read.schema(LANDED_SCHEMA).parquet(f"{root}/alerts")
+    return read(spark, root, "alerts", at)
 
 
-def landed_bad_records(spark: SparkSession, root: str) -> DataFrame:
+def landed_bad_records(spark: SparkSession, root: str, at: Snapshot | None = None) -> DataFrame:
     """All records set aside under ``root``."""
-    return spark.read.schema(BAD_RECORD_SCHEMA).parquet(f"{root}/bad_records")
+    return read(spark, root, "bad_records", at)
 
 
 def register_views(spark: SparkSession, root: str) -> None:
     """Name the landed tables ``live_sensors`` and ``live_alerts`` for SQL.
 
-    A view lists the files there are when it is made; call again to see later ones.
+    Both show what is committed when they are made; call again to see more.
     """
-    landed_readings(spark, root).createOrReplaceTempView("live_sensors")
-    landed_alerts(spark, root).createOrReplaceTempView("live_alerts")
+    at = snapshot(spark, root)
+    landed_readings(spark, root, at).createOrReplaceTempView("live_sensors")
+    landed_alerts(spark, root, at).createOrReplaceTempView("live_alerts")

@@ -9,7 +9,9 @@ over what is there.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import functools
+import operator
+from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
@@ -86,8 +88,10 @@ def read_turn(
     return spark.read.schema(schema).parquet(f"{table}/stream={stream}/turn={batch_id % TURNS}")
 
 
-def latest_turns(spark: SparkSession, table: str, schema: T.StructType) -> DataFrame:
-    """What each stream kept last."""
+def latest_turns(
+    spark: SparkSession, table: str, schema: T.StructType, upto: Mapping[str, int] | None = None
+) -> DataFrame:
+    """What each stream kept last, or with its batch ``upto`` at the latest."""
     marked = T.StructType(
         [
             *schema.fields,
@@ -96,6 +100,9 @@ def latest_turns(spark: SparkSession, table: str, schema: T.StructType) -> DataF
         ]
     )
     kept = spark.read.schema(marked).option("ignoreMissingFiles", "true").parquet(table)
+    if upto is not None:
+        within = [(F.col("stream") == s) & (F.col(AS_OF) <= n) for s, n in upto.items()]
+        kept = kept.filter(functools.reduce(operator.or_, within, F.lit(False)))
     latest = kept.groupBy("stream").agg(F.max(AS_OF).alias("_latest"))
     joined = kept.join(latest, "stream").filter(F.col(AS_OF) == F.col("_latest"))
     return joined.select(schema.fieldNames())

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
@@ -16,7 +16,7 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..functions.rules import UPPER, Rule
 from ..operators import snapshot
 from ..operators.alerts import alerts, newest
-from ..operators.parsing import bad_records, decode, readings
+from ..operators.parsing import REASONS, bad_records, decode, readings
 from ..operators.snapshot import (
     alerts_document,
     metrics_document,
@@ -24,6 +24,7 @@ from ..operators.snapshot import (
     write_document,
 )
 from ..schema import LANDED_SCHEMA, PARTIAL_SCHEMA
+from . import commits
 from .batches import latest_turns, read_turn, stream_id, together, write_batch, write_turn
 
 # Alerts listed on the dashboard.
@@ -46,6 +47,8 @@ def land(
     leaves its own partials in ``fleet``, which ``fleet`` adds up, and the newest alerts
     so far. What a batch writes depends on what it holds; only every ``FOLD_EVERY``-th
     adds up the partials since the last time. The landed tables are never read again.
+    A batch shows in all tables at once, when its commit is written, with its counts of
+    messages, good readings and bad records by reason; see ``commits``.
 
     With ``documents`` the dashboard's documents are written there after each batch.
     """
@@ -55,7 +58,7 @@ def land(
         stream = stream_id(spark)
         decoded = decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            decoded.count()  # fills the cache once, before several writes read it
+            counts = _counted(decoded)
             good = readings(decoded).drop("metric_value")
             found = alerts(good, rules)
             kept = f"{root}/newest_alerts"
@@ -75,6 +78,7 @@ def land(
             )
         finally:
             decoded.unpersist()
+        commits.commit(spark, root, stream, batch_id, counts)
         if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
             fold_fleet(spark, root, stream, batch_id)
         if documents is not None:
@@ -83,6 +87,30 @@ def land(
     return records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
 
 
+def _counted(decoded: DataFrame) -> dict[str, object]:
+    """What a batch holds, observed in the pass that fills its cache.
+
+    That pass ends in no shuffle, as each of its tasks is then counted once however
+    often it runs.
+    """
+    seen = Observation()
+    good = F.col("reason").isNull()
+    observed = decoded.observe(
+        seen,
+        F.count("*").alias("messages"),
+        F.count_if(good).alias("good"),
+        *(F.count_if(F.col("reason") == reason).alias(reason) for reason in REASONS),
+        *(
+            F.date_format(least(F.when(good, F.col("timestamp"))), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias(name)
+            for name, least in (("oldest", F.min), ("newest", F.max))
+        ),
+    )
+    observed.write.format("noop").mode("overwrite").save()
+    found = seen.get
+    bad = {reason: found[reason] for reason in REASONS if found[reason]}
+    return {name: found[name] for name in ("messages", "good", "oldest", "newest")} | {"bad": bad}
+
+
 def _dated(rows: DataFrame) -> DataFrame:
     return rows.withColumn("event_date", F.to_date("timestamp"))
 
@@ -98,7 +126,7 @@ def _folds(spark: SparkSession, root: str) -> dict[str, int]:
 
 
 def _parts(spark: SparkSession, root: str) -> DataFrame:
-    """Each stream's last fold and the partials of the batches after it, not yet added up."""
+    """Each stream's last fold and the partials of the committed batches after it, not yet added up."""
     schema = T.StructType(
         [
             *PARTIAL_SCHEMA.fields,
@@ -106,8 +134,9 @@ def _parts(spark: SparkSession, root: str) -> DataFrame:
             T.StructField("batch_id", T.LongType()),
         ]
     )
-    parts = spark.read.schema(schema).parquet(f"{root}/fleet")
+    at = commits.snapshot(spark, root)
     folds = _folds(spark, root)
+    parts = spark.read.schema(schema).parquet(f"{root}/fleet").filter(commits.committed(at))
     if folds:
         # On folder names, so that folded batches are not read.
         covered = [(F.col("stream") == s) & (F.col("batch_id") <= n) for s, n in folds.items()]
@@ -136,7 +165,8 @@ def fleet(spark: SparkSession, root: str) -> DataFrame:
 
 def newest_alerts(spark: SparkSession, root: str) -> DataFrame:
     """The newest alerts landed so far, newest first."""
-    return newest(latest_turns(spark, f"{root}/newest_alerts", LISTED_SCHEMA), LISTED)
+    upto = commits.snapshot(spark, root).upto
+    return newest(latest_turns(spark, f"{root}/newest_alerts", LISTED_SCHEMA, upto), LISTED)
 
 
 def publish(parts: DataFrame, listed: DataFrame, documents: str, as_of: int = 0) -> None:
