@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import functools
 import operator
+import time
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -24,6 +25,7 @@ from ..operators.snapshot import (
     write_document,
 )
 from ..schema import LANDED_SCHEMA, PARTIAL_SCHEMA
+from ..sources import files
 from . import commits
 from .batches import latest_turns, read_turn, stream_id, together, write_batch, write_turn
 
@@ -158,6 +160,35 @@ def fold_fleet(spark: SparkSession, root: str, stream: str, batch_id: int) -> No
     listed.write.mode("overwrite").parquet(f"{root}/fleet_folded/stream={stream}/batch_id={batch_id}")
 
 
+def tidy(spark: SparkSession, root: str, keep_s: float = commits.KEEP_S) -> dict[str, int]:
+    """Pack and delete what has piled up under ``root``; streams may go on meanwhile.
+
+    Besides ``commits.compact`` and ``commits.vacuum``, partials of the fleet that a fold
+    has stood in for since ``keep_s`` go, and all of a stream's folds but the last.
+    """
+    written = commits.compact(spark, root)
+    gone = commits.vacuum(spark, root, keep_s)
+    now = time.time() * 1000
+    folds: dict[str, list[tuple[int, str]]] = {}
+    for entry in files.matching(spark, f"{root}/fleet_folded/stream=*/batch_id=*"):
+        if now - entry.modified_ms >= keep_s * 1000:
+            stream, batch = entry.path.rsplit("/", 2)[1:]
+            folds.setdefault(stream, []).append((int(batch.removeprefix("batch_id=")), entry.path))
+    for stream, found in folds.items():
+        last = max(found)[0]
+        earlier = [path for batch, path in found if batch < last]
+        covered = [(f"fleet/{stream}", last)] + [(f"fleet_folds/{stream}", last - 1)]
+        for folder, upto in covered:
+            for entry in files.matching(spark, f"{root}/{folder}/batch_id=*"):
+                if int(entry.path.rsplit("batch_id=", 1)[1]) <= upto:
+                    earlier.append(entry.path)
+        # Lists of folds first, so that none names what is gone.
+        for path in earlier:
+            files.delete(spark, path)
+        gone += len(earlier)
+    return {**written, "deleted": gone}
+
+
 def fleet(spark: SparkSession, root: str) -> DataFrame:
     """The partials of all readings landed so far, of all streams."""
     return snapshot.merge_partials(_parts(spark, root))

@@ -193,6 +193,24 @@ def test_of_many_streams_each_has_its_own_packs(spark, tmp_path):
     assert sorted(one.offsets("readings")) == [i for i in range(60) if i % 10 != 9]
 
 
+def test_folded_partials_are_deleted(spark, landed, monkeypatch):
+    monkeypatch.setattr(landing, "FOLD_EVERY", 2)
+    for _ in range(5):
+        landed.add()
+    landed.land()
+    assert landing.tidy(spark, landed.root, keep_s=3600)["deleted"] == 0
+    assert landing.tidy(spark, landed.root, keep_s=0)["deleted"] == 4 + 2
+    landed.whole()
+    # The last batch runs again, and two more come.
+    replay(landed.checkpoint, 4)
+    for _ in range(2):
+        landed.add()
+    landed.land()
+    landed.whole()
+    landing.tidy(spark, landed.root, keep_s=0)
+    landed.whole()
+
+
 def test_nothing_landed_yet(spark, tmp_path):
     assert commits.read(spark, str(tmp_path), "readings").count() == 0
     assert commits.compact(spark, str(tmp_path)) == {} and commits.vacuum(spark, str(tmp_path)) == 0
