@@ -43,6 +43,13 @@ def event_window(time: Column | str, width_s: int, slide_s: int | None = None) -
     return F.window(time, f"{width_s} seconds", f"{slide_s} seconds")
 
 
+def interval_micros(text: str) -> int:
+    """Microseconds of an interval such as ``2 minutes``."""
+    number, unit = text.split()
+    seconds = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400}
+    return round(float(number) * seconds[unit.removesuffix("s")] * 1_000_000)
+
+
 def elapsed_seconds(start: Column, end: Column) -> Column:
     """Seconds from start to end, with the fraction."""
     return (

@@ -85,6 +85,11 @@ def recent_values(
 def _over_recent(readings, key, order_by, history, min_rows, slices, measures) -> DataFrame:
     order_by = ["timestamp", *sequence_of(readings)] if order_by is None else list(order_by)
     rows = readings.filter(F.col("value").isNotNull()).select(key, *order_by, "value")
+    if slices is not None and slices <= 1:
+        # Nothing to cut, so nothing is counted or sampled first.
+        frame = Window.partitionBy(key).orderBy(*order_by).rowsBetween(-history, 0)
+        seen = rows.select("*", F.count("*").over(frame).alias("_seen"), *measures(frame))
+        return seen.filter(F.col("_seen") >= min_rows).drop("_seen")
     window = Window.partitionBy(key, "slice").orderBy(*order_by)
     frame = window.rowsBetween(-history, 0)
     return (

@@ -356,4 +356,5 @@ ORACLE = {
     "alerts_range_stream": RANGE_ALERTS,
     "alerts_temperature_stream": HOT,
     "running_stats_stream": RUNNING,
+    "running_stats_stream_reordered": RUNNING,
 }

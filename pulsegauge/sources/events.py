@@ -53,22 +53,26 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
-def batches_of(rows: DataFrame) -> Column:
+def batches_of(rows: DataFrame, disorder_s: int = 0) -> Column:
     """The batch a row is of: stretches of time of one length, rows without a time in the first.
 
-    There are more the longer the table is.
+    There are more the longer the table is. With ``disorder_s`` a row comes up to so many
+    seconds after its time, as its id has it.
     """
     micros = F.unix_micros(F.col("ts").cast("timestamp"))
     known = rows.agg(F.count("*").alias("n"), F.min(micros).alias("low"), F.max(micros).alias("high")).first()
     count = max(BATCHES, -(-known["n"] // ROWS_PER_BATCH))
     if known["low"] is None or known["low"] == known["high"]:
         return F.lit(0)
-    part = F.floor((micros - known["low"]) * count / (known["high"] - known["low"]))
+    arrives = micros
+    if disorder_s:
+        arrives = micros + F.pmod(F.xxhash64("event_id"), F.lit(disorder_s * 1_000_000))
+    part = F.floor((arrives - known["low"]) * count / (known["high"] - known["low"]))
     return F.least(F.coalesce(part, F.lit(0)), F.lit(count - 1)).cast("int")
 
 
 @functools.cache
-def _prepared(application: str, folder: str) -> str:
+def _prepared(application: str, folder: str, disorder_s: int) -> str:
     """A folder with the events in a file for each batch, written once for a session.
 
     The events are dealt out in one job. Streams take files in the order of their times,
@@ -77,7 +81,7 @@ def _prepared(application: str, folder: str) -> str:
     spark = SparkSession.active()
     rows = events(spark, folder)
     target = working_folder(spark, "batches")
-    rows.withColumn("part", batches_of(rows)).repartition("part").write.partitionBy("part").parquet(target)
+    rows.withColumn("part", batches_of(rows, disorder_s)).repartition("part").write.partitionBy("part").parquet(target)
     # By number, as there may be more than have the same count of digits.
     written = files.matching(spark, f"{target}/part=*/part-*")
     written.sort(key=lambda entry: int(entry.path.rsplit("part=", 1)[1].split("/")[0]))
@@ -86,13 +90,13 @@ def _prepared(application: str, folder: str) -> str:
     return target
 
 
-def events_stream(spark: SparkSession, folder: str) -> DataFrame:
+def events_stream(spark: SparkSession, folder: str, disorder_s: int = 0) -> DataFrame:
     """The table as a stream of several batches in the order of time.
 
-    The time can carry a watermark, and nothing is late. Rows without a time are in the
-    first batch.
+    The time can carry a watermark, and nothing is later than ``disorder_s``. Rows
+    without a time are in the first batch.
     """
-    target = _prepared(spark.sparkContext.applicationId, folder)
+    target = _prepared(spark.sparkContext.applicationId, folder, disorder_s)
     return stream_parquet(
         spark, f"{target}/part=*", EVENTS_SCHEMA, glob="part-*.parquet", max_files=1
     ).withColumn("ts", F.col("ts").cast("timestamp"))

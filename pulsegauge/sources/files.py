@@ -47,6 +47,15 @@ def create(spark: SparkSession, path: str, text: str = "") -> None:
             raise OSError(f"cannot write {path}")
 
 
+def text(spark: SparkSession, path: str) -> str:
+    """A small file's text."""
+    stream = _system(spark, path).open(_path(spark, path))
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     _system(spark, path).delete(_path(spark, path), True)
 

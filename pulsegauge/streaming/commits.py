@@ -89,6 +89,11 @@ def commit(spark: SparkSession, root: str, stream: str, batch_id: int, counts: M
     files.create(spark, f"{root}/{COMMITS}/stream={stream}/batch_id={batch_id}/commit.json", row)
 
 
+def committed_counts(spark: SparkSession, root: str, stream: str, batch_id: int) -> dict[str, object]:
+    """What a batch's commit says. A batch that is worked off finds the one before it."""
+    return json.loads(files.text(spark, f"{root}/{COMMITS}/stream={stream}/batch_id={batch_id}/commit.json"))
+
+
 def _cover(packs: Sequence[Pack]) -> tuple[Pack, ...]:
     """Packs that follow each other without a gap; of those with one first batch the widest."""
     cover: list[Pack] = []
@@ -142,16 +147,20 @@ def read(spark: SparkSession, root: str, name: str, at: Snapshot | None = None)
     folder = f"{root}/{name}"
     packed = {s: at.packed(name, s) for s in at.upto}
     runs = [_folder(root, name, pack.run) for s in at.upto for pack in at.packs.get((name, s), ())]
-    reader = spark.read.schema(table.schema)
-    rows = spark.createDataFrame([], table.schema)
-    if files.exists(spark, folder):
-        rows = reader.format(table.format).load(folder).filter(committed(at, packed))
+    rows = folders(spark, folder, table.schema, table.format).filter(committed(at, packed))
     # A run's own columns say which stream and batch a row is of.
     for group in range(0, len(runs), 256):
         rows = rows.unionByName(_packed(spark, table, runs[group : group + 256]))
     return rows
 
 
+def folders(spark: SparkSession, folder: str, schema: T.StructType, format: str = "parquet") -> DataFrame:
+    """All there is in the folders of a table, committed or not; nothing if there are none."""
+    if not files.exists(spark, folder):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(format).load(folder)
+
+
 def _folder(root: str, name: str, run: str) -> str:
     return f"{root}/packed/{name}/run={run}"
 
@@ -212,7 +221,7 @@ def compact(
             first = at.packed(table.name, stream) + 1
             # All but the last committed batch, which may still run again.
             if last - first >= max(1, least):
-                rows = spark.read.schema(table.schema).format(table.format).load(f"{root}/{table.name}")
+                rows = folders(spark, f"{root}/{table.name}", table.schema, table.format)
                 between = F.col("batch_id").between(first, last - 1)
                 rows = rows.filter((F.col("stream") == stream) & between)
                 packs.append(_write(spark, root, table, rows, stream, first, last - 1))
