@@ -11,10 +11,13 @@ cuts each type's order into slices of about equal size, hands each slice the few
 readings before it, and runs the same window per type and slice. The result does
 not depend on where the cuts are.
 
-The readings are scanned three times: counted by type and day, sampled for the cut
-points, and worked off. The cut points are a table of their own in the working
-folder, a row for each type and day, and readings are joined to the row of theirs;
-their number grows with the readings, and no more than a day's are in one row.
+The readings are scanned three times: counted by type and hour, sampled for the cut
+points, and worked off. Hours in a row are brought together until they hold a few
+slices, and samples are put in order within such a stretch, so no task sees all of a
+type's. A sampled reading is a real one, which makes what a slice borrows exact; a
+quantile sketch would only tell about where it is. The cut points are a table of their
+own in the working folder, a row for each type and hour, and readings are joined to the
+row of theirs; no more than an hour's are in one row or meet under one key.
 """
 
 from __future__ import annotations
@@ -36,6 +39,8 @@ ROWS_PER_SLICE = 2_000_000
 # Sampled readings per slice when looking for the cut points. A slice borrows about
 # HISTORY / SAMPLED_PER_SLICE of its own size.
 SAMPLED_PER_SLICE = 200
+# Slices, about, whose samples are put in order together.
+SLICES_PER_STRETCH = 8
 
 
 def running_stats(
@@ -100,11 +105,11 @@ def _over_recent(readings, key, order_by, history, min_rows, slices, measures) -
     )
 
 
-def _day(rows: DataFrame, order_by: list[str]) -> Column:
-    """The day a row is in the order of, null where the order is not one of times."""
+def _hour(rows: DataFrame, order_by: list[str]) -> Column:
+    """The hour a row is in the order of, null where the order is not one of times."""
     kind = dict(rows.dtypes)[order_by[0]]
-    day = F.to_date(order_by[0]) if kind.startswith(("timestamp", "date")) else F.lit(None)
-    return day.cast("date")
+    timed = kind.startswith(("timestamp", "date"))
+    return F.date_trunc("hour", F.col(order_by[0]).cast("timestamp")) if timed else F.lit(None).cast("timestamp")
 
 
 def _sliced(
@@ -116,16 +121,19 @@ def _sliced(
     if so many lie between two sampled rows; the frame takes what it needs.
     """
     spark = rows.sparkSession
-    rows = rows.withColumn("_day", _day(rows, order_by))
-    days = stored(
-        rows.groupBy(key, "_day").agg(F.count("*").alias("_rows")), working_folder(spark, "days")
-    )
-    total = days.agg(F.sum("_rows")).first()[0] or 0
+    rows = rows.withColumn("_hour", _hour(rows, order_by))
+    counts = rows.groupBy(key, "_hour").agg(F.count("*").alias("_rows"))
+    hours = stored(counts, working_folder(spark, "hours"))
+    total = hours.agg(F.sum("_rows")).first()[0] or 0
     slices = max(1, math.ceil(total / ROWS_PER_SLICE)) if slices is None else slices
     share = min(1.0, SAMPLED_PER_SLICE * slices / max(1, total))
     step = max(history + 1, round(share * total / slices))
+    # Of hours there is one row each; they are numbered by what lies before them.
+    earlier = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    stretch = F.floor(F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) * slices / (SLICES_PER_STRETCH * max(1, total)))
+    hours = stored(hours.withColumn("_stretch", stretch), working_folder(spark, "stretches"))
     points = stored(
-        _by_day(days, _cut_points(rows, key, order_by, history, share, step), key),
+        _by_hour(hours, _cut_points(rows, hours, key, order_by, history, share, step), key),
         working_folder(spark, "cut-points"),
     )
     placed = _placed(rows, points, key, order_by)
@@ -143,51 +151,54 @@ def _sliced(
 
 
 def _cut_points(
-    rows: DataFrame, key: str, order_by: list[str], history: int, share: float, step: int
+    rows: DataFrame, hours: DataFrame, key: str, order_by: list[str], history: int, share: float, step: int
 ) -> DataFrame:
     """Where slices begin, and since where each borrows.
 
-    Of a sample, every ``step``-th row of a key is a cut point, and the slice there
+    Of the samples of a stretch, every ``step``-th row is a cut point, and the slice there
     borrows since the sampled row ``history`` before. So at least that many rows
     are borrowed, and, as ``step`` is larger, from one slice only.
     """
-    sampled = rows.select(key, "_day", *order_by)
+    sampled = rows.select(key, "_hour", *order_by)
     if share < 1.0:
         sampled = sampled.sample(share, seed=0)
-    sampled = sampled.distinct()
-    along = Window.partitionBy(key).orderBy(*order_by)
+    stretches = hours.select(F.col(key).alias("_key"), F.col("_hour").alias("_at"), "_stretch")
+    sampled = sampled.distinct().join(
+        stretches, F.col(key).eqNullSafe(F.col("_key")) & F.col("_hour").eqNullSafe(F.col("_at"))
+    )
+    along = Window.partitionBy(key, "_stretch").orderBy(*order_by)
     point = F.struct(*order_by)
     return sampled.select(
         key,
-        "_day",
+        "_hour",
         point.alias("cut"),
         F.lag(point, history).over(along).alias("since"),
         F.row_number().over(along).alias("place"),
     ).filter(F.col("place") % step == 0)
 
 
-def _by_day(days: DataFrame, points: DataFrame, key: str) -> DataFrame:
-    """For each key and day its cuts in order, how many came before, and since where
+def _by_hour(hours: DataFrame, points: DataFrame, key: str) -> DataFrame:
+    """For each key and hour its cuts in order, how many came before, and since where
     each slice that follows one of its rows borrows."""
-    grouped = points.groupBy(F.col(key).alias("_key"), F.col("_day").alias("_at")).agg(
+    grouped = points.groupBy(F.col(key).alias("_key"), F.col("_hour").alias("_at")).agg(
         F.array_sort(F.collect_list("cut")).alias("_cuts"),
         F.array_sort(F.collect_list("since")).alias("_own"),
     )
-    along = Window.partitionBy(key).orderBy("_day")
+    along = Window.partitionBy(key).orderBy("_hour")
     before = along.rowsBetween(Window.unboundedPreceding, -1)
     after = along.rowsBetween(1, Window.unboundedFollowing)
     cuts = F.coalesce(F.size("_cuts"), F.lit(0))
     following = F.first(F.get("_own", F.lit(0)), ignorenulls=True).over(after)
     return (
-        days.join(
+        hours.join(
             grouped,
-            F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_at")),
+            F.col(key).eqNullSafe(F.col("_key")) & F.col("_hour").eqNullSafe(F.col("_at")),
             "left",
         )
-        .select(key, "_day", "_cuts", "_own", F.when(F.col("_cuts").isNotNull(), cuts).otherwise(0).alias("_n"))
+        .select(key, "_hour", "_cuts", "_own", F.when(F.col("_cuts").isNotNull(), cuts).otherwise(0).alias("_n"))
         .select(
             F.col(key).alias("_key"),
-            F.col("_day").alias("_at"),
+            F.col("_hour").alias("_at"),
             "_cuts",
             F.coalesce(F.sum("_n").over(before), F.lit(0)).cast("int").alias("_base"),
             F.when(F.col("_cuts").isNull(), F.array(following))
@@ -198,7 +209,7 @@ def _by_day(days: DataFrame, points: DataFrame, key: str) -> DataFrame:
 
 
 def _placed(rows: DataFrame, points: DataFrame, key: str, order_by: list[str]) -> DataFrame:
-    """Each row with its day's points and ``_local``, the number of cuts of that day not after it.
+    """Each row with its hour's points and ``_local``, the number of cuts of that hour not after it.
 
     A binary search, one step per column: ``_local`` moves on by a power of two
     whenever the cut reached that way is not after the row.
@@ -209,7 +220,7 @@ def _placed(rows: DataFrame, points: DataFrame, key: str, order_by: list[str]) -
     # decides how the table of points is joined.
     placed = rows.join(
         points,
-        F.col(key).eqNullSafe(F.col("_key")) & F.col("_day").eqNullSafe(F.col("_at")),
+        F.col(key).eqNullSafe(F.col("_key")) & F.col("_hour").eqNullSafe(F.col("_at")),
         "left",
     ).withColumn("_local", F.lit(0))
     for power in reversed(range(max(0, longest).bit_length())):

@@ -335,7 +335,7 @@ def land_readings_compacted(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @registered
-def landing_counts(spark: SparkSession, folder: str) -> DataFrame:
+def land_counts(spark: SparkSession, folder: str) -> DataFrame:
     """What each batch held, as its commit says."""
     counts = commits.batch_counts(spark, _landed(spark, folder))
     bad = [F.coalesce(F.col("bad")[reason], F.lit(0)).alias(reason) for reason in parsing.REASONS]

@@ -327,7 +327,7 @@ ORACLE = {
         from sent where reason is not null""",
     "land_readings_compacted": f"""{SENT}
         select * exclude (kind, metric_value), cast(timestamp as date) as event_date from good""",
-    "landing_counts": f"""{SENT}, known as (
+    "land_counts": f"""{SENT}, known as (
             select greatest(4, ceil(count(*) / 1000000)::bigint) as n,
                    epoch_us(min(timestamp)) as low, epoch_us(max(timestamp)) as high from sent),
         dealt as (

@@ -113,6 +113,24 @@ def test_slices_are_even_whatever_the_types(spark, monkeypatch):
     assert 12 <= len(own) <= 20
 
 
+def test_many_hours_of_few_readings_each(spark, monkeypatch):
+    """Samples are put in order by stretches of hours, which makes no odds to the result."""
+    monkeypatch.setattr(running, "SAMPLED_PER_SLICE", 40)
+    monkeypatch.setattr(running, "SLICES_PER_STRETCH", 3)
+    seen = []
+    points = running._cut_points
+    monkeypatch.setattr(running, "_cut_points", lambda *given: seen.append(points(*given)) or seen[-1])
+    rows = [(i, "ab"[i % 5 == 0], START + timedelta(hours=i // 2, seconds=i % 2), float(i % 71)) for i in range(3000)]
+    frame = spark.createDataFrame(rows, SCHEMA)
+    assert collected(running_stats(frame, slices=25)) == by_list(rows)
+    windows = [line for line in str(seen[0]._jdf.queryExecution().optimizedPlan()).splitlines() if " Window [" in line]
+    assert windows and all(line.rsplit("], [", 2)[1].count("#") == 2 for line in windows)
+    sliced = running._sliced(frame, "sensor_type", ["timestamp", "event_id"], 10, 25)
+    own = sliced.filter("not borrowed").groupBy("sensor_type", "slice").count().collect()
+    assert 15 <= len(own) <= 30 and max(r["count"] for r in own) < 3 * 3000 / 25
+    assert sliced.filter("borrowed").count() < 3000
+
+
 def test_equal_readings_stay_whole(spark):
     # A third are copies of one reading: they cannot be told apart, yet each counts.
     rows = sample_rows(600, 9, ["a"]) + [(5000, "a", START + timedelta(seconds=2500), 7.0)] * 300
