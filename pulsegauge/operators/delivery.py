@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.clock import elapsed_seconds, event_window
@@ -65,11 +65,16 @@ def delivery_progress(log: DataFrame, report_s: int = REPORT_S) -> DataFrame:
     """After each interval with attempts: how many so far, and the mean rate.
 
     Attempts count whether they succeeded or not. Time runs from the first start.
+    """
+    return progress(intervals(log, report_s))
 
-    The running total is taken in two steps, over months and then within each, so
-    that no task sees more than one month's intervals or one row for each month.
+
+def intervals(log: DataFrame, report_s: int = REPORT_S) -> DataFrame:
+    """The attempts of each interval, and the first of their starts.
+
+    A stream needs a watermark on ``start_ts`` for its intervals to close.
     """
-    intervals = (
+    return (
         log.groupBy(event_window("start_ts", report_s).alias("interval"))
         .agg(F.count("*").alias("attempts"), F.min("start_ts").alias("first"))
         .select(
@@ -79,6 +84,14 @@ def delivery_progress(log: DataFrame, report_s: int = REPORT_S) -> DataFrame:
             "first",
         )
     )
+
+
+def progress(intervals: DataFrame, sent: int = 0, started: Column | None = None) -> DataFrame:
+    """Running totals over intervals, after ``sent`` attempts since ``started``.
+
+    The running total is taken in two steps, over months and then within each, so
+    that no task sees more than one month's intervals or one row for each month.
+    """
     so_far = Window.orderBy("month").rowsBetween(Window.unboundedPreceding, 0)
     months = (
         intervals.groupBy("month")
@@ -95,14 +108,15 @@ def delivery_progress(log: DataFrame, report_s: int = REPORT_S) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     same_month = F.col("month") == F.col("of_month")
-    messages = F.sum("attempts").over(in_month) + F.col("before")
+    messages = F.sum("attempts").over(in_month) + F.col("before") + sent
+    earliest = [F.col("started"), F.col("first")] + ([] if started is None else [started])
     return (
         # Asked the same of both times it is used, the grouping into intervals is
         # done once: a left join adds no filter, and the start needs ``first``.
         intervals.join(months.withColumnRenamed("month", "of_month"), same_month, "left")
         .select(
             "report_ts",
-            elapsed_seconds(F.least("started", "first"), F.col("report_ts")).alias("elapsed_s"),
+            elapsed_seconds(F.least(*earliest), F.col("report_ts")).alias("elapsed_s"),
             messages.alias("messages"),
         )
         .withColumn("rate", ratio(F.col("messages"), F.col("elapsed_s")))

@@ -42,15 +42,21 @@ def high_lag(offsets: DataFrame, high: int = HIGH_LAG) -> DataFrame:
 
 
 def offsets_from_progress(spark: SparkSession, progress: dict) -> DataFrame:
-    """The offsets table of a running stream, from its last progress report.
+    """The offsets table of a running stream, from its last progress report."""
+    return spark.createDataFrame(offset_rows(progress), OFFSETS_SCHEMA)
 
-    A report has one entry per topic partition. What the batch started from is
+
+def offset_rows(progress: dict) -> list[tuple]:
+    """Rows of the offsets table from a stream's progress report.
+
+    A report has one entry per topic partition, or one number for a source without
+    partitions, which is named by its description. What the batch started from is
     committed, what it reached is the position.
     """
     rows = []
     for source in progress["sources"]:
         start, end, latest = (
-            _offsets(source.get(name)) for name in ("startOffset", "endOffset", "latestOffset")
+            _offsets(source, name) for name in ("startOffset", "endOffset", "latestOffset")
         )
         for topic, partitions in end.items():
             for partition, position in partitions.items():
@@ -63,10 +69,16 @@ def offsets_from_progress(spark: SparkSession, progress: dict) -> DataFrame:
                         latest.get(topic, {}).get(partition),
                     )
                 )
-    return spark.createDataFrame(rows, OFFSETS_SCHEMA)
+    return rows
 
 
-def _offsets(reported: dict | str | None) -> dict:
+def _offsets(source: dict, name: str) -> dict:
+    reported = source.get(name)
     if isinstance(reported, str):
         reported = json.loads(reported)
-    return reported or {}
+    if isinstance(reported, dict) and all(isinstance(v, dict) for v in reported.values()):
+        return reported
+    if isinstance(reported, dict):
+        reported = next(iter(reported.values()))
+    # The last entry read, counted from 0.
+    return {} if reported is None else {source.get("description", "source"): {"0": int(reported) + 1}}

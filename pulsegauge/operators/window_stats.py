@@ -20,16 +20,23 @@ STATS = ["message_count", "avg_value", "max_value", "min_value"]
 
 
 def window_stats(
-    readings: DataFrame, width_s: int = WIDTH_S, slide_s: int | None = None
+    readings: DataFrame, width_s: int = WIDTH_S, slide_s: int | None = None, chained: bool = False
 ) -> DataFrame:
     """Count, average, maximum and minimum per window and sensor type.
 
     The same call serves tables and streams; give a stream its watermark first.
     Only one partial row per window and type leaves each task, however uneven the
     types and times are.
+
+    Sliding windows of a table are put together from panes no two windows cut apart:
+    readings are grouped once, and only panes are copied into the windows they belong
+    to. A stream does so if ``chained``, in two stateful steps, which takes append mode;
+    otherwise, for update mode, each reading is copied.
     """
-    if slide_s is not None and not readings.isStreaming:
-        return _over_panes(readings, width_s, slide_s)
+    if slide_s is not None and (chained or not readings.isStreaming):
+        parts = panes(readings, math.gcd(width_s, slide_s))
+        # A stream's second step takes its time and watermark from the panes' windows.
+        return from_panes(parts, "pane" if readings.isStreaming else "start", width_s, slide_s)
     return _flat(
         readings.groupBy(
             event_window("timestamp", width_s, slide_s).alias("window"), "sensor_type"
@@ -42,26 +49,23 @@ def window_stats(
     )
 
 
-def _over_panes(readings: DataFrame, width_s: int, slide_s: int) -> DataFrame:
-    """Sliding windows put together from panes no two windows cut apart.
-
-    Readings are grouped once, into panes; only the panes are then copied into
-    the windows they belong to. On a stream this would be two aggregations in a
-    row, which update mode does not allow.
-    """
-    panes = readings.groupBy(
-        event_window("timestamp", math.gcd(width_s, slide_s)).alias("pane"), "sensor_type"
-    ).agg(
+def panes(readings: DataFrame, pane_s: int) -> DataFrame:
+    """Figures of short windows, which add up to those of longer ones."""
+    grouped = readings.groupBy(event_window("timestamp", pane_s).alias("pane"), "sensor_type").agg(
         F.count("*").alias("messages"),
         F.count("value").alias("values"),
         F.sum("value").alias("total"),
         F.max("value").alias("top"),
         F.min("value").alias("bottom"),
     )
+    when = "pane" if readings.isStreaming else F.col("pane.start").alias("start")
+    return grouped.select(when, "sensor_type", "messages", "values", "total", "top", "bottom")
+
+
+def from_panes(panes: DataFrame, time: str, width_s: int, slide_s: int | None = None) -> DataFrame:
+    """Statistics of windows from the figures of panes that lie in them as a whole."""
     return _flat(
-        panes.select("pane.start", "sensor_type", "messages", "values", "total", "top", "bottom")
-        .groupBy(event_window("start", width_s, slide_s).alias("window"), "sensor_type")
-        .agg(
+        panes.groupBy(event_window(time, width_s, slide_s).alias("window"), "sensor_type").agg(
             F.sum("messages").alias("message_count"),
             F.try_divide(F.sum("total"), F.sum("values")).alias("avg_value"),
             F.max("top").alias("max_value"),

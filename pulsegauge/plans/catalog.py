@@ -20,7 +20,7 @@ from ..operators import delivery, encoding, lag, parsing, running, snapshot, win
 from ..session import pin_zone, working_folder
 from ..sources import events as source
 from ..sources import tables
-from ..streaming import commits, landing, queries, updates
+from ..streaming import commits, landing, progress, queries, updates, windows
 from ..streaming import running as running_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -403,6 +403,48 @@ def window_stats_stream_sliding(spark: SparkSession, folder: str) -> DataFrame:
     return _rounded(_zoneless(updates.latest_stats(spark, table)), "avg_value")
 
 
+@registered
+def window_stats_stream_sliding_append(spark: SparkSession, folder: str) -> DataFrame:
+    """Closed sliding windows, by panes and then windows, each a stateful step."""
+    stream = _stream(spark, folder).withWatermark("timestamp", window_stats.WATERMARK)
+    table = working_folder(spark, "closed")
+    stats = window_stats.window_stats(stream, 30, window_stats.SLIDE_S, chained=True)
+    _run(queries.append_parquet(stats, table, working_folder(spark, "checkpoint")))
+    return _rounded(_zoneless(spark.read.parquet(table)), "avg_value")
+
+
+def _windows_with_late(spark: SparkSession, folder: str) -> tuple[str, DataFrame]:
+    """Readings up to hours late in windows that wait for an hour."""
+    root = working_folder(spark, "windows")
+    readings = source.as_readings(source.events_stream(spark, folder, DISORDER_H * 3600))
+    _run(windows.keep_window_partials(readings, root, working_folder(spark, "checkpoint"), delay="1 hour"))
+    return root, readings
+
+
+@registered
+def window_stats_stream_on_time(spark: SparkSession, folder: str) -> DataFrame:
+    root, _ = _windows_with_late(spark, folder)
+    return _rounded(_zoneless(windows.window_stats_so_far(spark, root)), "avg_value")
+
+
+@registered
+def late_readings_stream(spark: SparkSession, folder: str) -> DataFrame:
+    root, readings = _windows_with_late(spark, folder)
+    return _zoneless(windows.set_aside(spark, root, readings).drop("stream"))
+
+
+@registered
+def delivery_progress_stream(spark: SparkSession, folder: str) -> DataFrame:
+    log = source.as_delivery_log(source.events_stream(spark, folder))
+    root = working_folder(spark, "progress")
+    writer = progress.keep_delivery_progress(
+        log.withWatermark("start_ts", window_stats.WATERMARK), root, working_folder(spark, "checkpoint")
+    )
+    _run(writer)
+    report = progress.progress_so_far(spark, root).drop("stream")
+    return _rounded(_zoneless(report), "elapsed_s", "rate", digits=6)
+
+
 @registered
 def alerts_range_stream(spark: SparkSession, folder: str) -> DataFrame:
     found = alerting.violations(_stream(spark, folder), rule_table(spark, RANGE))

@@ -82,6 +82,26 @@ SLIDING = f"""{R}, s as (
     select window_start, window_start + interval '30 seconds' as window_end, sensor_type, {STATS}
     from s group by 1, 2, 3"""
 
+# Readings that come up to six hours late, by batch, and whether their window had closed.
+DISORDERED = f"""{R}, known as (
+    select greatest(4, ceil(count(*) / 1000000)::bigint) as n,
+           epoch_us(min(timestamp)) as low, epoch_us(max(timestamp)) as high from r),
+    dealt as (
+    select r.*, coalesce(greatest(least(
+               (epoch_us(timestamp) + (event_id * 7919 % 21600) * 1000000 - low) * n // (high - low), n - 1), 0), 0)
+               as batch_id
+    from r, known),
+    marks as (
+    select batch_id, max(max(epoch_us(timestamp))) over (order by batch_id
+               rows between unbounded preceding and 1 preceding) - 3600 * 1000000::bigint as passed
+    from dealt group by batch_id),
+    sorted_out as (
+    select dealt.*, case when timestamp is null then 'no_time'
+               when epoch_us(time_bucket(interval '30 seconds', timestamp)) + 30000000 <= passed then 'late' end
+               as reason
+    from dealt join marks using (batch_id)),
+    on_time as (select * from sorted_out where reason is null)"""
+
 RANGE_ALERTS = f"""{R}, rules(rule_set, sensor_type, lo, hi) as (values
     ('range', 'temperature', 15::double, 30::double),
     ('range', 'humidity', 30::double, 70::double),
@@ -353,6 +373,20 @@ ORACLE = {
     "running_stats_default": RUNNING,
     "window_stats_stream_append": _tumbling("30 seconds", CLOSED),
     "window_stats_stream_sliding": SLIDING,
+    "window_stats_stream_sliding_append": f"select * from ({SLIDING}) {CLOSED.replace(' r)', ' events)').replace('timestamp', 'ts')}",
+    "window_stats_stream_on_time": _tumbling("30 seconds", source=DISORDERED, table="on_time"),
+    "late_readings_stream": f"""{DISORDERED}
+        select * exclude (user_id) from sorted_out where reason is not null""",
+    "delivery_progress_stream": f"""{LOG}, b as (
+        select time_bucket(interval '10 seconds', start_ts) + interval '10 seconds' as report_ts,
+               count(*) as n
+        from log group by 1), c as (
+        select report_ts, cast(sum(n) over (order by report_ts) as bigint) as messages,
+               (epoch_us(report_ts) - (select epoch_us(min(start_ts)) from log)) / 1e6 as elapsed
+        from b)
+        select report_ts, round(elapsed::double, 6) as elapsed_s, messages,
+               round(messages::double / elapsed, 6) as rate from c
+        where report_ts <= (select max(start_ts) from log) - interval '2 minutes'""",
     "alerts_range_stream": RANGE_ALERTS,
     "alerts_temperature_stream": HOT,
     "running_stats_stream": RUNNING,

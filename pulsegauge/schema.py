@@ -76,6 +76,29 @@ BAD_RECORD_SCHEMA = T.StructType(
     ]
 )
 
+# Figures of the readings of one type in a short window, which add up.
+PANE_SCHEMA = T.StructType(
+    [
+        T.StructField("start", T.TimestampType()),
+        T.StructField("sensor_type", T.StringType()),
+        T.StructField("messages", T.LongType()),
+        T.StructField("values", T.LongType()),
+        T.StructField("total", T.DoubleType()),
+        T.StructField("top", T.DoubleType()),
+        T.StructField("bottom", T.DoubleType()),
+    ]
+)
+
+# After an interval of a delivery log: attempts so far.
+PROGRESS_SCHEMA = T.StructType(
+    [
+        T.StructField("report_ts", T.TimestampType()),
+        T.StructField("elapsed_s", T.DoubleType()),
+        T.StructField("messages", T.LongType()),
+        T.StructField("rate", T.DoubleType()),
+    ]
+)
+
 # What a batch held, written when all of it is there.
 COMMIT_SCHEMA = T.StructType(
     [

@@ -43,6 +43,8 @@ THREADS = 16
 # Batches of the table as a stream.
 BATCHES = 4
 ROWS_PER_BATCH = 1_000_000
+# Scatters delays over ids.
+SCATTER = 7919
 # The reader's last commit in the offsets binding.
 COMMITTED_BEFORE = "2024-01-25 00:00:00"
 UNCOMMITTED = 20
@@ -66,7 +68,7 @@ def batches_of(rows: DataFrame, disorder_s: int = 0) -> Column:
         return F.lit(0)
     arrives = micros
     if disorder_s:
-        arrives = micros + F.pmod(F.xxhash64("event_id"), F.lit(disorder_s * 1_000_000))
+        arrives = micros + F.pmod(F.col("event_id") * SCATTER, F.lit(disorder_s)) * 1_000_000
     part = F.floor((arrives - known["low"]) * count / (known["high"] - known["low"]))
     return F.least(F.coalesce(part, F.lit(0)), F.lit(count - 1)).cast("int")
 
