@@ -347,6 +347,19 @@ def fleet_snapshot_stream(spark: SparkSession, folder: str) -> DataFrame:
     return snapshot.totals(landing.fleet(spark, _landed(spark, folder)))
 
 
+@registered
+def fleet_sketched_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The fleet from sketches of its sensors, and whether their number is right to 5%."""
+    found = snapshot.totals(landing.fleet_by_type(spark, _landed(spark, folder)))
+    good = parsing.readings(parsing.decode(_records(spark, folder)))
+    exact = good.agg(F.countDistinct("sensor_id").alias("exact"))
+    close = F.abs(F.col("active_sensors") - F.col("exact")) <= 0.05 * F.col("exact")
+    one = F.lit(1).alias("one")
+    return found.select("*", one).join(exact.select("*", one), "one").select(
+        "total_messages", "total_alerts", "active_types", "system_health", close.alias("sensors_close")
+    )
+
+
 @registered
 def recent_alerts_stream(spark: SparkSession, folder: str) -> DataFrame:
     newest = landing.newest_alerts(spark, _landed(spark, folder))

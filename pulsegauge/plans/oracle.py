@@ -360,6 +360,8 @@ ORACLE = {
                min(fine) as oldest, max(fine) as newest
         from dealt group by batch_id""",
     "fleet_snapshot_stream": SENT + ", " + SNAPSHOT.format(table="good"),
+    "fleet_sketched_stream": f"""select * exclude (active_sensors), true as sensors_close
+        from ({SENT}, {SNAPSHOT.format(table="good")})""",
     "recent_alerts_stream": f"""{SENT}
         select sensor_id, 'HIGH_' || upper(sensor_type) as type, location,
                {_shown("timestamp")} as timestamp

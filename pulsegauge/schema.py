@@ -127,6 +127,11 @@ PARTIAL_SCHEMA = T.StructType(
     ]
 )
 
+# The same for one type, with a sketch of its sensors.
+TYPE_PARTIAL_SCHEMA = T.StructType(
+    [*PARTIAL_SCHEMA.fields[1:], T.StructField("sensors", T.BinaryType())]
+)
+
 # A null bound leaves that side open.
 RULE_SCHEMA = T.StructType(
     [

@@ -24,7 +24,7 @@ from ..operators.snapshot import (
     page_document,
     write_document,
 )
-from ..schema import LANDED_SCHEMA, PARTIAL_SCHEMA
+from ..schema import LANDED_SCHEMA, PARTIAL_SCHEMA, TYPE_PARTIAL_SCHEMA
 from ..sources import files
 from . import commits
 from .batches import latest_turns, read_turn, stream_id, together, write_batch, write_turn
@@ -34,6 +34,11 @@ LISTED = 10
 LISTED_SCHEMA = LANDED_SCHEMA[:-3]
 # Batches after which the fleet's partials are folded into one.
 FOLD_EVERY = 64
+# What is added up of each batch, and how.
+PARTIALS = {
+    "fleet": (PARTIAL_SCHEMA, snapshot.merge_partials),
+    "types": (TYPE_PARTIAL_SCHEMA, snapshot.merge_type_partials),
+}
 
 
 def land(
@@ -42,6 +47,7 @@ def land(
     checkpoint: str,
     rules: Sequence[Rule] = UPPER,
     documents: str | None = None,
+    exact: bool = True,
 ) -> DataStreamWriter:
     """A stream of records on its way to the tables under ``root``, not yet started.
 
@@ -53,6 +59,8 @@ def land(
     messages, good readings and bad records by reason; see ``commits``.
 
     With ``documents`` the dashboard's documents are written there after each batch.
+    Unless ``exact``, they tell about how many sensors there are, and what they take
+    does not grow with these.
     """
 
     def land_batch(batch: DataFrame, batch_id: int) -> None:
@@ -76,6 +84,7 @@ def land(
                 lambda: by_batch(_dated(good), "readings", "event_date"),
                 lambda: by_batch(_dated(found), "alerts", "event_date"),
                 lambda: by_batch(snapshot.partials(good, rules), "fleet"),
+                lambda: by_batch(snapshot.type_partials(good, rules), "types"),
                 lambda: write_turn(listed, kept, stream, batch_id),
             )
         finally:
@@ -84,7 +93,8 @@ def land(
         if batch_id % FOLD_EVERY == FOLD_EVERY - 1:
             fold_fleet(spark, root, stream, batch_id)
         if documents is not None:
-            publish(fleet(spark, root), newest_alerts(spark, root), documents, batch_id)
+            state = fleet(spark, root) if exact else fleet_by_type(spark, root)
+            publish(state, newest_alerts(spark, root), documents, batch_id)
 
     return records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
 
@@ -127,23 +137,23 @@ def _folds(spark: SparkSession, root: str) -> dict[str, int]:
     return {r["stream"]: r["upto"] for r in latest.collect()}
 
 
-def _parts(spark: SparkSession, root: str) -> DataFrame:
+def _parts(spark: SparkSession, root: str, name: str = "fleet") -> DataFrame:
     """Each stream's last fold and the partials of the committed batches after it, not yet added up."""
     schema = T.StructType(
         [
-            *PARTIAL_SCHEMA.fields,
+            *PARTIALS[name][0].fields,
             T.StructField("stream", T.StringType()),
             T.StructField("batch_id", T.LongType()),
         ]
     )
     at = commits.snapshot(spark, root)
     folds = _folds(spark, root)
-    parts = spark.read.schema(schema).parquet(f"{root}/fleet").filter(commits.committed(at))
+    parts = spark.read.schema(schema).parquet(f"{root}/{name}").filter(commits.committed(at))
     if folds:
         # On folder names, so that folded batches are not read.
         covered = [(F.col("stream") == s) & (F.col("batch_id") <= n) for s, n in folds.items()]
         parts = parts.filter(~functools.reduce(operator.or_, covered))
-        folded = spark.read.schema(schema).parquet(f"{root}/fleet_folds")
+        folded = spark.read.schema(schema).parquet(f"{root}/{name}_folds")
         wanted = [(F.col("stream") == s) & (F.col("batch_id") == n) for s, n in folds.items()]
         parts = parts.unionByName(folded.filter(functools.reduce(operator.or_, wanted)))
     return parts
@@ -154,8 +164,9 @@ def fold_fleet(spark: SparkSession, root: str, stream: str, batch_id: int) -> No
 
     A fold counts from when it is listed in ``fleet_folded``, after it was written.
     """
-    parts = _parts(spark, root).filter((F.col("stream") == stream) & (F.col("batch_id") <= batch_id))
-    write_batch(snapshot.merge_partials(parts), f"{root}/fleet_folds", stream, batch_id)
+    for name, (_, merge) in PARTIALS.items():
+        parts = _parts(spark, root, name).filter((F.col("stream") == stream) & (F.col("batch_id") <= batch_id))
+        write_batch(merge(parts), f"{root}/{name}_folds", stream, batch_id)
     listed = spark.range(1).select(F.lit(batch_id).cast("long").alias("upto"))
     listed.write.mode("overwrite").parquet(f"{root}/fleet_folded/stream={stream}/batch_id={batch_id}")
 
@@ -177,7 +188,8 @@ def tidy(spark: SparkSession, root: str, keep_s: float = commits.KEEP_S) -> dict
     for stream, found in folds.items():
         last = max(found)[0]
         earlier = [path for batch, path in found if batch < last]
-        covered = [(f"fleet/{stream}", last)] + [(f"fleet_folds/{stream}", last - 1)]
+        covered = [(f"{name}/{stream}", last) for name in PARTIALS]
+        covered += [(f"{name}_folds/{stream}", last - 1) for name in PARTIALS]
         for folder, upto in covered:
             for entry in files.matching(spark, f"{root}/{folder}/batch_id=*"):
                 if int(entry.path.rsplit("batch_id=", 1)[1]) <= upto:
@@ -194,6 +206,11 @@ def fleet(spark: SparkSession, root: str) -> DataFrame:
     return snapshot.merge_partials(_parts(spark, root))
 
 
+def fleet_by_type(spark: SparkSession, root: str) -> DataFrame:
+    """The type partials of all readings landed so far: a row per type, whatever the fleet."""
+    return snapshot.merge_type_partials(_parts(spark, root, "types"))
+
+
 def newest_alerts(spark: SparkSession, root: str) -> DataFrame:
     """The newest alerts landed so far, newest first."""
     upto = commits.snapshot(spark, root).upto

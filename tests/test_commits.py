@@ -1,5 +1,6 @@
 """Batches that show as a whole, packs, what is deleted, and streams that keep every row."""
 
+import functools
 from datetime import datetime
 
 import pytest
@@ -199,7 +200,7 @@ def test_folded_partials_are_deleted(spark, landed, monkeypatch):
         landed.add()
     landed.land()
     assert landing.tidy(spark, landed.root, keep_s=3600)["deleted"] == 0
-    assert landing.tidy(spark, landed.root, keep_s=0)["deleted"] == 4 + 2
+    assert landing.tidy(spark, landed.root, keep_s=0)["deleted"] == 2 * 4 + 3
     landed.whole()
     # The last batch runs again, and two more come.
     replay(landed.checkpoint, 4)
@@ -211,6 +212,35 @@ def test_folded_partials_are_deleted(spark, landed, monkeypatch):
     landed.whole()
 
 
+def test_sketches_of_the_fleet_add_up(spark, landed, monkeypatch):
+    monkeypatch.setattr(landing, "FOLD_EVERY", 2)
+    documents = str(landed.folder / "documents")
+    for k in range(5):
+        landed.add()
+    run(landing.land(landed.feed.stream(), landed.root, str(landed.checkpoint), documents=documents, exact=False))
+    parts = landing.fleet_by_type(spark, landed.root)
+    exact = snapshot.totals(landing.fleet(spark, landed.root)).first()
+    # So few are counted exactly.
+    assert snapshot.totals(parts).first() == exact and parts.count() == 3
+    rows = lambda found: sorted(map(str, found.collect()))
+    assert rows(snapshot.type_stats(parts)) == rows(snapshot.type_stats(landing.fleet(spark, landed.root)))
+    assert rows(snapshot.type_cards(parts)) == rows(snapshot.type_cards(landing.fleet(spark, landed.root)))
+    shown = snapshot.latest_document(spark, f"{documents}/metrics").first()["document"]
+    assert f'"total_messages":{exact["total_messages"]}' in shown
+
+
+def test_the_error_of_a_sketch_is_bounded(spark):
+    readings = spark.range(120_000).select(
+        F.concat(F.lit("s"), F.col("id") % 40_000).alias("sensor_id"),
+        F.concat(F.lit("t"), F.col("id") % 3).alias("sensor_type"), F.lit(1.0).alias("value"),
+    )
+    batches = [snapshot.type_partials(readings.filter(F.col("sensor_id").endswith(str(k)))) for k in range(10)]
+    merged = snapshot.merge_type_partials(functools.reduce(lambda a, b: a.unionByName(b), batches))
+    found = snapshot.totals(merged).first()["active_sensors"]
+    assert abs(found - 40_000) < 3 * 0.017 * 40_000
+    assert snapshot.totals(snapshot.type_partials(readings.limit(0))).first()["active_sensors"] == 0
+
+
 def test_nothing_landed_yet(spark, tmp_path):
     assert commits.read(spark, str(tmp_path), "readings").count() == 0
     assert commits.compact(spark, str(tmp_path)) == {} and commits.vacuum(spark, str(tmp_path)) == 0
