@@ -275,27 +275,24 @@ class _Memory:
     def __init__(self, path: str, made: Callable[[list[int]], object]) -> None:
         self.known, self.made = vocabulary(path), made
         self.of: dict[str, object] = {}
-        # Pieces that decode to something else than themselves.
-        self.odd: dict[str, bytes] = {}
+        # What the ids of each piece decode to.
+        self.decoded: dict[str, bytes] = {}
 
     def learn(self, lists: list[list[str]]) -> None:
         """Makes sure that all these pieces are known; forgets the others if there are too many."""
         new = list(set().union(*lists).difference(self.of))
         if len(self.of) + len(new) > REMEMBERED:
             self.of.clear()
-            self.odd.clear()
+            self.decoded.clear()
             new = list(set().union(*lists))
         raw = [piece.encode() for piece in new]
-        for piece, data, ids in zip(new, raw, self.known.merge_many(raw)):
+        for piece, ids in zip(new, self.known.merge_many(raw)):
             self.of[piece] = self.made(ids)
-            if (decoded := self.known.decode_bytes(ids)) != data:
-                self.odd[piece] = decoded
+            self.decoded[piece] = self.known.decode_bytes(ids)
 
     def back(self, pieces: list[str]) -> bytes:
         """What the ids of the pieces decode to."""
-        if self.odd:
-            return b"".join([self.odd.get(p) or p.encode() for p in pieces])
-        return "".join(pieces).encode()
+        return b"".join(map(self.decoded.__getitem__, pieces))
 
 
 def _as_numbers(ids: list[int]) -> bytes:
@@ -387,7 +384,7 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = batch.column("row")
-            start, sizes, parts = 0, [], []
+            start, sizes, parts, held_now = 0, [], [], 0
 
             def done(end: int) -> pa.RecordBatch:
                 places = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
@@ -398,9 +395,10 @@ def encode(docs: DataFrame, path: str, column: str = "text") -> DataFrame:
             for i, part in enumerate(id_bytes(_texts(rows.field(column)), path), 1):
                 parts.append(part)
                 sizes.append(len(part) // 4)
-                if sum(sizes) >= BATCH_TOKENS:
+                held_now += sizes[-1]
+                if held_now >= BATCH_TOKENS:
                     yield done(i)
-                    start, sizes, parts = i, [], []
+                    start, sizes, parts, held_now = i, [], [], 0
             if parts:
                 yield done(len(rows))
 

@@ -147,8 +147,21 @@ def _documents(
         elif pa.types.is_binary(held.type):
             found = np.frombuffer(ids.as_buffer(), dtype=f"<u{width}") if ids.is_valid else ()
         else:
-            found = ids.values.to_numpy() if ids.is_valid else ()
-        yield Segment(name, 0, np.append(np.asarray(found, dtype=kind), np.array([end], dtype=kind)))
+            found = _numbers(ids.values) if ids.is_valid else ()
+        yield Segment(name, 0, np.append(_fitting(np.asarray(found), kind), np.array([end], dtype=kind)))
+
+
+def _numbers(ids: pa.Array) -> np.ndarray:
+    if ids.null_count:
+        raise ValueError("a token id is null")
+    return ids.to_numpy()
+
+
+def _fitting(ids: np.ndarray, kind: np.dtype) -> np.ndarray:
+    """The ids as ``kind``, if it holds all of them."""
+    if ids.size and not 0 <= ids.min() <= ids.max() <= np.iinfo(kind).max:
+        raise ValueError(f"token ids from {ids.min()} to {ids.max()} do not fit {kind.itemsize} bytes; raise out_bytes")
+    return ids.astype(kind)
 
 
 def pack(
@@ -170,9 +183,12 @@ def pack(
     null. ``cu_seqlens`` has where segments begin and where the last ends; ``positions``
     start over with each segment; what is left of a row is filled with ``end`` at
     position 0 and lies beyond ``n_tokens``. Both matrices are little-endian numbers of
-    ``out_bytes``. Other columns play no part. An empty table gives no rows.
+    ``out_bytes``; an id, ``end`` or a position that does not fit raises, as does a null
+    id in a list. Other columns play no part. An empty table gives no rows.
     """
     kind = np.dtype(f"<u{out_bytes}")
+    if not 0 <= max(end, length - 1) <= np.iinfo(kind).max:
+        raise ValueError(f"ids of {out_bytes} bytes cannot hold {end} and positions up to {length - 1}")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def documents(batch: pa.RecordBatch) -> Iterator[Segment]:

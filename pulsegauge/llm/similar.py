@@ -1,9 +1,13 @@
 """Documents whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
 Candidates come from a MinHash LSH forest. Each of ``TREES`` tries is keyed by its own
-sequence of minhashes; texts that share a prefix are candidates. Prefixes start at
-``DEPTH`` and are shortened until a pair just similar enough shares one in some trie
-with at least the target recall. Then:
+sequence of ``DEPTH`` minhashes; texts that share a prefix are candidates. The keys of
+each trie are sorted, which lays texts with the longest common prefixes next to each
+other, and one pass over them counts the pairs that share a prefix of each length. All
+tries begin at full depth. While a pair just similar enough would be found with less than
+the target recall, that trie is shortened by one whose shorter prefix adds the fewest
+pairs for what it adds to the recall. So tries end at different depths: those with common
+prefixes stay deep, the others make up for it. Then:
 
 1. Texts that share a prefix are compared by one-byte sketches of all their minhashes,
    and joined where they look similar. A bucket sends out a spanning star and not its
@@ -19,7 +23,8 @@ Equal texts are one text all the way, so copies cost nothing but their row.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import math
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -47,16 +52,29 @@ COLUMNS = 4096
 SEEDS = 0x2545F4914F6CDD1D
 
 
-def recall(similarity: float, trees: int, depth: int) -> float:
-    """How surely a pair shares a prefix of ``depth`` in one of the tries at least."""
-    return 1 - (1 - similarity**depth) ** trees
+def recall(similarity: float, depths: Sequence[int]) -> float:
+    """How surely a pair shares a prefix of the trie's depth in one of the tries at least."""
+    return 1 - math.prod(1 - similarity**depth for depth in depths)
 
 
-def prefix_depth(similarity: float, trees: int, target: float, depth: int = DEPTH) -> int:
-    """The longest prefix that reaches the target recall, by shortening; 1 at least."""
-    while depth > 1 and recall(similarity, trees, depth) < target:
-        depth -= 1
-    return depth
+def shortened(similarity: float, pairs: dict[tuple[int, int], int], trees: int, depth: int, target: float) -> list[int]:
+    """The depth of each trie that reaches the target recall, or 1.
+
+    ``pairs`` has how many pairs of texts share a prefix of a trie and length; the trie
+    shortened next is that with the fewest new ones for what is gained, of equal ones
+    the deepest.
+    """
+
+    def price(t: int) -> tuple[float, int, int]:
+        new = pairs.get((t, depths[t] - 1), 0) - pairs.get((t, depths[t]), 0)
+        gain = math.log1p(-(similarity ** depths[t])) - math.log1p(-(similarity ** (depths[t] - 1)))
+        return new / gain, -depths[t], t
+
+    depths = [depth] * trees
+    while recall(similarity, depths) < target and max(depths) > 1:
+        t = min((t for t in range(trees) if depths[t] > 1), key=price)
+        depths[t] -= 1
+    return depths
 
 
 def shingles(words: W.Words, width: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -105,7 +123,7 @@ def _sub_batches(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def _described(trees: int, depth: int, width: int) -> Callable:
-    """Buckets, one for each trie, and the sketch of each text."""
+    """The key of each text in each trie, and its sketch."""
 
     def describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,25 +134,89 @@ def _described(trees: int, depth: int, width: int) -> Callable:
                 if not len(who):
                     continue
                 sketch = (minima & W.U64(255)).astype(np.uint8)
-                buckets = np.empty((len(who), trees), dtype=np.int64)
-                for t in range(trees):
-                    folded = np.full(len(who), W.U64(t + 1))
-                    for k in range(t * depth, (t + 1) * depth):
-                        folded = W.mixed(folded * W.ROLL + minima[:, k])
-                    buckets[:, t] = folded.view(np.int64)
+                # Numbers of four bytes, the first one foremost, so that they sort as bytes.
+                levels = (minima >> W.U64(32)).astype(">u4").tobytes()
+                size = 4 * depth
                 places = pa.array(np.arange(len(who) + 1, dtype=np.int32) * trees)
+                tries = pa.array([levels[at : at + size] for at in range(0, len(levels), size)], pa.binary())
                 yield pa.RecordBatch.from_arrays(
                     [
                         keys[low:high].take(pa.array(who)),
-                        pa.ListArray.from_arrays(places, pa.array(buckets.ravel())),
+                        pa.ListArray.from_arrays(places, tries),
                         pa.array([s.tobytes() for s in sketch], pa.binary()),
                     ],
-                    names=["key", "buckets", "sketch"],
+                    names=["key", "tries", "sketch"],
                 )
 
     return describe
 
 
+def _shared(depth: int) -> Callable:
+    """How many pairs share a prefix of each length, from the sorted keys of the tries.
+
+    Runs are counted as they pass; one that goes on in another partition counts twice as
+    two shorter ones, which makes no odds to what is found.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pairs: dict[tuple[int, int], int] = {}
+        before, runs = None, [0] * (depth + 1)
+
+        def add(trie: int, k: int, length: int) -> None:
+            pairs[trie, k] = pairs.get((trie, k), 0) + length * (length - 1) // 2
+
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            trie = batch.column("trie").to_numpy()
+            keys = np.frombuffer(b"".join(batch.column("sig").to_pylist()), ">u4").reshape(n, depth)
+            new = np.ones(n, dtype=bool)
+            new[1:] = trie[1:] != trie[:-1]
+            new[0] = before is None or before[0] != trie[0]
+            for k in range(1, depth + 1):
+                new[1:] |= keys[1:, k - 1] != keys[:-1, k - 1]
+                new[0] |= before is None or before[1][k - 1] != keys[0, k - 1]
+                first = np.flatnonzero(new)
+                if not len(first):
+                    runs[k] += n
+                    continue
+                if before is not None:
+                    add(before[0], k, runs[k] + int(first[0]))
+                length = np.diff(first)
+                for t in np.unique(trie[first[:-1]][length > 1]).tolist():
+                    own = length[trie[first[:-1]] == t]
+                    pairs[t, k] = pairs.get((t, k), 0) + int((own * (own - 1) // 2).sum())
+                runs[k] = n - int(first[-1])
+            before = int(trie[-1]), keys[-1].copy()
+        if before is not None:
+            for k in range(1, depth + 1):
+                add(before[0], k, runs[k])
+        rows = [(t, k, n) for (t, k), n in pairs.items() if n]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.int32(), pa.int32(), pa.int64()))],
+            names=["trie", "depth", "pairs"],
+        )
+
+    return count
+
+
+def forest_depths(
+    described: DataFrame, similarity: float, trees: int, depth: int, target: float
+) -> list[int]:
+    """The depth of each trie for these texts. A number per trie and depth comes to the driver."""
+    keys = described.select(F.posexplode("tries").alias("trie", "sig"))
+    counted = (
+        keys.repartitionByRange("trie", "sig")
+        .sortWithinPartitions("trie", "sig")
+        .mapInArrow(_shared(depth), "trie int, depth int, pairs long")
+        .groupBy("trie", "depth")
+        .agg(F.sum("pairs").alias("pairs"))
+    )
+    pairs = {(r["trie"], r["depth"]): r["pairs"] for r in counted.collect()}
+    return shortened(similarity, pairs, trees, depth, target)
+
+
 def _in_blocks(members: DataFrame, group: str, count: Column, block: int) -> DataFrame:
     """``low`` and ``high``: for each row the pairs of blocks of its group it takes part in."""
     parts = F.greatest(F.ceil(count / block), F.lit(1)).cast("int")
@@ -292,16 +374,21 @@ def similarity_classes(
     ones too, is linked to none. A class of null doc_ids only has a null id, and
     ``class_key`` tells it apart. An empty table gives none.
     """
-    depth = prefix_depth(similar[0] / similar[1], trees, target)
+    depth = DEPTH
     keyed = docs.select(_key("text").alias("key"), "text", F.col("doc_id").cast("long").alias("doc_id"))
     texts = keyed.groupBy("key").agg(F.min("doc_id").alias("first_id"), F.count("*").alias("copies"))
     described = settled(
         keyed.select("key", "text")
-        .mapInArrow(_described(trees, depth, width), "key string, buckets array<long>, sketch binary")
+        .mapInArrow(_described(trees, depth, width), "key string, tries array<binary>, sketch binary")
         .dropDuplicates(["key"]),
         "sketches",
     )
-    posted = described.select("key", F.explode("buckets").alias("bucket"))
+    depths = forest_depths(described, similar[0] / similar[1], trees, depth, target)
+    sizes = F.array(*[F.lit(4 * d) for d in depths])
+    prefix = F.substring(F.col("sig"), F.lit(1), F.get(sizes, F.col("trie")))
+    posted = described.select("key", F.posexplode("tries").alias("trie", "sig")).select(
+        "key", F.xxhash64("trie", prefix).alias("bucket")
+    )
     several = posted.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1")
     members = posted.join(several, "bucket").join(described.select("key", "sketch"), "key")
     joined = (

@@ -132,16 +132,21 @@ def _length(head: bytes) -> int:
 
 
 def _inflated(data: bytes) -> Iterator[bytes]:
-    """The inflated pieces of a gzip file, of one member or of several."""
+    """The inflated pieces of a gzip file, of one member or of several.
+
+    A member that does not end, with its check sum, raises after what there is of it.
+    """
     view = memoryview(data)
-    stream = zlib.decompressobj(31)
+    stream, ended = zlib.decompressobj(31), True
     for at in range(0, len(view), PIECE):
         rest = bytes(view[at : at + PIECE])
         while rest:
             yield stream.decompress(rest)
-            rest = stream.unused_data
-            if stream.eof:
+            rest, ended = stream.unused_data, stream.eof
+            if ended:
                 stream = zlib.decompressobj(31)
+    if not ended:
+        raise EOFError("a gzip member is cut off")
 
 
 def _member(data: bytes) -> bytes:

@@ -1,8 +1,10 @@
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.errors import PythonException
 from pyspark.sql import functions as F
 
 from pulsegauge.llm import bpe, packing
@@ -69,3 +71,19 @@ def test_odd_rows(spark, odd_documents):
         own = sum(len((t or "").encode()) + 1 for k, t in texts(odd_documents) if k == i)
         assert sum(len(part) for _, part in found[i]) == own
     assert packing.pack(docs.limit(0)).count() == 0
+
+
+def test_what_does_not_fit_raises(spark):
+    ids = spark.createDataFrame([(1, [5, 70_000])], "doc_id long, token_ids array<int>")
+    with pytest.raises(PythonException, match="raise out_bytes"):
+        packing.pack(ids, end=0, length=8).collect()
+    row = packing.pack(ids, end=0, length=8, out_bytes=4).first()
+    assert np.frombuffer(row["ids"], "<u4")[:3].tolist() == [5, 70_000, 0]
+    for wrong in ([-1], [None, 3]):
+        rows = spark.createDataFrame([(1, wrong)], "doc_id long, token_ids array<int>")
+        with pytest.raises(PythonException):
+            packing.pack(rows, end=0, length=8).collect()
+    with pytest.raises(ValueError):
+        packing.pack(ids, end=70_000)
+    with pytest.raises(ValueError):
+        packing.pack(ids, end=0, length=1 << 17)

@@ -1,6 +1,8 @@
 import random
+from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from pulsegauge.llm import graph, similar
 
@@ -66,9 +68,50 @@ def test_documents_and_odd_rows(spark, documents, odd_documents):
 
 
 def test_prefixes_are_shortened_to_the_recall():
-    depth = similar.prefix_depth(0.8, similar.TREES, similar.RECALL)
-    assert similar.recall(0.8, similar.TREES, depth) >= similar.RECALL
-    assert similar.recall(0.8, similar.TREES, depth + 1) < similar.RECALL
+    even = similar.shortened(0.8, {}, similar.TREES, similar.DEPTH, similar.RECALL)
+    assert similar.recall(0.8, even) >= similar.RECALL and max(even) - min(even) <= 1
+    deeper = sorted(even)
+    deeper[0] += 1
+    assert similar.recall(0.8, deeper) < similar.RECALL
+    # Where short prefixes of a trie are common, it stays deep and others make up for it.
+    common = {(t, k): 10**9 >> k for t in range(4) for k in range(1, 9)}
+    depths = similar.shortened(0.8, common, similar.TREES, similar.DEPTH, similar.RECALL)
+    assert similar.recall(0.8, depths) >= similar.RECALL
+    assert set(depths[:4]) == {similar.DEPTH} and max(depths[4:]) < similar.DEPTH
+    assert similar.shortened(0.01, {}, 2, 3, 1 - 1e-9) == [1, 1]
+
+
+def test_pairs_are_counted_in_sorted_keys(spark):
+    rng = random.Random(4)
+    keys = [[bytes(rng.choice(b"\0\0\1") for _ in range(12)) for _ in range(2)] for _ in range(300)]
+    described = spark.createDataFrame([(str(i), k) for i, k in enumerate(keys)], "key string, tries array<binary>")
+    rows = described.select(F.posexplode("tries").alias("trie", "sig")).coalesce(1).sortWithinPartitions("trie", "sig")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        found = rows.mapInArrow(similar._shared(3), "trie int, depth int, pairs long").collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    wanted = {}
+    for t in range(2):
+        for k in range(1, 4):
+            sizes = Counter(key[t][: 4 * k] for key in keys).values()
+            wanted[t, k] = sum(n * (n - 1) // 2 for n in sizes)
+    assert {(r["trie"], r["depth"]): r["pairs"] for r in found} == {k: n for k, n in wanted.items() if n}
+
+
+def test_tries_end_at_different_depths(spark):
+    """Many texts share most of their shingles, which some tries have first."""
+    rng = random.Random(8)
+    line = [f"l{i}" for i in range(30)]
+    docs = [(i, " ".join(line + [f"w{rng.randrange(10**6)}" for _ in range(12)])) for i in range(400)]
+    docs += [(400 + i, docs[i][1] + " more") for i in range(20)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    described = frame.select(F.md5("text").alias("key"), "text").mapInArrow(
+        similar._described(similar.TREES, similar.DEPTH, 5), "key string, tries array<binary>, sketch binary"
+    )
+    depths = similar.forest_depths(described, 0.8, similar.TREES, similar.DEPTH, similar.RECALL)
+    assert len(set(depths)) > 1 and similar.recall(0.8, depths) >= similar.RECALL
+    compared(frame)
 
 
 def test_components(spark):

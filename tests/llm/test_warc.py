@@ -1,6 +1,7 @@
 import gzip
 import hashlib
 
+import pytest
 from pyspark.sql import functions as F
 
 from pulsegauge.llm import warc
@@ -68,3 +69,11 @@ def test_records_are_cut_whatever_the_pieces():
         data = one + two + one
         found = [r for at in range(0, len(data), size) for r in records.add(data[at : at + size])]
         assert found == [one, two, one] and not records.held
+
+
+def test_a_member_that_is_cut_off_raises():
+    whole = gzip.compress(b"one") + gzip.compress(b"two")
+    assert b"".join(warc._inflated(whole)) == b"onetwo" and list(warc._inflated(b"")) == []
+    for cut in (1, 8, len(gzip.compress(b"two")) - 1):
+        with pytest.raises(EOFError):
+            list(warc._inflated(whole[:-cut]))
