@@ -15,10 +15,10 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import BLANKS, WORD, settled, unwrapped, wrapped
+from .common import WORD, settled, unwrapped, wrapped
 
 SYMBOLS = r"[#*$%&|<>]+"
-# Documents on which the rules are tried to find their order.
+# Documents, about, on which the rules are tried to find their order.
 SAMPLE = 2000
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent of words
@@ -28,15 +28,6 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
 
 
-def n_words(text: Column) -> Column:
-    return F.regexp_count(text, F.lit(WORD)).cast("long")
-
-
-def word_chars(text: Column) -> Column:
-    """Code points in words."""
-    return F.char_length(F.regexp_replace(text, BLANKS, "")).cast("long")
-
-
 def n_symbols(text: Column) -> Column:
     return (F.char_length(text) - F.char_length(F.regexp_replace(text, SYMBOLS, ""))).cast("long")
 
@@ -65,7 +56,8 @@ def n_repeat_words(words: Column) -> Column:
 
     A window's hash and its position are packed into one long, the position in as many
     low bits as the text needs. Sorted, equal windows are neighbours; their words are
-    compared too, so that an equal rest of the hash is not enough.
+    compared too. In a text where neighbours share the rest of the hash and not the
+    words, which might part equal ones, windows are sorted by their words instead.
     """
 
     def of(found: Column) -> Column:
@@ -81,19 +73,46 @@ def n_repeat_words(words: Column) -> Column:
         )
         return _let(F.sort_array(keys), lambda packed: repeated(found, packed, mask))
 
+    def by_words(found: Column) -> Column:
+        # Words hold no blanks, so the text of a window tells its words.
+        windows = F.sort_array(
+            F.transform(
+                F.sequence(F.lit(0), F.size(found) - 3),
+                lambda i: F.struct(
+                    F.concat_ws(" ", *[F.get(found, i + k) for k in range(3)]).alias("w"), i.cast("long").alias("at")
+                ),
+            )
+        )
+        text = lambda held, i: F.coalesce(F.get(held, i)["w"], F.lit(""))
+        return _let(
+            windows,
+            lambda held: F.transform(
+                F.filter(held, lambda x, i: (text(held, i + 1) == x["w"]) | (text(held, i - 1) == x["w"])),
+                lambda x: x["at"],
+            ),
+        )
+
     def repeated(found: Column, packed: Column, mask: Column) -> Column:
-        def same(a: Column, b: Column) -> Column:
-            equal = a.bitwiseXOR(b).between(0, mask)
+        def next_one(key: Column, i: Column) -> Column:
+            # 1 if the next window has the same words, 2 if only the same rest of the hash.
+            after = F.get(packed, i + 1)
+            equal = F.lit(True)
             for k in range(3):
-                one, other = (F.get(found, x.bitwiseAND(mask).cast("int") + k) for x in (a, b))
+                one, other = (F.get(found, x.bitwiseAND(mask).cast("int") + k) for x in (key, after))
                 equal = equal & (one == other)
-            return F.coalesce(equal, F.lit(False))
+            alike = F.coalesce(key.bitwiseXOR(after).between(0, mask), F.lit(False))
+            return F.when(~alike, 0).when(equal, 1).otherwise(2)
+
+        def plain(links: Column) -> Column:
+            return F.filter(packed, lambda key, i: (F.get(links, i) == 1) | (F.coalesce(F.get(links, i - 1), F.lit(0)) == 1))
 
-        again = F.filter(
-            packed,
-            lambda key, i: same(key, F.get(packed, i + 1)) | same(key, F.get(packed, i - 1)),
+        starts = _let(
+            F.transform(packed, next_one),
+            lambda links: F.when(F.array_contains(links, 2), by_words(found)).otherwise(
+                F.transform(plain(links), lambda key: key.bitwiseAND(mask))
+            ),
         )
-        starts = F.sort_array(F.transform(again, lambda key: key.bitwiseAND(mask)))
+        starts = F.sort_array(starts)
         # Each start covers three words, fewer where the next start is nearer.
         return F.aggregate(
             starts,
@@ -112,12 +131,13 @@ def _mask(n: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), F.length(F.bin(n))) - 1
 
 
-COUNTS: dict[str, Callable[[Column], Column]] = {
-    "n_words": n_words,
-    "word_chars": word_chars,
-    "n_symbols": n_symbols,
-    "n_dup_lines": n_dup_lines,
-    "n_repeat_words": lambda text: n_repeat_words(words(text)),
+# Of a text and its words.
+COUNTS: dict[str, Callable[[Column, Column], Column]] = {
+    "n_words": lambda text, words: F.size(words).cast("long"),
+    "word_chars": lambda text, words: F.char_length(F.array_join(words, "")).cast("long"),
+    "n_symbols": lambda text, words: n_symbols(text),
+    "n_dup_lines": lambda text, words: n_dup_lines(text),
+    "n_repeat_words": lambda text, words: n_repeat_words(words),
 }
 
 
@@ -128,9 +148,9 @@ class Rule(NamedTuple):
     counts: tuple[str, ...]
     test: Callable[..., Column]
 
-    def broken(self, text: Column) -> Column:
-        """By the text, counting just what the rule needs."""
-        return self.test(*[COUNTS[count](text) for count in self.counts])
+    def broken(self, text: Column, words: Column) -> Column:
+        """By the text, whose words are there, counting just what the rule needs."""
+        return self.test(*[COUNTS[count](text, words) for count in self.counts])
 
     def broken_by(self, counts: Column) -> Column:
         """By counts that are there already."""
@@ -175,13 +195,16 @@ def _text(column: str) -> Column:
 def estimates(
     docs: DataFrame, rules: Sequence[Rule] = RULES, column: str = "text", sample: int = SAMPLE
 ) -> list[Estimate]:
-    """Cost and rejections of each rule on at most ``sample`` documents, best first."""
-    tried = settled(
-        docs.select(F.col(f"`{column}`").alias("text")).limit(sample), "quality-sample"
-    )
+    """Cost and rejections of each rule on a sample of about ``sample`` documents, best first.
+
+    The words are there before, as all rules share them.
+    """
+    texts = docs.select(_text(f"`{column}`").alias("text"))
+    texts = texts.sample(min(1.0, sample / max(1, docs.count())), seed=0)
+    tried = settled(texts.select("text", words(F.col("text")).alias("words")), "quality-sample")
     found = []
     for rule in rules:
-        rejections = tried.agg(F.avg(rule.broken(_text("text")).cast("int")))
+        rejections = tried.agg(F.avg(rule.broken(F.col("text"), F.col("words")).cast("int")))
         rejections.first()  # compiled now, so that only the rule is timed
         started = time.perf_counter()
         rejected = rejections.first()[0] or 0.0
@@ -206,8 +229,11 @@ def keep(
     not, play no part. An empty table gives none.
     """
     ordered = [e.rule for e in estimates(docs, rules, column, sample)]
-    text = _text(f"`{column}`")
-    return docs.filter(verdict(ordered, lambda rule: rule.broken(text)).isNull())
+    # explode() keeps the words a value that is there, cut out once for all rules.
+    held = wrapped(docs)
+    text = _text(f"row.`{column}`")
+    cut = held.select("row", F.explode(F.array(words(text))).alias("words"))
+    return unwrapped(cut.filter(verdict(ordered, lambda rule: rule.broken(text, F.col("words"))).isNull()))
 
 
 def measures(docs: DataFrame, column: str = "text") -> DataFrame:
@@ -222,11 +248,7 @@ def measures(docs: DataFrame, column: str = "text") -> DataFrame:
         .withColumn(
             "quality",
             F.struct(
-                F.size("_words").cast("long").alias("n_words"),
-                F.char_length(F.array_join("_words", "")).cast("long").alias("word_chars"),
-                n_symbols(text).alias("n_symbols"),
-                n_dup_lines(text).alias("n_dup_lines"),
-                n_repeat_words(F.col("_words")).alias("n_repeat_words"),
+                *(count(text, F.col("_words")).alias(name) for name, count in COUNTS.items()),
             ),
         )
     )

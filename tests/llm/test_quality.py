@@ -1,3 +1,5 @@
+import random
+
 from pyspark.sql import functions as F
 
 from pulsegauge.llm import quality
@@ -34,10 +36,21 @@ def test_repeats(spark):
     assert found == {i: brute.quality(t)[4] for i, t in rows}
 
 
+def test_windows_that_share_the_rest_of_a_hash(spark, monkeypatch):
+    # Four bits of the hash are left, so most windows share them with others.
+    monkeypatch.setattr(quality, "_mask", lambda n: F.lit((1 << 60) - 1))
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choice("abc") for _ in range(rng.randint(4, 60)))) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r[0]: r[1] for r in docs.select("doc_id", quality.n_repeat_words(quality.words(F.col("text")))).collect()}
+    assert found == {i: brute.quality(t)[4] for i, t in rows}
+
+
 def test_order_does_not_change_the_verdict(spark, documents):
     text = F.coalesce("text", F.lit(""))
-    one = documents.filter(quality.verdict(quality.RULES, lambda r: r.broken(text)).isNull())
-    two = documents.filter(quality.verdict(quality.RULES[::-1], lambda r: r.broken(text)).isNull())
+    cut = quality.words(text)
+    one = documents.filter(quality.verdict(quality.RULES, lambda r: r.broken(text, cut)).isNull())
+    two = documents.filter(quality.verdict(quality.RULES[::-1], lambda r: r.broken(text, cut)).isNull())
     wanted = {i for i, t in texts(documents) if brute.quality(t)[-1]}
     assert {r["doc_id"] for r in one.collect()} == {r["doc_id"] for r in two.collect()} == wanted
 
