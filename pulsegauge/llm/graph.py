@@ -12,13 +12,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Every node links its larger neighbours to the smallest node it knows."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = settled(least, "least")
     joined = both.filter(F.col("v") > F.col("u")).join(least, "u")
     return joined.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Every node links itself and its smaller neighbours to the smallest of them."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
+    least = settled(edges.groupBy("u").agg(F.min("v").alias("m")), "least")
     others = edges.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return others.filter(F.col("u") != F.col("v")).unionByName(
         least.select("u", F.col("m").alias("v"))
@@ -30,8 +31,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     Stars are built in turn from larger and smaller neighbours until nothing changes,
     which takes about the logarithm of the longest path. Smallest neighbours come from
-    an aggregate that is joined back, so that a node with very many edges is summed in
-    parts and its edges stay spread. Loops and edges with a null are left out.
+    an aggregate that is written and joined back, so that a node with very many edges is
+    summed in parts, and the join can split its edges: adaptive execution does so only
+    where both sides come straight from a shuffle. Loops and edges with a null are left out.
     """
     now = settled(
         edges.filter("u is not null and v is not null and u <> v")
