@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import id_bytes
+from .bpe import vocabulary as id_table
 
 # The id of a byte is the byte; this one ends a document of bytes.
 END_OF_TEXT = 256
@@ -145,10 +146,12 @@ def _documents(
         if found is not None:
             pass
         elif pa.types.is_binary(held.type):
-            found = np.frombuffer(ids.as_buffer(), dtype=f"<u{width}") if ids.is_valid else ()
+            found = _fitting(np.frombuffer(ids.as_buffer(), dtype=f"<u{width}"), kind) if ids.is_valid else ()
         else:
-            found = _numbers(ids.values) if ids.is_valid else ()
-        yield Segment(name, 0, np.append(_fitting(np.asarray(found), kind), np.array([end], dtype=kind)))
+            found = _fitting(_numbers(ids.values), kind) if ids.is_valid else ()
+        own = np.empty(len(found) + 1, dtype=kind)
+        own[:-1], own[-1] = found, end
+        yield Segment(name, 0, own)
 
 
 def _numbers(ids: pa.Array) -> np.ndarray:
@@ -187,8 +190,10 @@ def pack(
     id in a list. Other columns play no part. An empty table gives no rows.
     """
     kind = np.dtype(f"<u{out_bytes}")
-    if not 0 <= max(end, length - 1) <= np.iinfo(kind).max:
-        raise ValueError(f"ids of {out_bytes} bytes cannot hold {end} and positions up to {length - 1}")
+    # What a vocabulary can give is known beforehand; other ids are looked at as they come.
+    largest = max(id_table(vocabulary).bytes) if vocabulary is not None else 0
+    if not 0 <= max(end, length - 1, largest) <= np.iinfo(kind).max:
+        raise ValueError(f"ids of {out_bytes} bytes cannot hold {max(end, largest)} and positions up to {length - 1}")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def documents(batch: pa.RecordBatch) -> Iterator[Segment]:
