@@ -66,3 +66,68 @@ def test_recall(spark, tables):
     wanted_ids = {(q, i) for q, v in wanted.items() for i, _ in v}
     assert len(found_ids) == len(wanted_ids)
     assert len(found_ids & wanted_ids) >= 0.9 * len(wanted_ids)
+
+
+def test_vectors_of_each_length_have_an_index_of_their_own(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=3 + i % 3).astype(np.float32).tolist()) for i in range(90)]
+    got = found(spark, rows, nearest=4, visited=1000)
+    for n in (3, 4, 5):
+        own = [r for r in rows if len(r[1]) == n]
+        for q, wanted in exact(own, lambda i: i % 2 == 0, 4).items():
+            assert [i for i, _ in got.pop(q)] == [i for i, _ in wanted]
+    assert got == {}
+
+
+def test_short_lists_go_on_to_further_files(spark):
+    rng = np.random.default_rng(6)
+    centres = np.eye(3) * 10
+    rows = [(i, (centres[i % 3] + rng.normal(size=3) * 0.01).astype(np.float32).tolist()) for i in range(30)]
+    wanted = exact(rows, lambda i: i % 2 == 0, 20)
+    got = found(spark, rows, pivots=30, visited=1)
+    assert {q: [i for i, _ in v] for q, v in got.items()} == {q: [i for i, _ in v] for q, v in wanted.items()}
+    assert {len(v) for v in found(spark, rows).values()} == {20}
+
+
+def test_copies_are_found_by_their_smallest_ids(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, rng.normal(size=8).astype(np.float32).tolist()) for i in range(300)]
+    hot = [100.0] * 8
+    rows += [(1000 + i, hot) for i in range(150)]
+    # The same vec_id with other vectors: the better one counts.
+    rows += [(1001, [200.0] * 8), (1003, rows[5][1])]
+    got = found(spark, rows, nearest=10)
+    for q in range(1000, 1150, 2):
+        assert [i for i, _ in got[q]] == [i for i in [1001, 1000, *range(1002, 1012)] if i != q][:10]
+
+
+def test_best_takes_each_id_once():
+    score = np.array([1.0, 3.0, 3.0, 2.0, 3.0])
+    ids = [[1, 2], [5, 9], [5], [4], [7, 8]]
+    assert neighbours._best(score, ids, 4) == [(3.0, 5), (3.0, 7), (3.0, 8), (3.0, 9)]
+    assert neighbours._best(score, ids, 6) == [(3.0, 5), (3.0, 7), (3.0, 8), (3.0, 9), (2.0, 4), (1.0, 1)]
+
+
+def test_settings_follow_the_structure_of_the_vectors(spark):
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(40, 16)) * 5
+    tight = [(i, (centres[i % 40] + rng.normal(size=16) * 0.1).tolist()) for i in range(3000)]
+    loose = [(i, rng.normal(size=16).tolist()) for i in range(3000)]
+    seen = []
+
+    def spy(*args):
+        seen.append(real(*args))
+        return seen[-1]
+
+    real = neighbours._fitted
+    neighbours._fitted = spy
+    try:
+        for rows in (tight, loose):
+            got = found(spark, rows)
+            wanted = exact(rows, lambda i: i % 100 == 0, 20)
+            hits = sum(len({i for i, _ in v} & {i for i, _ in got[q]}) for q, v in wanted.items())
+            assert hits >= 0.9 * 20 * len(wanted)
+    finally:
+        neighbours._fitted = real
+    (near, _), (wide, _) = seen
+    assert near[16] < wide[16]
