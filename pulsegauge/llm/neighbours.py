@@ -145,17 +145,24 @@ def _describing(
     return describe
 
 
-def _best(score: np.ndarray, ids: list[list[int]], most: int) -> list[tuple[float, int]]:
-    """The best ``most`` ids of vectors with these scores, each id once."""
-    first = np.array([of[0] for of in ids], dtype=np.int64)
-    ranked = np.lexsort((first, -score))
-    # A vector beyond so many with different first ids has no id among the best.
+def _best(score: np.ndarray, first: np.ndarray, ids: np.ndarray, most: int) -> list[tuple[float, int]]:
+    """The best ``most`` ids of vectors with these scores and ids, each id once.
+
+    ``first`` is the smallest id of each vector.
+    """
     taken = most
-    while taken < len(ranked) and len(set(first[ranked[:taken]].tolist())) < most:
+    while True:
+        # A vector beyond so many with different first ids has no id among the best.
+        if taken < len(score):
+            some = np.flatnonzero(score >= np.partition(score, len(score) - taken)[len(score) - taken])
+        else:
+            some = np.arange(len(score))
+        ranked = some[np.lexsort((first[some], -score[some]))][:taken]
+        if taken >= len(score) or len(set(first[ranked].tolist())) >= most:
+            break
         taken *= 2
-    every = sorted((-float(score[i]), x) for i in ranked[:taken].tolist() for x in ids[i])
     out: dict[int, float] = {}
-    for s, x in every:
+    for s, x in sorted((-float(score[i]), x) for i in ranked.tolist() for x in ids[i]):
         if x not in out:
             out[x] = -s
             if len(out) == most:
@@ -174,7 +181,9 @@ def _meeting(
             n, pivot = block.column("n")[0].as_py(), block.column("pivot")[0].as_py()
             count = len(pivots[n])
             vectors, orders = _vectors(block.column("vector")), _orders(block.column("order"))
-            ids = block.column("ids").to_pylist()
+            ids = np.empty(block.num_rows, dtype=object)
+            ids[:] = block.column("ids").to_pylist()
+            first = np.array([of[0] for of in ids], dtype=np.int64)
             asked = _vectors(queries.column("vector"))
             for start in range(0, len(asked), 256):
                 some = asked[start : start + 256]
@@ -186,7 +195,7 @@ def _meeting(
                     here = np.flatnonzero(place[orders].min(axis=1) == place[pivot])
                     if far[n] < math.inf:
                         here = here[footrule(order, orders[here], count) <= far[n]]
-                    best = _best(exact(vectors[here], vector), [ids[i] for i in here.tolist()], most)
+                    best = _best(exact(vectors[here], vector), first[here], ids[here], most)
                     out[0].extend([key] * len(best))
                     out[1].extend(x for _, x in best)
                     out[2].extend(s for s, _ in best)
@@ -267,7 +276,8 @@ def _fitted(
     held: DataFrame, askers: DataFrame, pivots: Pivots, posted: dict[int, int], nearest: int, target: float
 ) -> tuple[dict[int, int], dict[int, float]]:
     """How many files to visit and up to which distance to rerank, for each length."""
-    first = Window.partitionBy("n").orderBy("key")
+    # Pivots have the smallest hashes and would find their neighbours too easily.
+    first = Window.partitionBy("n").orderBy(F.desc("key"))
     sample: dict[int, list] = {}
     for r in (
         askers.withColumn("n", F.expr("cast(octet_length(vector) / 8 as int)"))

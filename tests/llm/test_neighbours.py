@@ -103,9 +103,11 @@ def test_copies_are_found_by_their_smallest_ids(spark):
 
 def test_best_takes_each_id_once():
     score = np.array([1.0, 3.0, 3.0, 2.0, 3.0])
-    ids = [[1, 2], [5, 9], [5], [4], [7, 8]]
-    assert neighbours._best(score, ids, 4) == [(3.0, 5), (3.0, 7), (3.0, 8), (3.0, 9)]
-    assert neighbours._best(score, ids, 6) == [(3.0, 5), (3.0, 7), (3.0, 8), (3.0, 9), (2.0, 4), (1.0, 1)]
+    ids = np.empty(5, dtype=object)
+    ids[:] = [[1, 2], [5, 9], [5], [4], [7, 8]]
+    first = np.array([x[0] for x in ids])
+    assert neighbours._best(score, first, ids, 4) == [(3.0, 5), (3.0, 7), (3.0, 8), (3.0, 9)]
+    assert neighbours._best(score, first, ids, 6) == [(3.0, 5), (3.0, 7), (3.0, 8), (3.0, 9), (2.0, 4), (1.0, 1)]
 
 
 def test_settings_follow_the_structure_of_the_vectors(spark):
