@@ -8,6 +8,9 @@ so that the words taken come near the target and not just the number of document
 
 A source's line is summed in slices, so no source has to fit in a task: a slice is a
 band of sizes and one of ``SALTS`` shares, and its place on the line comes from counts.
+A band with more than ``SLICE`` documents to a share is cut further by its own counts:
+between sizes, and within a size that is too frequent by the hash its documents are
+ordered by. Cuts follow the order of the line, so they change no result.
 """
 
 from __future__ import annotations
@@ -17,14 +20,14 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, row_hash, unwrapped, wrapped
+from .common import WORD, row_hash, settled, unwrapped, wrapped
 
 WEIGHTS = (1.0, 2.0, 3.0)
 # No source is taken more often than this.
 MOST = 3.0
-# Shares of a band of sizes. At 16 x 240 bands the largest slice of a source holds
-# about a thousandth of it.
+# Shares of a band of sizes, and the documents of a share from which on it is cut further.
 SALTS = 16
+SLICE = 65_536
 SEED = 1
 SPAN = 1 << 32
 
@@ -85,6 +88,61 @@ def targets(
     return levelled.select("source", "source_size", target.alias("target"))
 
 
+def _key(source: Column) -> Column:
+    """A source as text that is never null, so that rows are joined by plain equality."""
+    return F.coalesce(F.concat(F.lit("="), source), F.lit(""))
+
+
+def _cuts(counts: DataFrame) -> DataFrame:
+    """For each source and band with too many documents, ``cuts``: where its parts begin.
+
+    A part begins at ``start`` and holds sizes until the next. A size that is too frequent
+    by itself is a part of its own, cut by so many ``digits`` of the hash. There is at most
+    a part for every ``SLICE`` documents of each share, twice.
+    """
+    most = SALTS * SLICE
+    in_band = Window.partitionBy("_source", "_band")
+    before = in_band.orderBy("_size").rowsBetween(Window.unboundedPreceding, -1)
+    # Of the first four digits the last is the share, so that it cuts nothing.
+    needed = F.ceil(F.log(16.0, F.col("n") / most)).cast("int")
+    needed = F.greatest(F.lit(1), F.least(needed, F.lit(11)))
+    digits = F.when(F.col("n") > most, needed + F.when(needed > 3, 1).otherwise(0)).otherwise(0)
+    parts = (
+        counts.groupBy("_source", "_band", "_size")
+        .agg(F.sum("n").alias("n"))
+        .withColumn("all", F.sum("n").over(in_band))
+        .withColumn("part", F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / most))
+        .filter(F.col("all") > most)
+        .withColumn("digits", digits)
+        .groupBy("_source", "_band", "part", (F.col("digits") > 0).alias("frequent"))
+        .agg(F.min("_size").alias("start"), F.max("digits").alias("digits"))
+    )
+    return parts.groupBy("_source", "_band").agg(
+        F.array_sort(F.collect_list(F.struct("start", "digits"))).alias("cuts")
+    )
+
+
+def _cut(rows: DataFrame, cuts: DataFrame) -> DataFrame:
+    """``_part`` of a band, and ``_fine``, the share of a size by hash, both in the line's order.
+
+    Rows without a doc_id have no hash; they come first, in the order of ``_tie``.
+    """
+    begun = F.coalesce(F.size(F.filter("cuts", lambda c: c["start"] <= F.col("_size"))), F.lit(0))
+    # The cuts are a row for at least a million documents, so they are small beside them.
+    found = (
+        rows.join(F.broadcast(cuts), ["_source", "_band"], "left")
+        .withColumn("_part", F.when(F.col("cuts").isNull(), 0).otherwise(begun))
+        .withColumn("_digits", F.coalesce(F.get("cuts", F.col("_part") - 1)["digits"], F.lit(0)))
+        .drop("cuts")
+    )
+    if "_tie" not in found.columns:
+        return found.withColumn("_fine", F.lit(0).cast("long"))
+    hashed = F.conv(F.substr(F.col("_md5"), F.lit(1), F.col("_digits")), 16, 10).cast("long")
+    unhashed = F.expr("shiftright(_tie, 64 - 4 * _digits) - shiftleft(1L, 4 * _digits)")
+    fine = F.when(F.col("_md5") == "", unhashed).otherwise(hashed)
+    return found.withColumn("_fine", F.when(F.col("_digits") > 0, fine).otherwise(0).cast("long"))
+
+
 def mix(
     docs: DataFrame,
     weights: Sequence[float] = WEIGHTS,
@@ -105,44 +163,51 @@ def mix(
     placed = (
         wrapped(kept, _tie=row_hash(kept))
         .withColumn("_size", counted.cast("long"))
-        .withColumn("_source", F.col("row.source"))
+        .withColumn("_source", _key(F.col("row.source")))
         .withColumn("_md5", F.coalesce(F.md5(F.col("row.doc_id").cast("string")), F.lit("")))
         .withColumn("_band", band("_size"))
         .withColumn("_salt", F.conv(F.substr("_md5", F.lit(1), F.lit(4)), 16, 10).cast("long") % SALTS)
         .withColumn("_salt", F.coalesce("_salt", F.pmod("_tie", F.lit(SALTS))))
     )
-    slices = placed.groupBy("_source", "_band", "_salt").agg(
-        F.count("*").alias("n"), F.sum("_size").alias("words")
-    )
-    sources = targets(
-        slices.groupBy(F.col("_source").alias("source")).agg(F.sum("words").alias("source_size")),
-        weights,
-        most,
-    ).withColumn(
-        "offset",
-        _share(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("")))) / F.lit(float(SPAN)),
-    )
-    line = Window.partitionBy("_source").orderBy("_band", "_salt")
-    starts = slices.select(
-        F.col("_source").alias("source"),
-        F.col("_band").alias("b"),
-        F.col("_salt").alias("s"),
-        (F.sum("n").over(line) - F.col("n")).alias("start"),
+    counts = settled(
+        placed.groupBy("_source", "_band", "_salt", "_size").agg(
+            F.first("row.source").alias("source"), F.count("*").alias("n")
+        ),
+        "sizes",
     )
-    known = (
-        starts.alias("l")
-        .join(sources.alias("r"), F.col("l.source").eqNullSafe(F.col("r.source")))
-        .select("l.source", "b", "s", "start", "source_size", "target", "offset")
+    cuts = settled(_cuts(counts), "cuts")
+    cutting = not cuts.isEmpty()
+    if cutting:
+        placed, counts = _cut(placed, cuts), _cut(counts.withColumn("_md5", F.lit("")), cuts)
+    else:
+        uncut = {"_part": F.lit(0), "_digits": F.lit(0), "_fine": F.lit(0).cast("long")}
+        placed, counts = placed.withColumns(uncut), counts.withColumns(uncut)
+    slice_of = ["_source", "_band", "_salt", "_part", "_fine"]
+    slices = counts.filter("_digits = 0").groupBy(slice_of).agg(F.sum("n").alias("n"))
+    if cutting:
+        frequent = placed.filter("_digits > 0").groupBy(slice_of).agg(F.count("*").alias("n"))
+        slices = slices.unionByName(frequent)
+    sources = (
+        targets(
+            counts.groupBy("_source")
+            .agg(F.first("source").alias("source"), F.sum(F.col("n") * F.col("_size")).alias("source_size"))
+            .drop("_source"),
+            weights,
+            most,
+        )
+        .withColumn(
+            "offset",
+            _share(F.concat(F.lit(f"{seed}:"), F.coalesce("source", F.lit("")))) / F.lit(float(SPAN)),
+        )
+        .select(_key(F.col("source")).alias("_source"), "source_size", "target", "offset")
     )
-    within = Window.partitionBy("_source", "_band", "_salt").orderBy(
+    line = Window.partitionBy("_source").orderBy(slice_of[1:])
+    known = slices.withColumn("start", F.sum("n").over(line) - F.col("n")).join(sources, "_source").drop("n")
+    within = Window.partitionBy(slice_of).orderBy(
         "_size", "_md5", F.col("row.doc_id").asc_nulls_last(), "_tie"
     )
-    ranked = placed.withColumn("_rank", F.row_number().over(within)).join(
-        known,
-        F.col("_source").eqNullSafe(F.col("source"))
-        & (F.col("_band") == F.col("b"))
-        & (F.col("_salt") == F.col("s")),
-    )
+    # Slices are joined by what the rows are partitioned by already.
+    ranked = placed.withColumn("_rank", F.row_number().over(within)).join(known, slice_of)
     expected = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     place = F.col("start") + F.col("_rank")
     copies = F.floor(place * expected + F.col("offset")) - F.floor(

@@ -70,3 +70,38 @@ def test_bands_rise_with_sizes(spark):
     assert all(x["b"] <= y["b"] for x, y in product(found[:1], found)) and [
         r["b"] for r in found
     ] == sorted(r["b"] for r in found)
+
+
+def cut_rows(n=3000):
+    """Sizes of which one is a third of all, one source with half of all, some without a doc_id."""
+    size = [7 if i % 3 == 0 else 40 + i % 23 if i % 3 == 1 else 300 + i * i % 700 for i in range(n)]
+    return [
+        (None if i % 50 == 0 else i, "hot" if i % 2 else f"s{i % 5}" if i % 5 else None, f"t{i} " + "w " * (size[i] - 1))
+        for i in range(n)
+    ]
+
+
+def test_cutting_slices_changes_no_result(spark, monkeypatch):
+    docs = spark.createDataFrame(cut_rows(), "doc_id long, source string, text string")
+    wanted = sorted(map(repr, mixing.mix(docs).collect()))
+    for most in (1, 3, 20):
+        monkeypatch.setattr(mixing, "SLICE", most)
+        assert sorted(map(repr, mixing.mix(docs).collect())) == wanted
+
+
+def test_no_slice_is_much_larger_than_asked_for(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "SLICE", 10)
+    rows = [(i, "one", "w " * 12) for i in range(20_000)] + [(None, "one", f"x{i} " + "w " * 11) for i in range(20_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    seen = []
+    real = mixing._cut
+
+    def spy(table, cuts):
+        seen.append(real(table, cuts))
+        return seen[-1]
+
+    monkeypatch.setattr(mixing, "_cut", spy)
+    taken = mixing.mix(docs).agg({"mix.copies": "sum"}).first()[0]
+    assert taken == pytest.approx(40_000, abs=1)
+    slices = seen[0].groupBy("_source", "_band", "_salt", "_part", "_fine").count()
+    assert max(r["count"] for r in slices.collect()) <= 40
