@@ -1,3 +1,5 @@
+import pytest
+
 from pulsegauge.llm import urls
 
 
@@ -51,3 +53,37 @@ def test_empty_lists_and_tables(spark):
     assert judged(spark, []) == {}
     repeated = spark.createDataFrame([(1, "x"), (1, "x")], "page_id long, url string")
     assert urls.judge(repeated).count() == 2
+
+
+def test_a_vocabulary_of_weights(spark):
+    table = spark.createDataFrame(
+        [("Online-Casino", 1.0), ("online casino", 0.2), ("slots", 0.6), ("spin", 0.4), ("now", 0.1), ("été", 2.0),
+         ("bad", None), ("worse", -1.0), ("worst", float("nan")), (None, 1.0), (" / ", 1.0)],
+        "term string, weight double",
+    )
+    terms = urls.read_vocabulary(table)
+    assert dict(terms) == {"online casino": 1.0, "slots": 0.6, "spin": 0.4, "now": 0.1, "été": 2.0}
+    cases = [
+        ("http://online.casino.org/", "block", (1, 0, 1.0)),
+        ("http://a.org/ONLINE_-_casino", "block", (1, 0, 1.0)),
+        ("http://a.org/onlinecasino", "allow", (0, 0, 0.0)),
+        ("http://a.org/online/x/casino", "allow", (0, 0, 0.0)),
+        ("http://a.org/slots/spin", "block", (0, 2, 1.0)),
+        ("http://a.org/slots/slots/now", "allow", (0, 2, 0.7)),
+        ("http://a.org/l-été-1", "block", (1, 0, 2.0)),
+        ("http://a.org/bad/worse/worst", "allow", (0, 0, 0.0)),
+    ]
+    found = judged(spark, [(i, c[0], None, None) for i, c in enumerate(cases)], terms=terms)
+    for i, (url, verdict, hits) in enumerate(cases):
+        assert (found[i]["verdict"], (found[i]["strict"], found[i]["soft"], found[i]["weight"])) == (verdict, hits), url
+    tenths = [urls.Term(f"t{i}", 0.1) for i in range(10)]
+    url = "http://a.org/" + "/".join(t.term for t in tenths)
+    assert judged(spark, [(1, url, None, None)], terms=tenths)[1]["verdict"] == "block"
+    assert judged(spark, [(1, url, None, None)], terms=tenths, limit=1.1)[1]["verdict"] == "allow"
+
+
+def test_a_vocabulary_too_large_is_refused(spark, monkeypatch):
+    monkeypatch.setattr(urls, "MOST_CHARACTERS", 3)
+    with pytest.raises(ValueError):
+        urls.read_vocabulary(spark.createDataFrame([("casino", 1.0)], "term string, weight double"))
+    assert urls.read_vocabulary(spark.createDataFrame([], "term string, weight double")) == ()
