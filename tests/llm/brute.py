@@ -211,3 +211,100 @@ def near_duplicates(docs):
     return [
         (doc_id, len(s), least.get(c), doc_id == least.get(c)) for (doc_id, _), s, c in zip(docs, sets, component)
     ]
+
+
+OPENING = re.compile(r"""^[("'\[<]+""")
+CLOSING = re.compile(r"""[)"'\]>.,;:!?]+$""")
+GROUP = re.compile(r"[(+]*[0-9]([0-9()./-]*[0-9)])?")
+LAST_GROUP = re.compile(r"""[(+]*[0-9][0-9()./-]*[)"'\]>.,;:!?]*""")
+
+
+def bare(word):
+    return CLOSING.sub("", OPENING.sub("", word))
+
+
+def followed(text, most_digits=19):
+    """For each token its context, what is found at it, what follows the context, and its kind."""
+    cut = [(m.start(), m.end(), m[0]) for m in WORD.finditer(text)]
+    base = [(a, b, k) for k, found in identifiers(text).items() for a, b in found]
+    for i, (first, last, word) in enumerate(cut):
+        start = last - len(OPENING.sub("", word))
+        found = [(start, start + len(bare(word)), bare(word))]
+        joined = word
+        for k in range(i + 1, len(cut)):
+            gap, group = text[cut[k - 1][1] : cut[k][0]], cut[k][2]
+            joined += " " + group
+            if (
+                not GROUP.fullmatch(cut[k - 1][2])
+                or not (GROUP.fullmatch(group) or LAST_GROUP.fullmatch(group))
+                or re.search(r"[\x0A-\x0D]", gap)
+                or len(re.sub("[^0-9]", "", joined)) > most_digits
+            ):
+                break
+            found.append((start, cut[k][0] + len(CLOSING.sub("", group)), bare(joined)))
+        found = [f for f in found if f[0] < f[1] and not any(a < f[1] and f[0] < b for a, b, _ in base)]
+        begun = next(((text[a:b], k) for a, b, k in base if first <= a < last), None)
+        value, kind = begun or (found[-1][2] if found else None, None)
+        context = f"{cut[i - 2][2]} {cut[i - 1][2]}".lower() if i >= 2 else None
+        yield context, found, value, kind
+
+
+def bootstrap(all_texts, confident=0.8, support=5, share=0.5):
+    """``value`` to ``kind``: what patterns around the fixed forms vouch for.
+
+    A fixed form counts where it stands as one. Rounds end when one brings neither a
+    pattern nor an instance.
+    """
+    distinct = sorted({t or "" for t in all_texts})
+    places = [p for t in distinct for p in followed(t)]
+    seeds = {(t[a:b], k) for t in distinct for k, found in identifiers(t).items() for a, b in found}
+    known = {v for v, _ in seeds}
+    met = {(c, k, v) for c, _, v, k in places if c is not None and k is not None}
+    patterns = {p for p, n in Counter((c, k) for c, k, _ in met).items() if n >= support}
+    occurrences = Counter(c for c, *_ in places if c is not None)
+    # Of what follows a context, fixed forms and all the rest.
+    fixed = Counter((c, v) for c, _, v, k in places if c is not None and k is not None)
+    other = Counter((c, v) for c, _, v, _ in places if c is not None and v is not None and v not in known)
+    everywhere = Counter(bare(w) for t in distinct for w in words(t))
+    everywhere.update(v for _, found, _, _ in places for _, _, v in found if " " in v)
+    scores, ever = {s: 1.0 for s in seeds}, set()
+    while True:
+        scored = Counter()
+        for (c, v), n in (fixed + other).items():
+            for kind in identifiers(""):
+                if (c, kind) in patterns and (v, kind) in scores:
+                    scored[c, kind] += n * scores[v, kind]
+        vouching = {p: s / occurrences[p[0]] for p, s in scored.items() if s / occurrences[p[0]] >= confident}
+        more = {c for c, _ in vouching} - ever
+        ever |= more
+        against, n_in = defaultdict(lambda: 1.0), Counter()
+        for (c, v), n in other.items():
+            for kind in identifiers(""):
+                if (c, kind) in vouching:
+                    against[v, kind] *= max(1 - vouching[c, kind], 1e-9)
+                    n_in[v, kind] += n
+        vouched = {s: 1 - against[s] for s, n in n_in.items() if n / everywhere[s[0]] >= share}
+        new = set(vouched) - set(scores)
+        for s, score in vouched.items():
+            scores[s] = max(score, scores.get(s, 0.0))
+        if not new and not more:
+            break
+    best = {}
+    for (v, kind), score in scores.items():
+        if v not in known:
+            best[v] = max(best.get(v, (score, kind)), (score, kind))
+    return {v: kind for v, (_, kind) in best.items()}
+
+
+def all_identifiers(all_texts, **options):
+    """The fixed and the learnt spans of each text, listed."""
+    learnt = bootstrap(all_texts, **options)
+    rows = []
+    for text in all_texts:
+        spans = {k: list(found) for k, found in identifiers(text).items()}
+        for _, found, _, _ in followed(text or ""):
+            good = [f for f in found if f[2] in learnt]
+            if good:
+                spans[learnt[good[-1][2]]].append(good[-1][:2])
+        rows.append(listed({k: sorted(found) for k, found in spans.items()}))
+    return learnt, rows

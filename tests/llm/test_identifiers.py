@@ -1,5 +1,7 @@
+import random
 import re
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -133,3 +135,60 @@ def test_any_form_after_a_confident_context(spark):
         7: "phone:14:22",
         8: "",
     }
+
+
+def chatter(seed, size=400):
+    """Lines in which contexts are followed by fixed forms, other forms, numbers in groups and words."""
+    rng = random.Random(seed)
+    shares = {c: rng.choice([0.3, 0.7, 0.8, 0.9, 0.95]) for c in CONTEXTS}
+    other = [f"u{i}(at)host{i}" for i in range(12)] + [f"555 01{i} 99{i}" for i in range(10, 22)]
+    other += [f"0{i}-{i}{i}" for i in range(10, 20)]
+
+    def fixed(kind):
+        n = rng.randrange(40)
+        forms = {
+            "email": f"anna{n}@example.com",
+            "phone": f"+1 (555) 010-{1000 + n}",
+            "ip": f"10.0.{n}.7",
+            "card": f"4532 0151 1283 0366 {n}" if n % 7 == 0 else "4532015112830366",
+        }
+        return forms[kind]
+
+    lines = []
+    for i in range(size):
+        parts = [rng.choice(FILLER) for _ in range(rng.randrange(3))]
+        for _ in range(rng.randrange(1, 4)):
+            context = rng.choice(list(CONTEXTS))
+            last = rng.choice(other if rng.random() < 0.8 else FILLER)
+            if rng.random() < shares[context]:
+                last = fixed(CONTEXTS[context])
+            around = rng.choice(["{}", "{}", "({})", "{},", "\"{}\"."])
+            parts += [rng.choice([context, context.upper()]), around.format(last)]
+            parts += [rng.choice(FILLER) for _ in range(rng.randrange(4))]
+        if rng.random() < 0.1:
+            parts.append(rng.choice(other))
+        lines.append(rng.choice([" ", " ", "  ", "\n"]).join(parts))
+    return [*lines, *lines[:9], None, ""]
+
+
+CONTEXTS = {
+    "mail me": "email",
+    "write to": "email",
+    "ring us": "phone",
+    "call on": "phone",
+    "the host": "ip",
+    "paid by": "card",
+    "or on": "phone",
+    "see 2024": "email",
+}
+FILLER = "the or on at by and now then x é🙂 we 12 (so) 1984, line4".split()
+
+
+@pytest.mark.parametrize("seed", [0, 3])
+def test_learnt_spans_are_those_of_a_plain_bootstrap(spark, seed):
+    rows = chatter(seed)
+    learnt_values, wanted = brute.all_identifiers(rows)
+    assert learnt_values
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
+    spans = {r["doc_id"]: r["spans"] for r in identifiers.report(docs).collect()}
+    assert [spans[i] for i in range(len(rows))] == wanted
