@@ -123,17 +123,21 @@ def _sliced(
     spark = rows.sparkSession
     rows = rows.withColumn("_hour", _hour(rows, order_by))
     counts = rows.groupBy(key, "_hour").agg(F.count("*").alias("_rows"))
+    # Of hours there is one row each; they are numbered by what lies before them.
+    earlier = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.withColumn("_earlier", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     hours = stored(counts, working_folder(spark, "hours"))
     total = hours.agg(F.sum("_rows")).first()[0] or 0
     slices = max(1, math.ceil(total / ROWS_PER_SLICE)) if slices is None else slices
+    if slices == 1:
+        # So few readings need no cut points.
+        return rows.select(key, *order_by, "value", F.lit(0).alias("slice"), F.lit(False).alias("borrowed"))
     share = min(1.0, SAMPLED_PER_SLICE * slices / max(1, total))
     step = max(history + 1, round(share * total / slices))
-    # Of hours there is one row each; they are numbered by what lies before them.
-    earlier = Window.partitionBy(key).orderBy("_hour").rowsBetween(Window.unboundedPreceding, -1)
-    stretch = F.floor(F.coalesce(F.sum("_rows").over(earlier), F.lit(0)) * slices / (SLICES_PER_STRETCH * max(1, total)))
-    hours = stored(hours.withColumn("_stretch", stretch), working_folder(spark, "stretches"))
+    stretch = F.floor(F.col("_earlier") * slices / (SLICES_PER_STRETCH * max(1, total)))
+    stretches = hours.withColumn("_stretch", stretch)
     points = stored(
-        _by_hour(hours, _cut_points(rows, hours, key, order_by, history, share, step), key),
+        _by_hour(hours, _cut_points(rows, stretches, key, order_by, history, share, step), key),
         working_folder(spark, "cut-points"),
     )
     placed = _placed(rows, points, key, order_by)
