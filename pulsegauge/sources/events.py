@@ -43,6 +43,8 @@ THREADS = 16
 # Batches of the table as a stream.
 BATCHES = 4
 ROWS_PER_BATCH = 1_000_000
+# A batch's file is read by several tasks where it is larger than a few row groups.
+ROW_GROUP_BYTES = 1 << 20
 # Scatters delays over ids.
 SCATTER = 7919
 # The reader's last commit in the offsets binding.
@@ -78,12 +80,14 @@ def _prepared(application: str, folder: str, disorder_s: int) -> str:
     """A folder with the events in a file for each batch, written once for a session.
 
     The events are dealt out in one job. Streams take files in the order of their times,
-    which are set afterwards.
+    which are set afterwards. Row groups are small, as a task reads one at least and a batch
+    is worked off by as many tasks as read it.
     """
     spark = SparkSession.active()
     rows = events(spark, folder)
     target = working_folder(spark, "batches")
-    rows.withColumn("part", batches_of(rows, disorder_s)).repartition("part").write.partitionBy("part").parquet(target)
+    dealt = rows.withColumn("part", batches_of(rows, disorder_s)).repartition("part")
+    dealt.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).partitionBy("part").parquet(target)
     # By number, as there may be more than have the same count of digits.
     written = files.matching(spark, f"{target}/part=*/part-*")
     written.sort(key=lambda entry: int(entry.path.rsplit("part=", 1)[1].split("/")[0]))
