@@ -57,6 +57,10 @@ SUPPORT = 5
 MOST_DIGITS = 19
 # Of all occurrences of an instance, those that must stand in patterns that vouch for it.
 LEAST_SHARE = 0.5
+# Flags by which contexts are passed over before they are counted: so many for a pattern, in
+# words of 64, and words at most. With fewer flags more is counted, and the counts are the same.
+FLAGS = 16
+MOST_WORDS = 1 << 17
 
 
 def digits(text: Column) -> Column:
@@ -342,6 +346,42 @@ def _context() -> Column:
     return F.lower(F.concat_ws(" ", "a", "b")).alias("context")
 
 
+def _may_be_in(contexts: DataFrame) -> Callable[[Column], Column]:
+    """False for nearly all that is not one of the contexts, and true for all of them.
+
+    Their hashes set flags in an array of bounded size.
+    """
+    needed = FLAGS * contexts.count() // 64
+    words = min(1 << needed.bit_length(), MOST_WORDS)
+
+    def word(context: Column) -> Column:
+        return F.pmod(F.shiftrightunsigned(F.xxhash64(context), 6), F.lit(words)).cast("int")
+
+    def bit(context: Column) -> Column:
+        return F.xxhash64(context).bitwiseAND(F.lit(63)).cast("int")
+
+    mark = F.call_function("shiftleft", F.lit(1).cast("long"), bit(F.col("context")))
+    marks = contexts.select(word(F.col("context")).alias("word"), mark.alias("flags"))
+    marks = marks.unionByName(contexts.sparkSession.range(words).select(F.col("id").cast("int").alias("word"), F.lit(0).cast("long").alias("flags")))
+    marks = marks.groupBy("word").agg(F.bit_or("flags").alias("flags"))
+    listed = F.array_sort(F.collect_list(F.struct("word", "flags")))
+    flags = settled(marks.agg(listed["flags"].alias("flags")), "flags").scalar()
+    return lambda context: F.getbit(F.get(flags, word(context)), bit(context)) == 1
+
+
+def _occurrences(found: DataFrame, contexts: DataFrame) -> DataFrame:
+    """How often each of these contexts stands anywhere, ``all``.
+
+    They are counted before they are joined, so that the join has a row for each and not for
+    each occurrence; what the flags rule out is not counted. An inner join, as a semi join
+    would be taken below the counting.
+    """
+    # explode() keeps the context a value that is there.
+    held = _contexts(found).select(F.explode(F.array(_context())).alias("context"))
+    counted = held.filter(_may_be_in(contexts)(F.col("context"))).groupBy("context").agg(F.count("*").alias("all"))
+    return contexts.join(counted, "context")
+
+
 def _everywhere(found: DataFrame, words: DataFrame, values: DataFrame) -> DataFrame:
     """How often each ``value`` stands anywhere, as a token or as a number in several groups."""
     single = words.join(values, "value", "left_semi")
@@ -392,10 +432,7 @@ def learn(
     if patterns.isEmpty():
         return patterns.select(F.col("context").alias("value"), "kind")
     supported = patterns.select("context").distinct()
-    # Word pairs are counted before they are joined, so a common one goes out once per task.
-    pairs = _contexts(found).groupBy("a", "b").agg(F.count("*").alias("n"))
-    counted = pairs.select(_context(), "n").join(supported, "context", "left_semi")
-    occurrences = settled(counted.groupBy("context").agg(F.sum("n").alias("all")), "pattern-occurrences")
+    occurrences = settled(_occurrences(found, settled(supported, "supported")), "pattern-occurrences")
     known = seeds.select("value").distinct()
     scores = seeds.withColumn("score", F.lit(1.0))
     # What scored instances follow, what follows confident patterns, and how often that is anywhere.

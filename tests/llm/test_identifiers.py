@@ -192,3 +192,16 @@ def test_learnt_spans_are_those_of_a_plain_bootstrap(spark, seed):
     docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").repartition(5)
     spans = {r["doc_id"]: r["spans"] for r in identifiers.report(docs).collect()}
     assert [spans[i] for i in range(len(rows))] == wanted
+
+
+@pytest.mark.parametrize("most", [1, 1 << 17])
+def test_occurrences_are_counted_before_they_are_joined(spark, monkeypatch, most):
+    """A common pair of words makes one row of the join; so few flags that nothing is ruled out change nothing."""
+    monkeypatch.setattr(identifiers, "MOST_WORDS", most)
+    texts = [("k1", "Write to a write to b write TO c"), ("k2", "write to d"), ("k3", "x y z x y"), ("k4", "")]
+    found = spark.createDataFrame(texts * 50, "key string, text string")
+    wanted = spark.createDataFrame([("write to",), ("x y",), ("not there",)], "context string")
+    counted = identifiers._occurrences(found, wanted)
+    assert {r["context"]: r["all"] for r in counted.collect()} == {"write to": 200, "x y": 50}
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("Aggregate [context")
