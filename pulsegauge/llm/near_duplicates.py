@@ -276,8 +276,8 @@ def _others(similar: tuple[int, int], least: int) -> Callable[[tuple, pa.Table,
 
 def _remaining(
     hanging: DataFrame, links: DataFrame, shingled: DataFrame, similar: tuple[int, int], least: int
-) -> DataFrame:
-    """Links between parts of what hangs together."""
+) -> tuple[DataFrame, DataFrame]:
+    """Links between parts of what hangs together, and ``key`` and ``label`` of all in these parts."""
     labels = components(links).withColumnRenamed("component", "label")
     placed = hanging.join(labels, "node", "left").select(
         "component", F.col("node").alias("key"), F.coalesce("label", "node").alias("label")
@@ -306,7 +306,17 @@ def _remaining(
     )
     by = ["component", "a", "b"]
     found = outside.groupBy(*by).cogroup(everyone.groupBy(*by))
-    return settled(found.applyInArrow(_others(similar, least), "u string, v string"), "more-links")
+    more = settled(found.applyInArrow(_others(similar, least), "u string, v string"), "more-links")
+    return more, placed.select("key", "label")
+
+
+def _joined(parts: DataFrame, more: DataFrame) -> DataFrame:
+    """``key`` and ``component`` once the parts have been joined by the links found later."""
+    ends = [parts.select(F.col("key").alias(end), F.col("label").alias(f"label_{end}")) for end in "uv"]
+    between = more.join(ends[0], "u").join(ends[1], "v")
+    between = between.select(F.col("label_u").alias("u"), F.col("label_v").alias("v"))
+    wider = components(between).withColumnRenamed("node", "label")
+    return parts.join(wider, "label", "left").select("key", F.coalesce("component", "label").alias("component"))
 
 
 def _shingled(width: int) -> Callable:
@@ -376,8 +386,8 @@ def near_duplicates(
         "shingles",
     )
     links = _confirmed(edges, shingled, similar)
-    more = _remaining(hanging, links, shingled, similar, least)
-    joined = components(links.unionByName(more)).withColumnRenamed("node", "key")
+    more, parts = _remaining(hanging, links, shingled, similar, least)
+    joined = _joined(parts, more)
     owned = firsts.join(joined, "key", "left").select(
         "key", "first_id", F.coalesce("component", "key").alias("component")
     )

@@ -127,3 +127,17 @@ def test_components(spark):
             owner = {k: low if v == high else v for k, v in owner.items()}
     found = graph.components(spark.createDataFrame(edges, "u long, v long")).collect()
     assert {r["node"]: r["component"] for r in found} == owner and len(found) == len(owner)
+
+
+def test_stars_take_no_turn(spark, monkeypatch):
+    """What is a graph of stars is written once; a path takes few turns, none of them only to see it is done."""
+    written = []
+    settled = graph.settled
+    monkeypatch.setattr(graph, "settled", lambda rows, name: written.append(name) or settled(rows, name))
+    stars = spark.createDataFrame([(1, 5), (6, 1), (1, 7), (2, 8), (8, 2)], "u long, v long")
+    found = {r["node"]: r["component"] for r in graph.components(stars).collect()}
+    assert found == {1: 1, 5: 1, 6: 1, 7: 1, 2: 2, 8: 2}
+    assert written == ["edges"]
+    path = spark.createDataFrame([(1, 2), (2, 3)], "u long, v long")
+    assert {r["component"] for r in graph.components(path).collect()} == {1}
+    assert written.count("stars") == 1
