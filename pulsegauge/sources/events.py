@@ -57,8 +57,9 @@ def events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.schema(EVENTS_SCHEMA).parquet(f"{folder}/events.parquet")
 
 
-def batches_of(rows: DataFrame, disorder_s: int = 0) -> Column:
-    """The batch a row is of: stretches of time of one length, rows without a time in the first.
+def batches_of(rows: DataFrame, disorder_s: int = 0) -> tuple[Column, int]:
+    """The batch a row is of, and how many there are: stretches of time of one length, rows
+    without a time in the first.
 
     There are more the longer the table is. With ``disorder_s`` a row comes up to so many
     seconds after its time, as its id has it.
@@ -67,12 +68,12 @@ def batches_of(rows: DataFrame, disorder_s: int = 0) -> Column:
     known = rows.agg(F.count("*").alias("n"), F.min(micros).alias("low"), F.max(micros).alias("high")).first()
     count = max(BATCHES, -(-known["n"] // ROWS_PER_BATCH))
     if known["low"] is None or known["low"] == known["high"]:
-        return F.lit(0)
+        return F.lit(0), 1
     arrives = micros
     if disorder_s:
         arrives = micros + F.pmod(F.col("event_id") * SCATTER, F.lit(disorder_s)) * 1_000_000
     part = F.floor((arrives - known["low"]) * count / (known["high"] - known["low"]))
-    return F.least(F.coalesce(part, F.lit(0)), F.lit(count - 1)).cast("int")
+    return F.least(F.coalesce(part, F.lit(0)), F.lit(count - 1)).cast("int"), count
 
 
 @functools.cache
@@ -81,12 +82,14 @@ def _prepared(application: str, folder: str, disorder_s: int) -> str:
 
     The events are dealt out in one job. Streams take files in the order of their times,
     which are set afterwards. Row groups are small, as a task reads one at least and a batch
-    is worked off by as many tasks as read it.
+    is worked off by as many tasks as read it. Twice as many tasks as batches write them, so
+    that few have to write several one after the other.
     """
     spark = SparkSession.active()
     rows = events(spark, folder)
     target = working_folder(spark, "batches")
-    dealt = rows.withColumn("part", batches_of(rows, disorder_s)).repartition("part")
+    part, count = batches_of(rows, disorder_s)
+    dealt = rows.withColumn("part", part).repartition(2 * count, "part")
     dealt.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).partitionBy("part").parquet(target)
     # By number, as there may be more than have the same count of digits.
     written = files.matching(spark, f"{target}/part=*/part-*")
@@ -100,12 +103,13 @@ def events_stream(spark: SparkSession, folder: str, disorder_s: int = 0) -> Data
     """The table as a stream of several batches in the order of time.
 
     The time can carry a watermark, and nothing is later than ``disorder_s``. Rows
-    without a time are in the first batch.
+    without a time are in the first batch. A batch is one file, of which few tasks read
+    their share, so its rows are dealt out to all cores before anything is done with them.
     """
     target = _prepared(spark.sparkContext.applicationId, folder, disorder_s)
-    return stream_parquet(
-        spark, f"{target}/part=*", EVENTS_SCHEMA, glob="part-*.parquet", max_files=1
-    ).withColumn("ts", F.col("ts").cast("timestamp"))
+    rows = stream_parquet(spark, f"{target}/part=*", EVENTS_SCHEMA, glob="part-*.parquet", max_files=1)
+    dealt = rows.repartition(spark.sparkContext.defaultParallelism, *EVENTS_SCHEMA.fieldNames())
+    return dealt.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
 def _by_event_type(index: int) -> Column:
