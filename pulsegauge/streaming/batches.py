@@ -36,14 +36,20 @@ def stream_id(spark: SparkSession) -> str:
     return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
 
 
+# Rows of one value, in a batch, that a task writes one after the other.
+ROWS_PER_TASK = 200_000
+
+
 def write_batch(
-    rows: DataFrame, table: str, stream: str, batch_id: int, by: str | None = None
+    rows: DataFrame, table: str, stream: str, batch_id: int, by: str | None = None, count: int = 0
 ) -> None:
     """Write the rows of a batch, in folders by the column ``by`` where given.
 
     Those are the outer ones, so that a query on few of its values lists few folders.
+    With ``count``, how many rows there are, a large batch is written by several tasks
+    even where all its rows have one value.
     """
-    placed = gathered(rows, by)
+    placed = gathered(rows, by, -(-count // ROWS_PER_TASK))
     if by is None:
         placed.write.mode("overwrite").parquet(f"{table}/stream={stream}/batch_id={batch_id}")
         return
@@ -53,16 +59,20 @@ def write_batch(
     writer.partitionBy(by, "stream", "batch_id").parquet(table)
 
 
-def gathered(rows: DataFrame, by: str | None = None) -> DataFrame:
+def gathered(rows: DataFrame, by: str | None = None, slices: int = 1) -> DataFrame:
     """Rows brought together into files of a good size, by a column where given.
 
     Otherwise every task writes a file, and one for every value of the column. A
     value with many rows still goes to several tasks; that takes adaptive execution,
-    and without it the rows stay where they are.
+    and without it the rows stay where they are. With ``slices`` a value's rows go to
+    up to so many tasks whatever their bytes.
     """
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         return rows
-    return rows.hint("rebalance", *([by] if by else []))
+    if by is None or slices < 2:
+        return rows.hint("rebalance", *([by] if by else []))
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(*rows.columns), F.lit(slices)))
+    return sliced.hint("rebalance", by, "_slice").drop("_slice")
 
 
 # What a stream carries from batch to batch is kept in a few folders in turn. A batch

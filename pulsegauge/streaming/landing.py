@@ -66,22 +66,22 @@ def land(
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream = stream_id(spark)
-        decoded = decode(batch).persist(StorageLevel.MEMORY_AND_DISK)
+        decoded = decode(batch).drop("metric_value").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             counts = _counted(decoded)
-            good = readings(decoded).drop("metric_value")
+            good = readings(decoded)
             found = alerts(good, rules)
             kept = f"{root}/newest_alerts"
             listed = read_turn(spark, kept, stream, batch_id - 1, LISTED_SCHEMA)
             listed = newest(listed.unionByName(found), LISTED)
 
-            def by_batch(rows: DataFrame, name: str, by: str | None = None) -> None:
-                write_batch(rows, f"{root}/{name}", stream, batch_id, by)
+            def by_batch(rows: DataFrame, name: str, by: str | None = None, count: int = 0) -> None:
+                write_batch(rows, f"{root}/{name}", stream, batch_id, by, count)
 
             together(
                 spark,
                 lambda: by_batch(bad_records(decoded), "bad_records"),
-                lambda: by_batch(_dated(good), "readings", "event_date"),
+                lambda: by_batch(_dated(good), "readings", "event_date", counts["good"]),
                 lambda: by_batch(_dated(found), "alerts", "event_date"),
                 lambda: by_batch(snapshot.partials(good, rules), "fleet"),
                 lambda: by_batch(snapshot.type_partials(good, rules), "types"),
@@ -100,14 +100,15 @@ def land(
 
 
 def _counted(decoded: DataFrame) -> dict[str, object]:
-    """What a batch holds, observed in the pass that fills its cache.
+    """What a batch holds, observed in the pass that fills its cache, whole as it is, and
+    reads two columns of it.
 
     That pass ends in no shuffle, as each of its tasks is then counted once however
     often it runs.
     """
     seen = Observation()
     good = F.col("reason").isNull()
-    observed = decoded.observe(
+    observed = decoded.select("reason", "timestamp").observe(
         seen,
         F.count("*").alias("messages"),
         F.count_if(good).alias("good"),

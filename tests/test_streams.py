@@ -15,7 +15,7 @@ from pulsegauge.operators.running import running_stats
 from pulsegauge.operators.window_stats import WATERMARK, window_stats
 from pulsegauge.session import working_folder
 from pulsegauge.sources import kafka, tables
-from pulsegauge.streaming import landing, queries, updates
+from pulsegauge.streaming import batches, landing, queries, updates
 from pulsegauge.streaming.running import keep_running_stats
 
 from .test_running import by_list, collected, sample_rows
@@ -449,3 +449,20 @@ def test_kafka_options(spark):
 
 def test_working_folders_are_new_each_time(spark):
     assert working_folder(spark, "x") != working_folder(spark, "x")
+
+
+def test_a_large_batch_of_one_date_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    """All rows come once; a small batch of one date still makes one file."""
+    monkeypatch.setattr(batches, "ROWS_PER_TASK", 50_000)
+    rows = spark.range(0, 200_000, 1, 8).select(
+        F.col("id").alias("offset"),
+        F.sha2(F.col("id").cast("string"), 512).alias("sensor_id"),
+        F.lit(START).cast("date").alias("event_date"),
+    )
+    for table, count in (("large", 200_000), ("small", 50_000)):
+        batches.write_batch(rows.limit(count), f"{tmp_path}/{table}", "a", 0, "event_date", count)
+    large, small = (spark.read.parquet(f"{tmp_path}/{table}") for table in ("large", "small"))
+    assert large.columns == small.columns == ["offset", "sensor_id", "event_date", "stream", "batch_id"]
+    assert large.count() == large.select("offset").distinct().count() == 200_000
+    assert small.count() == 50_000
+    assert len(large.inputFiles()) > 1 and len(small.inputFiles()) == 1
