@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import threading
 import uuid
+from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from typing import NamedTuple
 
 from pyspark.sql import SparkSession
@@ -27,6 +31,30 @@ def matching(spark: SparkSession, pattern: str) -> list[Entry]:
     return sorted(Entry(s.getPath().toString(), s.getModificationTime()) for s in found)
 
 
+# Folders deleted at a time.
+DELETERS = 8
+# Tasks for each core that list the folders of a table.
+LISTING_TASKS = 4
+_LISTING = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+_one_lists = threading.Lock()
+
+
+@contextlib.contextmanager
+def listing(spark: SparkSession) -> Iterator[None]:
+    """Tables loaded meanwhile have their folders listed by a few tasks for each core.
+
+    Otherwise Spark has a task for each folder, up to 10,000, and a table by date has
+    thousands of folders.
+    """
+    with _one_lists:
+        kept = spark.conf.get(_LISTING)
+        spark.conf.set(_LISTING, str(min(int(kept), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+        try:
+            yield
+        finally:
+            spark.conf.set(_LISTING, kept)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     return _system(spark, path).exists(_path(spark, path))
 
@@ -60,6 +88,16 @@ def delete(spark: SparkSession, path: str) -> None:
     _system(spark, path).delete(_path(spark, path), True)
 
 
+def delete_all(spark: SparkSession, paths: Sequence[str]) -> None:
+    """Delete files and folders of one file system, several at a time, in no order."""
+    if not paths:
+        return
+    system = _system(spark, paths[0])
+    with ThreadPoolExecutor(DELETERS) as pool:
+        for _ in pool.map(lambda path: system.delete(_path(spark, path), True), paths):
+            pass
+
+
 def size(spark: SparkSession, path: str) -> int:
     """Bytes of all files below a folder."""
     return _system(spark, path).getContentSummary(_path(spark, path)).getLength()

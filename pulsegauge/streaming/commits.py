@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from ..schema import BAD_RECORD_SCHEMA, COMMIT_SCHEMA, LANDED_SCHEMA
 from ..sources import files
-from .batches import gathered
+from .batches import gathered, together
 
 COMMITS = "commits"
 # Batches with folders of their own before they are packed, and packs of one tier
@@ -158,7 +158,8 @@ def folders(spark: SparkSession, folder: str, schema: T.StructType, format: str
     """All there is in the folders of a table, committed or not; nothing if there are none."""
     if not files.exists(spark, folder):
         return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).format(format).load(folder)
+    with files.listing(spark):
+        return spark.read.schema(schema).format(format).load(folder)
 
 
 def _folder(root: str, name: str, run: str) -> str:
@@ -167,7 +168,8 @@ def _folder(root: str, name: str, run: str) -> str:
 
 def _packed(spark: SparkSession, table: Table, runs: list[str]) -> DataFrame:
     base = runs[0].rsplit("/", 1)[0]
-    held = spark.read.schema(table.schema).option("basePath", base).parquet(*runs)
+    with files.listing(spark):
+        held = spark.read.schema(table.schema).option("basePath", base).parquet(*runs)
     return held.select(table.schema.fieldNames())
 
 
@@ -215,7 +217,8 @@ def compact(
     """
     at = snapshot(spark, root)
     written: dict[str, int] = {}
-    for table in TABLES:
+
+    def pack(table: Table) -> None:
         for stream, last in at.upto.items():
             packs = list(at.packs.get((table.name, stream), ()))
             first = at.packed(table.name, stream) + 1
@@ -234,6 +237,9 @@ def compact(
                 packs[a:b] = [wide]
                 small[wide.run] = files.size(spark, _folder(root, table.name, wide.run)) < large
                 written[table.name] = written.get(table.name, 0) + 1
+
+    # A table by date is mostly files to open and to move, so tables don't wait for each other.
+    together(spark, *(functools.partial(pack, table) for table in TABLES))
     return written
 
 
@@ -254,10 +260,10 @@ def vacuum(spark: SparkSession, root: str, keep_s: float = KEEP_S, abandoned_s:
             cover = _cover(settled)
             end = cover[-1].last if cover else -1
             dates = f"/{table.by}=*" if table.by else ""
-            for entry in files.matching(spark, f"{root}/{name}{dates}/stream={stream}/batch_id=*"):
-                if int(entry.path.rsplit("batch_id=", 1)[1]) <= end:
-                    files.delete(spark, entry.path)
-                    gone += 1
+            found = files.matching(spark, f"{root}/{name}{dates}/stream={stream}/batch_id=*")
+            packed = [e.path for e in found if int(e.path.rsplit("batch_id=", 1)[1]) <= end]
+            files.delete_all(spark, packed)
+            gone += len(packed)
             for pack in settled:
                 if pack not in cover and pack.last <= end:
                     files.delete(spark, f"{root}/packs/{name}/{stream}/{pack.first}-{pack.last}-{pack.run}")
@@ -277,10 +283,10 @@ def expire(spark: SparkSession, root: str, before: str) -> int:
     for table in TABLES:
         if table.by:
             for base in (f"{root}/{table.name}", f"{root}/packed/{table.name}/run=*"):
-                for entry in files.matching(spark, f"{base}/{table.by}=*"):
-                    if entry.path.rsplit("=", 1)[1] < before:
-                        files.delete(spark, entry.path)
-                        gone += 1
+                found = files.matching(spark, f"{base}/{table.by}=*")
+                past = [e.path for e in found if e.path.rsplit("=", 1)[1] < before]
+                files.delete_all(spark, past)
+                gone += len(past)
     return gone
 
 
