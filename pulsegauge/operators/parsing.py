@@ -64,7 +64,9 @@ def decode(
     received = F.col("payload").cast("string")
     # NaN is larger than any number in this comparison.
     no_number = F.coalesce(F.abs("value") > MOST, F.lit(False))
-    trailing = ~F.endswith(F.rtrim(received, F.lit(BLANKS)), F.lit("}"))
+    # Most end as they are to, which spares the copy without blanks.
+    closed = F.endswith(received, F.lit("}")) | F.endswith(F.rtrim(received, F.lit(BLANKS)), F.lit("}"))
+    trailing = ~closed
     # The first test settles it for a good reading.
     reason = (
         F.when(F.col(_CORRUPT).isNull() & F.col("timestamp").isNotNull() & ~no_number & ~trailing, F.lit(None))

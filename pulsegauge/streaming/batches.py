@@ -41,15 +41,24 @@ ROWS_PER_TASK = 200_000
 
 
 def write_batch(
-    rows: DataFrame, table: str, stream: str, batch_id: int, by: str | None = None, count: int = 0
+    rows: DataFrame,
+    table: str,
+    stream: str,
+    batch_id: int,
+    by: str | None = None,
+    count: int = 0,
+    grouped: bool = False,
 ) -> None:
     """Write the rows of a batch, in folders by the column ``by`` where given.
 
     Those are the outer ones, so that a query on few of its values lists few folders.
-    With ``count``, how many rows there are, a large batch is written by several tasks
-    even where all its rows have one value.
+    With ``count``, how many rows there are, a large batch has its rows counted by value:
+    a value with many is written by several tasks, and each of the others by one, as a
+    file costs more than its rows where a batch spans hundreds of dates. Rows that come
+    out of a grouping, ``grouped``, are together already.
     """
-    placed = gathered(rows, by, -(-count // ROWS_PER_TASK))
+    slices = _slices(rows, by) if by is not None and count > ROWS_PER_TASK else {}
+    placed = rows if grouped else gathered(rows, by, slices)
     if by is None:
         placed.write.mode("overwrite").parquet(f"{table}/stream={stream}/batch_id={batch_id}")
         return
@@ -59,19 +68,30 @@ def write_batch(
     writer.partitionBy(by, "stream", "batch_id").parquet(table)
 
 
-def gathered(rows: DataFrame, by: str | None = None, slices: int = 1) -> DataFrame:
+def _slices(rows: DataFrame, by: str) -> dict[object, int]:
+    """The values with more rows than a task writes, and how many tasks are to write each."""
+    large = rows.groupBy(by).agg(F.count("*").alias("n")).filter(F.col("n") > ROWS_PER_TASK)
+    return {row[by]: -(-row["n"] // ROWS_PER_TASK) for row in large.collect()}
+
+
+def gathered(rows: DataFrame, by: str | None = None, slices: Mapping[object, int] | None = None) -> DataFrame:
     """Rows brought together into files of a good size, by a column where given.
 
     Otherwise every task writes a file, and one for every value of the column. A
     value with many rows still goes to several tasks; that takes adaptive execution,
-    and without it the rows stay where they are. With ``slices`` a value's rows go to
+    and without it the rows stay where they are. The rows of a value in ``slices`` go to
     up to so many tasks whatever their bytes.
     """
     if rows.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
         return rows
-    if by is None or slices < 2:
+    if by is None or not slices:
         return rows.hint("rebalance", *([by] if by else []))
-    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(*rows.columns), F.lit(slices)))
+    counts = functools.reduce(
+        lambda chosen, value: F.when(F.col(by).eqNullSafe(F.lit(value)), F.lit(slices[value])).otherwise(chosen),
+        slices,
+        F.lit(1),
+    )
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64(*rows.columns), counts))
     return sliced.hint("rebalance", by, "_slice").drop("_slice")
 
 

@@ -66,6 +66,8 @@ def land(
     def land_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         stream = stream_id(spark)
+        # Held for seconds, so packing costs more than it saves. The session is the stream's own.
+        spark.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
         decoded = decode(batch).drop("metric_value").persist(StorageLevel.MEMORY_AND_DISK)
         try:
             counts = _counted(decoded)
@@ -75,16 +77,17 @@ def land(
             listed = read_turn(spark, kept, stream, batch_id - 1, LISTED_SCHEMA)
             listed = newest(listed.unionByName(found), LISTED)
 
-            def by_batch(rows: DataFrame, name: str, by: str | None = None, count: int = 0) -> None:
-                write_batch(rows, f"{root}/{name}", stream, batch_id, by, count)
+            def by_batch(rows: DataFrame, name: str, *how) -> None:
+                write_batch(rows, f"{root}/{name}", stream, batch_id, *how)
 
             together(
                 spark,
-                lambda: by_batch(bad_records(decoded), "bad_records"),
+                # Those with the most files first.
                 lambda: by_batch(_dated(good), "readings", "event_date", counts["good"]),
                 lambda: by_batch(_dated(found), "alerts", "event_date"),
-                lambda: by_batch(snapshot.partials(good, rules), "fleet"),
-                lambda: by_batch(snapshot.type_partials(good, rules), "types"),
+                lambda: by_batch(bad_records(decoded), "bad_records"),
+                lambda: by_batch(snapshot.partials(good, rules), "fleet", None, 0, True),
+                lambda: by_batch(snapshot.type_partials(good, rules), "types", None, 0, True),
                 lambda: write_turn(listed, kept, stream, batch_id),
             )
         finally:
@@ -149,7 +152,8 @@ def _parts(spark: SparkSession, root: str, name: str = "fleet") -> DataFrame:
     )
     at = commits.snapshot(spark, root)
     folds = _folds(spark, root)
-    parts = spark.read.schema(schema).parquet(f"{root}/{name}").filter(commits.committed(at))
+    with files.listing(spark):
+        parts = spark.read.schema(schema).parquet(f"{root}/{name}").filter(commits.committed(at))
     if folds:
         # On folder names, so that folded batches are not read.
         covered = [(F.col("stream") == s) & (F.col("batch_id") <= n) for s, n in folds.items()]

@@ -1,0 +1,104 @@
+"""Tables by date whose batches span many dates: files, listing and deleting."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from pulsegauge.sources import files
+from pulsegauge.streaming import batches, commits
+
+
+def _dated(spark, count, dates, first=0):
+    """The first date has ``first`` rows and the others the rest, evenly."""
+    day = F.when(F.col("id") < first, 0).otherwise(1 + F.pmod("id", F.lit(dates - 1)))
+    return spark.range(0, count, 1, 8).select(
+        F.col("id").alias("offset"),
+        F.sha2(F.col("id").cast("string"), 512).alias("sensor_id"),
+        F.date_add(F.lit("2024-01-01").cast("date"), day.cast("int")).alias("event_date"),
+    )
+
+
+def test_a_large_batch_of_many_dates_has_a_file_for_each(spark, tmp_path, monkeypatch):
+    """But for a date that is large itself; all rows come once."""
+    monkeypatch.setattr(batches, "ROWS_PER_TASK", 50_000)
+    rows = _dated(spark, 300_000, 21, first=200_000)
+    batches.write_batch(rows, f"{tmp_path}/t", "a", 0, "event_date", 300_000)
+    written = spark.read.parquet(f"{tmp_path}/t")
+    assert written.count() == written.select("offset").distinct().count() == 300_000
+    held = [f.split("event_date=")[1].split("/")[0] for f in written.inputFiles()]
+    assert len(set(held)) == 21 and held.count("2024-01-01") > 1
+    assert all(held.count(date) == 1 for date in set(held) - {"2024-01-01"})
+
+
+def test_rows_without_a_date_are_sliced_too(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(batches, "ROWS_PER_TASK", 50_000)
+    rows = _dated(spark, 200_000, 2, first=1).withColumn("event_date", F.lit(None).cast("date"))
+    batches.write_batch(rows, f"{tmp_path}/t", "a", 0, "event_date", 200_000)
+    written = spark.read.parquet(f"{tmp_path}/t")
+    assert written.count() == written.select("offset").distinct().count() == 200_000
+    assert len(written.inputFiles()) > 1
+
+
+def test_rows_of_a_grouping_are_not_shuffled_again(spark, tmp_path, monkeypatch):
+    calls = []
+    monkeypatch.setattr(batches, "gathered", lambda rows, *more: calls.append(more) or rows)
+    counts = spark.range(100).groupBy((F.col("id") % 7).alias("k")).count()
+    batches.write_batch(counts, f"{tmp_path}/t", "a", 0, None, 0, True)
+    assert not calls and spark.read.parquet(f"{tmp_path}/t").count() == 7
+
+
+def _tasks(spark, group, work):
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        done = work()
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    tracker = spark.sparkContext.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    return done, sum(tracker.getStageInfo(s).numTasks for s in stages)
+
+
+def test_many_folders_are_listed_by_few_tasks(spark, tmp_path):
+    """And the session's own setting is as it was."""
+    setting = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    kept = spark.conf.get(setting)
+    table = commits.BY_NAME["readings"]
+    _dated(spark, 1000, 200).write.partitionBy("event_date").parquet(f"{tmp_path}/t")
+    rows, tasks = _tasks(spark, "list", lambda: commits.folders(spark, f"{tmp_path}/t", table.schema))
+    assert 0 < tasks <= files.LISTING_TASKS * spark.sparkContext.defaultParallelism
+    assert rows.count() == 1000 and spark.conf.get(setting) == kept
+    with pytest.raises(ZeroDivisionError), files.listing(spark):
+        1 / 0
+    assert spark.conf.get(setting) == kept
+
+
+def test_folders_are_deleted_together(spark, tmp_path):
+    for i in range(30):
+        files.create(spark, f"{tmp_path}/t/batch_id={i}/x")
+    found = files.matching(spark, f"{tmp_path}/t/batch_id=*")
+    files.delete_all(spark, [entry.path for entry in found[:-1]])
+    assert files.matching(spark, f"{tmp_path}/t/batch_id=*") == found[-1:]
+    files.delete_all(spark, [])
+
+
+def test_tables_are_packed_side_by_side(spark, tmp_path, monkeypatch):
+    """Each table's pack waits for the others to have begun, which none did before."""
+    import threading
+
+    root, begun = str(tmp_path), threading.Barrier(len(commits.TABLES), timeout=60)
+    whole = commits._write
+
+    def write(*given):
+        begun.wait()
+        return whole(*given)
+
+    monkeypatch.setattr(commits, "_write", write)
+    for batch in range(3):
+        for table in commits.TABLES:
+            if table.name != commits.COMMITS:
+                rows = spark.createDataFrame([], table.schema).drop("stream", "batch_id")
+                batches.write_batch(rows, f"{root}/{table.name}", "a", batch, table.by)
+        commits.commit(spark, root, "a", batch, {"messages": 0})
+    (tmp_path / "readings").mkdir(exist_ok=True)
+    (tmp_path / "alerts").mkdir(exist_ok=True)
+    assert commits.compact(spark, root, least=1) == {table.name: 1 for table in commits.TABLES}
+    assert commits.batch_counts(spark, root).count() == 3
