@@ -38,6 +38,8 @@ def stream_id(spark: SparkSession) -> str:
 
 # Rows of one value, in a batch, that a task writes one after the other.
 ROWS_PER_TASK = 200_000
+# Values so few that a task may write a file for each.
+FEW_VALUES = 10
 
 
 def write_batch(
@@ -48,6 +50,8 @@ def write_batch(
     by: str | None = None,
     count: int = 0,
     grouped: bool = False,
+    held: int = 0,
+    values: int = 1,
 ) -> None:
     """Write the rows of a batch, in folders by the column ``by`` where given.
 
@@ -55,10 +59,18 @@ def write_batch(
     With ``count``, how many rows there are, a large batch has its rows counted by value:
     a value with many is written by several tasks, and each of the others by one, as a
     file costs more than its rows where a batch spans hundreds of dates. Rows that come
-    out of a grouping, ``grouped``, are together already.
+    out of a grouping, ``grouped``, are together already. So are cached ones that at least
+    ``held`` tasks hold, with ``values`` of ``by`` at most, where these are few: tasks
+    that write take over what several hold, and nothing is shuffled.
     """
-    slices = _slices(rows, by) if by is not None and count > ROWS_PER_TASK else {}
-    placed = rows if grouped else gathered(rows, by, slices)
+    tasks = max(1, -(-count // ROWS_PER_TASK))
+    if grouped:
+        placed = rows
+    elif held >= tasks and values <= FEW_VALUES:
+        placed = rows.coalesce(tasks)
+    else:
+        slices = _slices(rows, by) if by is not None and count > ROWS_PER_TASK else {}
+        placed = gathered(rows, by, slices)
     if by is None:
         placed.write.mode("overwrite").parquet(f"{table}/stream={stream}/batch_id={batch_id}")
         return
@@ -102,11 +114,11 @@ AS_OF = "as_of"
 TURNS = 16
 
 
-def write_turn(rows: DataFrame, table: str, stream: str, batch_id: int) -> None:
-    """Keep rows for the next batch."""
+def write_turn(rows: DataFrame, table: str, stream: str, batch_id: int, grouped: bool = False) -> None:
+    """Keep rows for the next batch; ``grouped`` ones are together already."""
     marked = rows.withColumn(AS_OF, F.lit(batch_id).cast("bigint"))
     turn = f"{table}/stream={stream}/turn={batch_id % TURNS}"
-    gathered(marked).write.mode("overwrite").parquet(turn)
+    (marked if grouped else gathered(marked)).write.mode("overwrite").parquet(turn)
 
 
 def read_turn(

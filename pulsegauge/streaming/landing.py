@@ -6,6 +6,7 @@ import functools
 import operator
 import time
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
-from ..functions.rules import UPPER, Rule
+from ..functions.rules import UPPER, Rule, breaks_rule
 from ..operators import snapshot
 from ..operators.alerts import alerts, newest
 from ..operators.parsing import REASONS, bad_records, decode, readings
@@ -70,7 +71,7 @@ def land(
         spark.conf.set("spark.sql.inMemoryColumnarStorage.compressed", "false")
         decoded = decode(batch).drop("metric_value").persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            counts = _counted(decoded)
+            counts, lie = _counted(decoded, rules)
             good = readings(decoded)
             found = alerts(good, rules)
             kept = f"{root}/newest_alerts"
@@ -80,15 +81,18 @@ def land(
             def by_batch(rows: DataFrame, name: str, *how) -> None:
                 write_batch(rows, f"{root}/{name}", stream, batch_id, *how)
 
+            dated = (False, lie.held, lie.dates)
+            bad = sum(counts["bad"].values())
             together(
                 spark,
                 # Those with the most files first.
-                lambda: by_batch(_dated(good), "readings", "event_date", counts["good"]),
-                lambda: by_batch(_dated(found), "alerts", "event_date"),
-                lambda: by_batch(bad_records(decoded), "bad_records"),
+                lambda: by_batch(_dated(good), "readings", "event_date", counts["good"], *dated),
+                lambda: by_batch(_dated(found), "alerts", "event_date", lie.alerts, *dated),
+                lambda: by_batch(bad_records(decoded), "bad_records", None, bad, False, lie.held),
                 lambda: by_batch(snapshot.partials(good, rules), "fleet", None, 0, True),
                 lambda: by_batch(snapshot.type_partials(good, rules), "types", None, 0, True),
-                lambda: write_turn(listed, kept, stream, batch_id),
+                # Few, and in one task.
+                lambda: write_turn(listed, kept, stream, batch_id, True),
             )
         finally:
             decoded.unpersist()
@@ -102,29 +106,43 @@ def land(
     return records.writeStream.foreachBatch(land_batch).option("checkpointLocation", checkpoint)
 
 
-def _counted(decoded: DataFrame) -> dict[str, object]:
-    """What a batch holds, observed in the pass that fills its cache, whole as it is, and
-    reads two columns of it.
+class Lie(NamedTuple):
+    """How the rows of a batch lie: alerts, dates its readings span, tasks that hold it."""
+
+    alerts: int
+    dates: int
+    held: int
+
+
+def _counted(decoded: DataFrame, rules: Sequence[Rule]) -> tuple[dict[str, object], Lie]:
+    """What a batch holds and how, observed in the pass that fills its cache, whole as it
+    is, and reads a few columns of it.
 
     That pass ends in no shuffle, as each of its tasks is then counted once however
     often it runs.
     """
     seen = Observation()
     good = F.col("reason").isNull()
-    observed = decoded.select("reason", "timestamp").observe(
+    time_of = F.when(good, F.col("timestamp"))
+    place = (F.spark_partition_id() + 1).alias("place")
+    observed = decoded.select("reason", "timestamp", "sensor_type", "value", place).observe(
         seen,
         F.count("*").alias("messages"),
         F.count_if(good).alias("good"),
         *(F.count_if(F.col("reason") == reason).alias(reason) for reason in REASONS),
         *(
-            F.date_format(least(F.when(good, F.col("timestamp"))), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias(name)
+            F.date_format(least(time_of), "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias(name)
             for name, least in (("oldest", F.min), ("newest", F.max))
         ),
+        F.count_if(good & breaks_rule(rules)).alias("alerts"),
+        (F.datediff(F.max(time_of), F.min(time_of)) + 1).alias("dates"),
+        F.max("place").alias("held"),
     )
     observed.write.format("noop").mode("overwrite").save()
     found = seen.get
     bad = {reason: found[reason] for reason in REASONS if found[reason]}
-    return {name: found[name] for name in ("messages", "good", "oldest", "newest")} | {"bad": bad}
+    counts = {name: found[name] for name in ("messages", "good", "oldest", "newest")} | {"bad": bad}
+    return counts, Lie(found["alerts"], found["dates"] or 0, found["held"] or 0)
 
 
 def _dated(rows: DataFrame) -> DataFrame:

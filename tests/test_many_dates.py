@@ -3,8 +3,11 @@
 import pytest
 from pyspark.sql import functions as F
 
-from pulsegauge.sources import files
-from pulsegauge.streaming import batches, commits
+from pulsegauge.functions.rules import UPPER
+from pulsegauge.operators import parsing
+from pulsegauge.operators.alerts import alerts
+from pulsegauge.sources import events, files, tables
+from pulsegauge.streaming import batches, commits, landing
 
 
 def _dated(spark, count, dates, first=0):
@@ -102,3 +105,77 @@ def test_tables_are_packed_side_by_side(spark, tmp_path, monkeypatch):
     (tmp_path / "alerts").mkdir(exist_ok=True)
     assert commits.compact(spark, root, least=1) == {table.name: 1 for table in commits.TABLES}
     assert commits.batch_counts(spark, root).count() == 3
+
+
+def test_cached_rows_of_few_dates_are_not_shuffled(spark, tmp_path, monkeypatch):
+    """As many tasks as the rows ask for write them, if as many hold them and dates are few."""
+    monkeypatch.setattr(batches, "ROWS_PER_TASK", 50_000)
+    calls, whole = [], batches.gathered
+    monkeypatch.setattr(batches, "gathered", lambda rows, *more: calls.append(more) or whole(rows, *more))
+    rows = _dated(spark, 100_000, 3).persist()
+    how = {"few": (8, 3), "many": (8, batches.FEW_VALUES + 1), "one holds all": (1, 3)}
+    for name, (held, values) in how.items():
+        calls.clear()
+        batches.write_batch(rows, f"{tmp_path}/{name}", "a", 0, "event_date", 100_000, False, held, values)
+        written = spark.read.parquet(f"{tmp_path}/{name}")
+        assert written.count() == written.select("offset").distinct().count() == 100_000
+        assert bool(calls) == (name != "few")
+    assert len(spark.read.parquet(f"{tmp_path}/few").inputFiles()) <= 2 * 3
+    rows.unpersist()
+
+
+def _land(spark, root, rows):
+    """Land one batch of rows like those of the events table."""
+    rows.coalesce(1).write.parquet(f"{root}/in")
+    stream = tables.stream_parquet(spark, f"{root}/in", rows.schema)
+    records = events.as_records(stream.repartition(4, *rows.columns).withColumn("ts", F.col("ts").cast("timestamp")))
+    landing.land(records, f"{root}/out", f"{root}/kept").trigger(availableNow=True).start().awaitTermination()
+    return {name: commits.read(spark, f"{root}/out", name) for name in ("readings", "alerts", "bad_records")}
+
+
+def test_a_batch_of_few_dates_lands_without_a_shuffle_for_its_files(spark, tmp_path, monkeypatch):
+    """Rows without a time, type or value and rows that come twice among them."""
+    calls, whole = [], batches.gathered
+    monkeypatch.setattr(batches, "gathered", lambda rows, *more: calls.append(more) or whole(rows, *more))
+    day = F.timestamp_seconds(F.lit(1_704_067_200) + F.pmod("id", F.lit(3)) * 86_400).cast("timestamp_ntz")
+    rows = spark.range(2000).select(
+        F.col("id").alias("event_id"),
+        F.when(F.pmod("id", F.lit(101)) > 0, day).alias("ts"),
+        F.pmod("id", F.lit(7)).alias("user_id"),
+        F.when(F.pmod("id", F.lit(11)) > 0, "view").alias("event_type"),
+        F.when(F.pmod("id", F.lit(13)) > 0, F.col("id") / 10).alias("value"),
+        F.lit("{}").alias("props"),
+    )
+    rows = rows.unionByName(rows.filter("event_id < 500"))
+    decoded = parsing.decode(events.as_records(rows.withColumn("ts", F.col("ts").cast("timestamp"))))
+    good = parsing.readings(decoded)
+    landed = _land(spark, tmp_path, rows)
+    assert not calls
+    for name, wanted in (
+        ("readings", good),
+        ("alerts", alerts(good)),
+        ("bad_records", parsing.bad_records(decoded)),
+    ):
+        columns = [c for c in wanted.columns if c != "metric_value"]
+        found, wanted = landed[name].select(columns), wanted.select(columns)
+        assert found.count() == wanted.count() > 0
+        assert found.exceptAll(wanted).isEmpty() and wanted.exceptAll(found).isEmpty()
+
+
+def test_how_a_batch_lies_is_observed(spark):
+    """Alerts, dates and holders are of good readings; a batch without any has none."""
+    rows = spark.createDataFrame(
+        [
+            ("temperature", 31.0, "2024-01-01 23:59:59", None),
+            ("temperature", 30.0, "2024-01-03 00:00:00", None),
+            (None, 99.0, "2024-01-02 00:00:00", None),
+            ("humidity", None, "2024-01-02 00:00:00", None),
+            ("humidity", 99.0, "2024-02-02 00:00:00", "bad_json"),
+            ("humidity", 99.0, None, "bad_timestamp"),
+        ],
+        "sensor_type string, value double, timestamp string, reason string",
+    ).withColumn("timestamp", F.col("timestamp").cast("timestamp")).coalesce(1)
+    counts, lie = landing._counted(rows, UPPER)
+    assert counts["messages"] == 6 and counts["bad"] == {"bad_json": 1, "bad_timestamp": 1}
+    assert lie == (1, 3, 1)
+    assert landing._counted(rows.filter("value = 0"), UPPER)[1] == (0, 0, 0)
