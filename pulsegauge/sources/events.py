@@ -82,14 +82,14 @@ def _prepared(application: str, folder: str, disorder_s: int) -> str:
 
     The events are dealt out in one job. Streams take files in the order of their times,
     which are set afterwards. Row groups are small, as a task reads one at least and a batch
-    is worked off by as many tasks as read it. Twice as many tasks as batches write them, so
-    that few have to write several one after the other.
+    is worked off by as many tasks as read it. Each batch has a task of its own that writes
+    it, so that none has to write several one after the other.
     """
     spark = SparkSession.active()
     rows = events(spark, folder)
     target = working_folder(spark, "batches")
     part, count = batches_of(rows, disorder_s)
-    dealt = rows.withColumn("part", part).repartition(2 * count, "part")
+    dealt = rows.withColumn("part", part).repartitionById(count, "part")
     dealt.write.option("parquet.block.size", str(ROW_GROUP_BYTES)).partitionBy("part").parquet(target)
     # By number, as there may be more than have the same count of digits.
     written = files.matching(spark, f"{target}/part=*/part-*")

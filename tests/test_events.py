@@ -61,3 +61,14 @@ def test_batches_are_written_by_many_tasks(spark, tmp_path, monkeypatch):
     names = [f.rsplit("/", 1)[1] for f in spark.read.parquet(target).inputFiles()]
     assert len(names) == 12
     assert len({name.split("-")[1] for name in names}) >= 8
+
+
+def test_each_batch_has_a_task_that_writes_it(spark, tmp_path, monkeypatch):
+    """And no task writes two, as some did where batches were dealt out by a hash."""
+    monkeypatch.setattr(events, "BATCHES", 40)
+    _few(spark, tmp_path, 4000)
+    target = events._prepared(spark.sparkContext.applicationId, str(tmp_path), 0)
+    written = spark.read.parquet(target)
+    names = [f.rsplit("/", 1)[1] for f in written.inputFiles()]
+    assert len(names) == len({name.split("-")[1] for name in names}) == 40
+    assert written.count() == written.select("event_id").distinct().count() == 4000
